@@ -15,24 +15,37 @@ from stallkeep.queries.roles import role
 from stallkeep.session import scratch_path
 from stallkeep.sources.store import Store
 
+_staged: dict[tuple[str, str], Store] = {}
 _built: dict[tuple[str, str], dict[str, DataFrame]] = {}
-_lock = threading.Lock()
+_lock = threading.RLock()
+
+
+def _key(spark: SparkSession, sf_dir: str) -> tuple[str, str]:
+    return spark.sparkContext.applicationId, sf_dir.rstrip("/")
 
 
 def staged_store(spark: SparkSession, sf_dir: str) -> Store:
-    store = Store(spark, scratch_path(spark, "warehouse"))
-    run = store.new_run()
-    for name in STAGING:
-        store.write(run, name, role(spark, sf_dir, name))
-    store.publish(run, STAGING)
-    return store
+    """The role views as published staging tables."""
+    key = _key(spark, sf_dir)
+    with _lock:
+        if key not in _staged:
+            store = Store(spark, scratch_path(spark, "warehouse"))
+            run = store.new_run()
+            for name in STAGING:
+                store.write(run, name, role(spark, sf_dir, name))
+            store.publish(run, STAGING)
+            _staged[key] = store
+        return _staged[key]
+
+
+def staging(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    return staged_store(spark, sf_dir).tables()
 
 
 def warehouse(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     """Staging, conformed, dimension and fact tables by name."""
-    key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"))
+    key = _key(spark, sf_dir)
     with _lock:
         if key not in _built:
-            refresh = Refresh(staged_store(spark, sf_dir))
-            _built[key] = dict(refresh.build())
+            _built[key] = dict(Refresh(staged_store(spark, sf_dir)).build())
         return _built[key]

@@ -180,7 +180,7 @@ def reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
         _id("l_orderkey").alias("order_id"),
         ((key + line) % 5 + 1).cast("int").alias("review_score"),
         F.when(key % 4 == 0, F.lit(None)).when(key % 4 == 1, F.lit(" ")).otherwise(F.concat(F.lit("title "), key % 7)).alias("review_comment_title"),
-        F.when(key % 3 == 0, F.lit(None)).otherwise(F.concat(F.lit("message "), key, F.lit("  "))).alias("review_comment_message"),
+        F.when(key % 3 == 0, F.lit(None)).otherwise(F.concat(F.lit("message "), key, F.lit('\n"so so", ok  '))).alias("review_comment_message"),
         created.alias("review_creation_date"),
         (created + _seconds(key % 7 * 46800)).alias("review_answer_timestamp"),
     )
@@ -191,7 +191,7 @@ SELECT 'r' || lpad(CAST((CASE WHEN l_orderkey % 9 = 1 THEN l_orderkey - 1 ELSE l
        lpad(CAST(l_orderkey AS VARCHAR), 10, '0') AS order_id,
        CAST((l_orderkey + l_linenumber) % 5 + 1 AS INTEGER) AS review_score,
        CASE WHEN l_orderkey % 4 = 0 THEN NULL WHEN l_orderkey % 4 = 1 THEN ' ' ELSE 'title ' || CAST(l_orderkey % 7 AS VARCHAR) END AS review_comment_title,
-       CASE WHEN l_orderkey % 3 = 0 THEN NULL ELSE 'message ' || CAST(l_orderkey AS VARCHAR) || '  ' END AS review_comment_message,
+       CASE WHEN l_orderkey % 3 = 0 THEN NULL ELSE 'message ' || CAST(l_orderkey AS VARCHAR) || chr(10) || '"so so", ok  ' END AS review_comment_message,
        o_orderdate + to_days(CAST(l_orderkey % 60 - 3 AS INTEGER)) AS review_creation_date,
        o_orderdate + to_days(CAST(l_orderkey % 60 - 3 AS INTEGER)) + to_seconds(l_orderkey % 7 * 46800) AS review_answer_timestamp
 FROM stg_lines JOIN orders ON l_orderkey = o_orderkey
