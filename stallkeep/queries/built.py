@@ -16,6 +16,7 @@ from stallkeep.session import scratch_path
 from stallkeep.sources.store import Store
 
 _staged: dict[tuple[str, str], Store] = {}
+_staged_tables: dict[tuple[str, str], dict[str, DataFrame]] = {}
 _built: dict[tuple[str, str], dict[str, DataFrame]] = {}
 _lock = threading.RLock()
 
@@ -39,7 +40,11 @@ def staged_store(spark: SparkSession, sf_dir: str) -> Store:
 
 
 def staging(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    return staged_store(spark, sf_dir).tables()
+    key = _key(spark, sf_dir)
+    with _lock:
+        if key not in _staged_tables:
+            _staged_tables[key] = staged_store(spark, sf_dir).tables()
+        return _staged_tables[key]
 
 
 def warehouse(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
