@@ -46,17 +46,18 @@ def profile_measures(measures: Mapping[str, Column]) -> dict[str, Column]:
     return both
 
 
-def key_measures(key: Sequence[str], label: str) -> dict[str, Column]:
-    """Distinct keys on each side."""
-    columns = [F.col(c) for c in key]
+def summarize(compared: DataFrame, measures: Mapping[str, Column], key: str, label: str) -> DataFrame:
+    """One row: the measures, plus the distinct keys of each side.
 
-    def on(side: str) -> list[Column]:
-        return [F.when(F.col(side) > 0, c) for c in columns]
-
-    return {
-        f"ExpectedDistinct{label}": F.count_distinct(*on(EXPECTED)),
-        f"ActualDistinct{label}": F.count_distinct(*on(ACTUAL)),
-    }
+    The measures (all sums or counts) are totalled per key first, so distinct
+    keys come out of the same aggregation instead of multiplying the rows.
+    """
+    sides = {f"ExpectedDistinct{label}": EXPECTED, f"ActualDistinct{label}": ACTUAL}
+    per_key = compared.groupBy(key).agg(
+        *[m.alias(n) for n, m in measures.items()],
+        *[F.max(F.when((F.col(side) > 0) & F.col(key).isNotNull(), 1)).alias(n) for n, side in sides.items()],
+    )
+    return per_key.agg(*[F.coalesce(F.sum(n), F.lit(0)).alias(n) for n in (*measures, *sides)])
 
 
 def differences(expected: DataFrame, actual: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:

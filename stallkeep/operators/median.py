@@ -18,19 +18,20 @@ def _median(value: str) -> F.Column:
 
 
 def grouped_median(
-    df: DataFrame, group: Sequence[str], values: Sequence[str], hot_values: int = HOT_VALUES
+    df: DataFrame, group: Sequence[str], values: Sequence[str], largest: int, hot_values: int = HOT_VALUES
 ) -> DataFrame:
     """Interpolated median of each value column per group.
 
     ``percentile`` keeps a whole group in one task, so it serves only groups
     of up to ``hot_values`` rows. Larger groups are sorted across partitions
-    and their middle rows picked by position.
+    and their middle rows picked by position. ``largest`` is an upper bound on
+    the rows of any group; while it is small enough, no group is measured.
     """
     group = list(group)
-    sizes = df.groupBy(*group).agg(F.count("*").alias("_rows"))
-    largest = sizes.agg(F.max("_rows")).first()[0] or 0
     if largest <= hot_values:
         return df.groupBy(*group).agg(*[_median(v) for v in values])
+    sizes = df.groupBy(*group).agg(F.count("*").alias("_rows"))
+    # At most (rows of df) / hot_values groups.
     hot = F.broadcast(sizes.filter(F.col("_rows") > hot_values).select(*group))
     small = df.join(hot, group, "left_anti").groupBy(*group).agg(*[_median(v) for v in values])
     large = df.join(hot, group, "left_semi")

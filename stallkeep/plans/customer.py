@@ -8,8 +8,10 @@ from pyspark.sql import functions as F
 from stallkeep.functions import flag, matches
 from stallkeep.operators.joins import spread_join
 from stallkeep.operators.quality import audit
+from stallkeep.session import scratch_root
 
 IDENTITY = "customer_unique_id"
+ADDRESS = ("customer_zip_code_prefix", "customer_city", "customer_state")
 
 
 def customer_orders(customers: DataFrame, orders: DataFrame) -> DataFrame:
@@ -18,24 +20,29 @@ def customer_orders(customers: DataFrame, orders: DataFrame) -> DataFrame:
     return spread_join(bought, customers, ["customer_id"], "inner")
 
 
-def identity_summary(purchases: DataFrame) -> DataFrame:
-    """First and latest purchase and five distinct counts per identity.
+def customer_activity(purchases: DataFrame) -> DataFrame:
+    """One row per customer: address, first and last purchase, orders, orders at the last time.
 
-    The counts are taken from one row per (identity, customer, address): the
-    customer row fixes ZIP, city and state, so orders need not be expanded
-    five times. Order ids are unique per order row.
+    Purchases are counted per (customer, time) first. Order ids are unique, so
+    counting rows counts orders. Everything below starts from these rows, far
+    fewer than the orders, and a customer with very many orders is one of them.
     """
-    per_customer = purchases.groupBy(
-        IDENTITY, "customer_id", "customer_zip_code_prefix", "customer_city", "customer_state"
-    ).agg(
-        F.min("order_purchase_timestamp").alias("_first"),
-        F.max("order_purchase_timestamp").alias("_latest"),
-        F.count_distinct("order_id").alias("_orders"),
+    moment = "order_purchase_timestamp"
+    owner = [IDENTITY, "customer_id", *ADDRESS]
+    per_time = purchases.groupBy(*owner, moment).agg(F.count("*").alias("rows"), F.max("order_id").alias("order_id"))
+    return per_time.groupBy(*owner).agg(
+        F.min(moment).alias("FirstPurchase"),
+        F.max(F.struct(F.col(moment).alias("moment"), "order_id", "rows")).alias("last"),
+        F.sum("rows").alias("Orders"),
     )
-    return per_customer.groupBy(IDENTITY).agg(
-        F.min("_first").alias("FirstPurchaseTimestamp"),
-        F.max("_latest").alias("LatestPurchaseTimestamp"),
-        F.sum("_orders").alias("OrderCount"),
+
+
+def identity_summary(activity: DataFrame) -> DataFrame:
+    """First and latest purchase and five distinct counts per identity."""
+    return activity.groupBy(IDENTITY).agg(
+        F.min("FirstPurchase").alias("FirstPurchaseTimestamp"),
+        F.max("last.moment").alias("LatestPurchaseTimestamp"),
+        F.sum("Orders").alias("OrderCount"),
         F.count_distinct("customer_id").alias("CustomerIDCount"),
         F.count_distinct("customer_zip_code_prefix").alias("DistinctZIPCount"),
         F.count_distinct("customer_city").alias("DistinctCityCount"),
@@ -43,20 +50,17 @@ def identity_summary(purchases: DataFrame) -> DataFrame:
     )
 
 
-def latest_purchases(purchases: DataFrame) -> DataFrame:
+def latest_purchases(activity: DataFrame) -> DataFrame:
     """The latest purchase per identity and how many share its time.
 
-    Rows are counted per (identity, time) first; the largest (time, order,
-    customer) is then the representative.
+    Among purchases at the same time the largest (order, customer) represents
+    the identity.
     """
-    moment = "order_purchase_timestamp"
-    candidate = F.struct("order_id", "customer_id", "customer_zip_code_prefix", "customer_city", "customer_state")
-    per_time = purchases.groupBy(IDENTITY, moment).agg(
-        F.count("*").alias("rows"), F.max(candidate).alias("candidate")
-    )
-    latest = per_time.groupBy(IDENTITY).agg(
-        F.max(F.struct(F.col(moment).alias("moment"), "rows", "candidate")).alias("_latest")
+    candidate = F.struct(F.col("last.order_id").alias("order_id"), "customer_id", *ADDRESS)
+    per_time = activity.groupBy(IDENTITY, F.col("last.moment").alias("moment")).agg(
+        F.sum("last.rows").alias("rows"), F.max(candidate).alias("candidate")
     )
+    latest = per_time.groupBy(IDENTITY).agg(F.max(F.struct("moment", "rows", "candidate")).alias("_latest"))
     row = F.col("_latest.candidate")
     return latest.select(
         IDENTITY,
@@ -71,8 +75,9 @@ def latest_purchases(purchases: DataFrame) -> DataFrame:
 
 
 def conformed_customer(customers: DataFrame, orders: DataFrame) -> DataFrame:
-    purchases = customer_orders(customers, orders)
-    joined = identity_summary(purchases).join(latest_purchases(purchases), IDENTITY)
+    scratch_root(orders.sparkSession)
+    activity = customer_activity(customer_orders(customers, orders)).checkpoint()
+    joined = identity_summary(activity).join(latest_purchases(activity), IDENTITY)
     return joined.select(
         F.col(IDENTITY).alias("CustomerUniqueID"),
         "RepresentativeCustomerID",
@@ -166,24 +171,10 @@ def representative_checks(customer: DataFrame, customers: DataFrame, orders: Dat
 
 
 def tie_geography_conflicts(customers: DataFrame, orders: DataFrame) -> DataFrame:
-    """Identities whose latest purchases tie in time but disagree on the address.
-
-    Addresses are counted per (identity, time) by aggregation, and only the
-    latest time of each identity is kept.
-    """
-    moment = "order_purchase_timestamp"
-    address = ["customer_zip_code_prefix", "customer_city", "customer_state"]
-    purchases = customer_orders(customers, orders)
-    distinct_addresses = purchases.groupBy(IDENTITY, moment, *address).agg(F.count("*").alias("rows"))
-    per_time = distinct_addresses.groupBy(IDENTITY, moment).agg(
-        F.sum("rows").alias("rows"), *[F.count_distinct(c).alias(c) for c in address]
-    )
-    latest = per_time.groupBy(IDENTITY).agg(
-        F.max(F.struct(F.col(moment).alias("moment"), "rows", *address)).alias("last")
-    )
-    disagrees = (
-        (F.col("last.customer_zip_code_prefix") > 1)
-        | (F.col("last.customer_city") > 1)
-        | (F.col("last.customer_state") > 1)
-    )
+    """Identities whose latest purchases tie in time but disagree on the address."""
+    activity = customer_activity(customer_orders(customers, orders))
+    addresses = [F.count_distinct(c).alias(c) for c in ADDRESS]
+    per_time = activity.groupBy(IDENTITY, F.col("last.moment").alias("moment")).agg(F.sum("last.rows").alias("rows"), *addresses)
+    latest = per_time.groupBy(IDENTITY).agg(F.max(F.struct("moment", "rows", *ADDRESS)).alias("last"))
+    disagrees = F.greatest(*[F.col(f"last.{c}") for c in ADDRESS]) > 1
     return latest.agg(matches((F.col("last.rows") > 1) & disagrees).alias("LatestTieGeographyConflicts"))

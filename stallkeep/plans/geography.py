@@ -10,6 +10,7 @@ from stallkeep.operators.joins import spread_join
 from stallkeep.operators.median import HOT_VALUES, grouped_median
 from stallkeep.operators.quality import audit
 from stallkeep.operators.vote import most_frequent_label, rank_candidates, resolve_by_vote
+from stallkeep.session import scratch_root
 
 ZIP, STATE = "ZipCodePrefix", "StateCode"
 COORDINATE = "decimal(28,20)"
@@ -41,26 +42,28 @@ def reference_observations(customers: DataFrame, sellers: DataFrame) -> DataFram
     return both.withColumn("CityMatchKey", city_key("CityName"))
 
 
+def label_counts(observations: DataFrame) -> DataFrame:
+    """Rows per (ZIP, state, city spelling): the one pass over the observations that all votes share."""
+    return observations.groupBy(ZIP, STATE, "CityMatchKey", "CityName").agg(F.count("*").alias("SourceRows"))
+
+
 def state_support(references: DataFrame) -> DataFrame:
-    return references.groupBy(ZIP, STATE).agg(F.count("*").alias("SupportRows"))
+    """``references`` counted by ``label_counts``; so in all functions below."""
+    return references.groupBy(ZIP, STATE).agg(F.sum("SourceRows").alias("SupportRows"))
 
 
 def city_support(references: DataFrame) -> DataFrame:
-    return references.groupBy(ZIP, STATE, "CityMatchKey").agg(F.count("*").alias("SupportRows"))
-
+    return references.groupBy(ZIP, STATE, "CityMatchKey").agg(F.sum("SourceRows").alias("SupportRows"))
 
-def zip_universe(observations: DataFrame, references: DataFrame) -> DataFrame:
-    return observations.select(ZIP).union(references.select(ZIP)).distinct()
 
+def zip_universe(counts: DataFrame, references: DataFrame) -> DataFrame:
+    return counts.select(ZIP).union(references.select(ZIP)).distinct()
 
-def source_statistics(observations: DataFrame) -> DataFrame:
-    """Rows, states and city spellings per ZIP.
 
-    Counting per (ZIP, state, city) first leaves few rows for the distinct counts.
-    """
-    spellings = observations.groupBy(ZIP, STATE, "CityName").agg(F.count("*").alias("_rows"))
-    return spellings.groupBy(ZIP).agg(
-        F.sum("_rows").alias("SourceRowCount"),
+def source_statistics(counts: DataFrame) -> DataFrame:
+    """Rows, states and city spellings per ZIP."""
+    return counts.groupBy(ZIP).agg(
+        F.sum("SourceRows").alias("SourceRowCount"),
         F.count_distinct(STATE).alias("DistinctStateCount"),
         F.count_distinct("CityName").alias("DistinctCityLabelCount"),
     )
@@ -72,9 +75,9 @@ def _with_support(candidates: DataFrame, support: DataFrame, on: list[str]) -> D
     )
 
 
-def state_candidates(observations: DataFrame, references: DataFrame) -> DataFrame:
-    counted = observations.groupBy(ZIP, STATE).agg(F.count("*").alias("GeoRows"))
-    return _with_support(counted, state_support(references), [ZIP, STATE])
+def state_candidates(counts: DataFrame, references: DataFrame) -> DataFrame:
+    per_state = counts.groupBy(ZIP, STATE).agg(F.sum("SourceRows").alias("GeoRows"))
+    return _with_support(per_state, state_support(references), [ZIP, STATE])
 
 
 def ranked_states(candidates: DataFrame) -> DataFrame:
@@ -93,15 +96,10 @@ def state_resolution(candidates: DataFrame) -> DataFrame:
     )
 
 
-def city_spellings(observations: DataFrame, states: DataFrame) -> DataFrame:
-    """Spellings within the resolved state and how often each occurs.
-
-    Counting comes before the join, so a ZIP code that owns a large share of
-    the observations enters it as a handful of rows.
-    """
-    counted = observations.groupBy(ZIP, STATE, "CityMatchKey", "CityName").agg(F.count("*").alias("SourceRows"))
+def city_spellings(counts: DataFrame, states: DataFrame) -> DataFrame:
+    """Spellings within the resolved state and how often each occurs."""
     resolved = states.select(ZIP, F.col("RepresentativeState").alias(STATE))
-    return counted.join(resolved, [ZIP, STATE])
+    return counts.join(resolved, [ZIP, STATE])
 
 
 def city_candidates(spellings: DataFrame) -> DataFrame:
@@ -136,14 +134,20 @@ def reference_fallback(references: DataFrame) -> DataFrame:
     )
 
 
+def largest_group(counts: DataFrame) -> int:
+    """Rows of the busiest (ZIP, state): a bound on the coordinate pairs any median has to hold."""
+    per_state = counts.groupBy(ZIP, STATE).agg(F.sum("SourceRows").alias("_rows"))
+    return per_state.agg(F.max("_rows")).first()[0] or 0
+
+
 def representative_coordinates(
-    observations: DataFrame, states: DataFrame, hot_values: int = HOT_VALUES
+    observations: DataFrame, states: DataFrame, largest: int, hot_values: int = HOT_VALUES
 ) -> DataFrame:
     """Median of the distinct coordinate pairs within the resolved state."""
     pairs = observations.select(ZIP, STATE, "Latitude", "Longitude").distinct()
-    resolved = states.select(ZIP, F.col("RepresentativeState").alias(STATE))
-    inside = spread_join(pairs, resolved, [ZIP, STATE], "inner").select(ZIP, "Latitude", "Longitude").distinct()
-    medians = grouped_median(inside, [ZIP], ["Latitude", "Longitude"], hot_values)
+    resolved = states.select(ZIP, F.col("RepresentativeState").alias(STATE)).filter(F.col(STATE).isNotNull())
+    inside = spread_join(pairs, resolved, [ZIP, STATE], "inner").select(ZIP, "Latitude", "Longitude")
+    medians = grouped_median(inside, [ZIP], ["Latitude", "Longitude"], largest, hot_values)
     return medians.select(
         ZIP,
         F.col("Latitude").cast(COORDINATE).alias("RepresentativeLatitude"),
@@ -151,27 +155,32 @@ def representative_coordinates(
     )
 
 
-def conformed_geography(geolocation: DataFrame, customers: DataFrame, sellers: DataFrame) -> DataFrame:
+def conformed_geography(
+    geolocation: DataFrame, customers: DataFrame, sellers: DataFrame, hot_values: int = HOT_VALUES
+) -> DataFrame:
     """One row per ZIP found in any source.
 
-    Every join below is between frames of one row per ZIP (or per ZIP and
-    value): the observations themselves are only ever aggregated.
+    The observations are read twice, once to count spellings and once for the
+    coordinates. The counts are checkpointed: every vote starts from them.
     """
+    scratch_root(geolocation.sparkSession)
     observations = geolocation_observations(geolocation)
-    references = reference_observations(customers, sellers)
-    states = state_resolution(state_candidates(observations, references))
-    spellings = city_spellings(observations, states)
+    counts = label_counts(observations).checkpoint()
+    references = label_counts(reference_observations(customers, sellers)).checkpoint()
+    states = state_resolution(state_candidates(counts, references)).checkpoint()
+    spellings = city_spellings(counts, states)
     cities = city_resolution(supported_cities(city_candidates(spellings), references))
     named = cities.join(city_labels(spellings), [ZIP, "CityMatchKey"], "left").drop("CityMatchKey")
+    coordinates = representative_coordinates(observations, states, largest_group(counts), hot_values)
 
     located = F.col("SourceRowCount").isNotNull()
     assembled = (
-        zip_universe(observations, references)
-        .join(source_statistics(observations), ZIP, "left")
+        zip_universe(counts, references)
+        .join(source_statistics(counts), ZIP, "left")
         .join(states, ZIP, "left")
         .join(named, ZIP, "left")
         .join(reference_fallback(references).withColumn("_referenced", F.lit(1)), ZIP, "left")
-        .join(representative_coordinates(observations, states), ZIP, "left")
+        .join(coordinates, ZIP, "left")
     )
 
     def or_zero(name: str):

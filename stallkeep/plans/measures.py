@@ -6,13 +6,14 @@ its own grain first. There is no profit or margin: the sources carry no cost.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from stallkeep.functions import flag, matches
 from stallkeep.operators.joins import spread_join
 
-PURCHASE_MONTH = F.floor(F.col("PurchaseDateKey") / 100).cast("int").alias("PurchaseMonth")
+def purchase_month() -> Column:
+    return F.floor(F.col("PurchaseDateKey") / 100).cast("int").alias("PurchaseMonth")
 
 
 def item_sales(items: DataFrame, products: DataFrame, categories: DataFrame) -> DataFrame:
@@ -20,7 +21,7 @@ def item_sales(items: DataFrame, products: DataFrame, categories: DataFrame) ->
 
     Rows are summed per (month, product) before products and categories are joined.
     """
-    per_product = items.groupBy(PURCHASE_MONTH, "ProductKey").agg(
+    per_product = items.groupBy(purchase_month(), "ProductKey").agg(
         F.sum("PriceAmount").alias("_price"), F.sum("FreightAmount").alias("_freight"), F.sum("OrderItemCount").alias("_items")
     )
     return (
@@ -44,7 +45,7 @@ def item_sales_by(items: DataFrame, dimension: DataFrame, key: str, label: str)
 
 
 def orders_by_status(orders: DataFrame) -> DataFrame:
-    return orders.groupBy(PURCHASE_MONTH, "OrderStatus").agg(
+    return orders.groupBy(purchase_month(), "OrderStatus").agg(
         F.sum("OrderCount").alias("Orders"),
         matches(F.col("OrderStatus") == "delivered").alias("Delivered"),
         matches(F.col("OrderStatus") == "canceled").alias("Canceled"),
@@ -59,7 +60,7 @@ def delivery_performance(orders: DataFrame) -> DataFrame:
     days = F.datediff(F.col("DeliveredCustomerTimestamp").cast("date"), F.col("PurchaseTimestamp").cast("date"))
     judged = F.count("DeliveredLateFlag")
     late = F.coalesce(F.sum("DeliveredLateFlag"), F.lit(0))
-    return orders.groupBy(PURCHASE_MONTH).agg(
+    return orders.groupBy(purchase_month()).agg(
         F.sum("OrderCount").alias("Orders"),
         judged.alias("DeliveredOrders"),
         late.alias("LateOrders"),
@@ -71,7 +72,7 @@ def delivery_performance(orders: DataFrame) -> DataFrame:
 
 def average_order_value(payments: DataFrame) -> DataFrame:
     """Mean of the payment total per order, by purchase month."""
-    per_order = payments.groupBy("OrderID", PURCHASE_MONTH).agg(F.sum("PaymentAmount").alias("_total"))
+    per_order = payments.groupBy("OrderID", purchase_month()).agg(F.sum("PaymentAmount").alias("_total"))
     return per_order.groupBy("PurchaseMonth").agg(
         F.count("*").alias("PaidOrders"),
         F.sum("_total").alias("PaymentAmount"),

@@ -17,11 +17,12 @@ from pyspark.sql import functions as F
 from stallkeep.functions import flag, matches
 from stallkeep.operators.compare import (
     ACTUAL,
+    EXPECTED,
     compare_rows,
     difference_measures,
     differences,
-    key_measures,
     profile_measures,
+    summarize,
 )
 from stallkeep.operators.joins import spread_join
 from stallkeep.operators.quality import union_all
@@ -134,6 +135,23 @@ def _compared(expected: DataFrame, actual: DataFrame, scope: str, measures: Mapp
     return _measured(compare_rows(expected, actual), scope, {**difference_measures(), **measures})
 
 
+def _with_date_check(compared: DataFrame, roles: Sequence[str], dates: DataFrame, allow_unknown: bool = False) -> DataFrame:
+    """Add ``_bad_date``: 1 where any date role has no member."""
+    known = dates.select("DateKey") if allow_unknown else dates.select("DateKey").filter("DateKey <> 0")
+    bad = F.lit(False)
+    for role in roles:
+        members = known.select(F.col("DateKey").alias(role), F.lit(1).alias(f"_{role}"))
+        compared = spread_join(compared, members, [role], "left")
+        bad = bad | F.col(f"_{role}").isNull()
+    return compared.withColumn("_bad_date", flag(bad))
+
+
+def _date_measures(*sides: str) -> dict[str, Column]:
+    tallies = profile_measures({"DateKeys": F.col("_bad_date")})
+    names = {"Actual": "InvalidDateKeys", "Expected": "MissingExpectedDateKeys"}
+    return {names[side]: tallies[f"{side}DateKeys"] for side in sides}
+
+
 def _business(df: DataFrame, key: str) -> DataFrame:
     return df.filter(F.col(key) != 0)
 
@@ -348,13 +366,14 @@ def validate_fact_order(t: Tables) -> DataFrame:
     return union_all(
         [
             _measured(t["orders"], scope, {"SourceOrderRows": F.count("*")}),
-            _compared(
-                E.fact_order(t),
-                fact,
+            _measured(
+                _with_date_check(compare_rows(E.fact_order(t), fact), ORDER_DATE_ROLES, t["DimDate"], allow_unknown=True),
                 scope,
                 {
+                    **difference_measures(),
                     **profile_measures(flags),
                     **_missing_expected({"CustomerKeys": "CustomerKey", "GeographyKeys": "CustomerGeographyKey"}),
+                    **_date_measures("Actual"),
                     "InvalidOrderCounts": _bad_counter("OrderCount"),
                 },
             ),
@@ -365,7 +384,6 @@ def validate_fact_order(t: Tables) -> DataFrame:
             ),
             _one(invalid_keys(fact, "CustomerKey", t["DimCustomer"], "CustomerKey"), scope, "InvalidCustomerKeys"),
             _one(invalid_keys(fact, "CustomerGeographyKey", t["DimGeography"], "GeographyKey"), scope, "InvalidGeographyKeys"),
-            _one(invalid_dates(fact, ORDER_DATE_ROLES, t["DimDate"], allow_unknown=True), scope, "InvalidDateKeys"),
         ]
     )
 
@@ -383,11 +401,16 @@ def validate_fact_order_item(t: Tables) -> DataFrame:
     return union_all(
         [
             _measured(t["order_items"], scope, {"SourceRows": F.count("*")}),
-            _compared(
-                E.fact_order_item(t),
-                fact,
+            _measured(
+                _with_date_check(compare_rows(E.fact_order_item(t), fact), ["PurchaseDateKey", "ShippingLimitDateKey"], t["DimDate"]),
                 scope,
-                {**profile_measures(profile), **_missing_expected(keys), "InvalidOrderItemCounts": _bad_counter("OrderItemCount")},
+                {
+                    **difference_measures(),
+                    **profile_measures(profile),
+                    **_missing_expected(keys),
+                    **_date_measures("Actual"),
+                    "InvalidOrderItemCounts": _bad_counter("OrderItemCount"),
+                },
             ),
             _renamed(grain(fact, ["OrderID", "OrderItemID"]), scope, {"DuplicateNaturalGrain": "DuplicateKeys"}),
             _measured(
@@ -406,21 +429,17 @@ def validate_fact_order_item(t: Tables) -> DataFrame:
                 )
                 for name, column in keys.items()
             ],
-            _one(
-                invalid_dates(fact, ["PurchaseDateKey", "ShippingLimitDateKey"], t["DimDate"], allow_unknown=False),
-                scope,
-                "InvalidDateKeys",
-            ),
             _one(missing_matches(fact, t["FactOrder"], "OrderID"), scope, "MissingFactOrderMatches"),
         ]
     )
 
 
-def _sequence_orders(compared: DataFrame) -> dict[str, Column]:
+def _broken_orders() -> dict[str, Column]:
+    """Orders with a broken payment sequence, where the measures are totalled per order."""
     broken = F.col("PaymentSequenceAnomalyFlag") == 1
     return {
-        f"{side}SequenceAnomalyOrders": F.count_distinct(F.when(broken & (F.col(column) > 0), F.col("OrderID")))
-        for side, column in (("Expected", "_expected_rows"), ("Actual", "_actual_rows"))
+        "ExpectedSequenceAnomalyOrders": F.max(F.when(broken & (F.col(EXPECTED) > 0), 1).otherwise(0)),
+        "ActualSequenceAnomalyOrders": F.max(F.when(broken & (F.col(ACTUAL) > 0), 1).otherwise(0)),
     }
 
 
@@ -433,21 +452,25 @@ def validate_fact_payment(t: Tables) -> DataFrame:
         "ZeroInstallments": F.col("ZeroInstallmentFlag"),
         "ZeroPaymentValues": F.col("ZeroPaymentValueFlag"),
     }
-    compared = compare_rows(E.fact_payment(t), fact)
+    compared = _with_date_check(compare_rows(E.fact_payment(t), fact), ["PurchaseDateKey"], t["DimDate"])
     return union_all(
         [
             _measured(t["payments"], scope, {"SourceRows": F.count("*")}),
-            _measured(
-                compared,
+            long_metrics(
+                summarize(
+                    compared,
+                    {
+                        **difference_measures(),
+                        **profile_measures(profile),
+                        **_broken_orders(),
+                        **_missing_expected({"CustomerKeys": "CustomerKey", "GeographyKeys": "CustomerGeographyKey"}),
+                        **_date_measures("Actual"),
+                        "InvalidPaymentCounts": _bad_counter("PaymentCount"),
+                    },
+                    "OrderID",
+                    "Orders",
+                ),
                 scope,
-                {
-                    **difference_measures(),
-                    **profile_measures(profile),
-                    **key_measures(["OrderID"], "Orders"),
-                    **_sequence_orders(compared),
-                    **_missing_expected({"CustomerKeys": "CustomerKey", "GeographyKeys": "CustomerGeographyKey"}),
-                    "InvalidPaymentCounts": _bad_counter("PaymentCount"),
-                },
             ),
             _renamed(grain(fact, ["OrderID", "PaymentSequential"]), scope, {"DuplicateNaturalGrain": "DuplicateKeys"}),
             _measured(
@@ -460,7 +483,6 @@ def validate_fact_payment(t: Tables) -> DataFrame:
             ),
             _one(invalid_keys(fact, "CustomerKey", t["DimCustomer"], "CustomerKey"), scope, "InvalidCustomerKeys"),
             _one(invalid_keys(fact, "CustomerGeographyKey", t["DimGeography"], "GeographyKey"), scope, "InvalidGeographyKeys"),
-            _one(invalid_dates(fact, ["PurchaseDateKey"], t["DimDate"], allow_unknown=False), scope, "InvalidDateKeys"),
             _one(missing_matches(fact, t["FactOrder"], "OrderID"), scope, "MissingFactOrderMatches"),
             _renamed(
                 childless_comparison(t["orders"], t["payments"], t["FactOrder"], fact),
@@ -497,20 +519,24 @@ def validate_fact_review(t: Tables) -> DataFrame:
         "AnsweredBeforeDeliveryNull": flag(answered.isNull()),
         "AnsweredBeforeCreation": F.col("ReviewAnsweredBeforeCreationFlag"),
     }
-    expected = E.fact_review(t)
+    compared = _with_date_check(compare_rows(E.fact_review(t), fact), REVIEW_DATE_ROLES, t["DimDate"])
     return union_all(
         [
             _measured(t["reviews"], scope, {"SourceRows": F.count("*")}),
-            _compared(
-                expected,
-                fact,
+            long_metrics(
+                summarize(
+                    compared,
+                    {
+                        **difference_measures(),
+                        **profile_measures(profile),
+                        **_missing_expected({"CustomerKeys": "CustomerKey", "GeographyKeys": "CustomerGeographyKey"}),
+                        **_date_measures("Expected", "Actual"),
+                        "InvalidReviewCounts": _bad_counter("ReviewCount"),
+                    },
+                    "OrderID",
+                    "Orders",
+                ),
                 scope,
-                {
-                    **profile_measures(profile),
-                    **key_measures(["OrderID"], "Orders"),
-                    **_missing_expected({"CustomerKeys": "CustomerKey", "GeographyKeys": "CustomerGeographyKey"}),
-                    "InvalidReviewCounts": _bad_counter("ReviewCount"),
-                },
             ),
             _one(duplicate_id_groups(t["reviews"], "review_id"), scope, "ExpectedDuplicateReviewIDGroups"),
             _one(duplicate_id_groups(fact, "ReviewID"), scope, "ActualDuplicateReviewIDGroups"),
@@ -524,8 +550,6 @@ def validate_fact_review(t: Tables) -> DataFrame:
                     "InvalidReviewScores": matches(F.col("ReviewScore").isNull() | ~F.col("ReviewScore").between(1, 5)),
                 },
             ),
-            _one(invalid_dates(expected, REVIEW_DATE_ROLES, t["DimDate"], allow_unknown=False), scope, "MissingExpectedDateKeys"),
-            _one(invalid_dates(fact, REVIEW_DATE_ROLES, t["DimDate"], allow_unknown=False), scope, "InvalidDateKeys"),
             _one(invalid_keys(fact, "CustomerKey", t["DimCustomer"], "CustomerKey"), scope, "InvalidCustomerKeys"),
             _one(invalid_keys(fact, "CustomerGeographyKey", t["DimGeography"], "GeographyKey"), scope, "InvalidGeographyKeys"),
             _one(missing_matches(fact, t["FactOrder"], "OrderID"), scope, "MissingFactOrderMatches"),

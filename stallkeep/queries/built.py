@@ -7,6 +7,7 @@ over the role views, into the shared scratch folder.
 from __future__ import annotations
 
 import threading
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -32,8 +33,10 @@ def staged_store(spark: SparkSession, sf_dir: str) -> Store:
         if key not in _staged:
             store = Store(spark, scratch_path(spark, "warehouse"))
             run = store.new_run()
-            for name in STAGING:
-                store.write(run, name, role(spark, sf_dir, name))
+            with ThreadPoolExecutor(max_workers=4) as pool:
+                writes = [pool.submit(store.write, run, name, role(spark, sf_dir, name)) for name in STAGING]
+                for done in writes:
+                    done.result()
             store.publish(run, STAGING)
             _staged[key] = store
         return _staged[key]

@@ -12,26 +12,35 @@ from stallkeep.queries.oracle import moment
 from stallkeep.queries.shape import micro
 
 
-def _observed(spark, sf):
-    t = staging(spark, sf)
+def _observed(s, d):
+    t = staging(s, d)
     return geography.geolocation_observations(t["geolocation"]), geography.reference_observations(t["customers"], t["sellers"])
 
 
-def _states(spark, sf):
-    observations, references = _observed(spark, sf)
-    return geography.state_resolution(geography.state_candidates(observations, references))
+def _counted(s, d):
+    observations, references = _observed(s, d)
+    return geography.label_counts(observations), geography.label_counts(references)
 
 
-def _spellings(spark, sf):
-    return geography.city_spellings(_observed(spark, sf)[0], _states(spark, sf))
+def _states(s, d):
+    return geography.state_resolution(geography.state_candidates(*_counted(s, d)))
 
 
-def _supported(spark, sf):
-    return geography.supported_cities(geography.city_candidates(_spellings(spark, sf)), _observed(spark, sf)[1])
+def _spellings(s, d):
+    return geography.city_spellings(_counted(s, d)[0], _states(s, d))
 
 
-def _conformed(spark, sf):
-    t = staging(spark, sf)
+def _supported(s, d):
+    return geography.supported_cities(geography.city_candidates(_spellings(s, d)), _counted(s, d)[1])
+
+
+def _coordinates(s, d):
+    largest = geography.largest_group(_counted(s, d)[0])
+    return geography.representative_coordinates(_observed(s, d)[0], _states(s, d), largest)
+
+
+def _conformed(s, d):
+    t = staging(s, d)
     return geography.conformed_geography(t["geolocation"], t["customers"], t["sellers"])
 
 
@@ -56,8 +65,12 @@ def _purchases(spark, sf):
     return customer.customer_orders(t["customers"], t["orders"])
 
 
-def _latest_rows(spark, sf):
-    latest = customer.latest_purchases(_purchases(spark, sf))
+def _activity(s, d):
+    return customer.customer_activity(_purchases(s, d))
+
+
+def _latest_rows(s, d):
+    latest = customer.latest_purchases(_activity(s, d))
     return latest.select("customer_unique_id", "LatestTimestamp", "LatestTimestampRows")
 
 
@@ -71,21 +84,19 @@ QUERIES = {
         staging(s, d)["geolocation"].withColumn("CityMatchKey", city_key("geolocation_city")), ["geolocation_city", "CityMatchKey"]
     ),
     "geo_02_reference_observations": lambda s, d: _observed(s, d)[1],
-    "geo_03_state_support": lambda s, d: geography.state_support(_observed(s, d)[1]),
-    "geo_04_city_support": lambda s, d: geography.city_support(_observed(s, d)[1]),
-    "geo_05_zip_universe": lambda s, d: geography.zip_universe(*_observed(s, d)),
-    "geo_06_source_statistics": lambda s, d: geography.source_statistics(_observed(s, d)[0]),
-    "geo_07_state_candidates": lambda s, d: geography.state_candidates(*_observed(s, d)),
-    "geo_08_ranked_states": lambda s, d: geography.ranked_states(geography.state_candidates(*_observed(s, d))),
+    "geo_03_state_support": lambda s, d: geography.state_support(_counted(s, d)[1]),
+    "geo_04_city_support": lambda s, d: geography.city_support(_counted(s, d)[1]),
+    "geo_05_zip_universe": lambda s, d: geography.zip_universe(*_counted(s, d)),
+    "geo_06_source_statistics": lambda s, d: geography.source_statistics(_counted(s, d)[0]),
+    "geo_07_state_candidates": lambda s, d: geography.state_candidates(*_counted(s, d)),
+    "geo_08_ranked_states": lambda s, d: geography.ranked_states(geography.state_candidates(*_counted(s, d))),
     "geo_09_state_resolution": _states,
     "geo_10_city_candidates": lambda s, d: geography.city_candidates(_spellings(s, d)),
     "geo_11_supported_cities": _supported,
     "geo_12_city_key_resolution": lambda s, d: geography.city_resolution(_supported(s, d)),
     "geo_13_city_label": _city_resolution,
-    "geo_14_reference_fallback": lambda s, d: geography.reference_fallback(_observed(s, d)[1]),
-    "geo_15_median_coordinates": lambda s, d: _with_micro(
-        geography.representative_coordinates(_observed(s, d)[0], _states(s, d))
-    ),
+    "geo_14_reference_fallback": lambda s, d: geography.reference_fallback(_counted(s, d)[1]),
+    "geo_15_median_coordinates": lambda s, d: _with_micro(_coordinates(s, d)),
     "geo_16_conformed_geography": lambda s, d: _with_micro(_conformed(s, d)),
     "geo_17_profile": lambda s, d: geography.geography_profile(_conformed(s, d)),
     "geo_18_required_zip_coverage": lambda s, d: geography.required_zip_coverage(
@@ -93,9 +104,9 @@ QUERIES = {
     ),
     "geo_19_unresolved": lambda s, d: geography.unresolved_geography(warehouse(s, d)["Geography"]),
     "cst_01_customer_orders": _purchases,
-    "cst_02_identity_summary": lambda s, d: customer.identity_summary(_purchases(s, d)),
+    "cst_02_identity_summary": lambda s, d: customer.identity_summary(_activity(s, d)),
     "cst_03_latest_timestamp_rows": _latest_rows,
-    "cst_04_latest_record": lambda s, d: customer.latest_purchases(_purchases(s, d)).select(
+    "cst_04_latest_record": lambda s, d: customer.latest_purchases(_activity(s, d)).select(
         "customer_unique_id", "RepresentativeCustomerID", "RepresentativeOrderID", "ZipCodePrefix", "CityName", "StateCode"
     ),
     "cst_05_conformed_customer": _customer,
