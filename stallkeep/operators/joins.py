@@ -44,6 +44,7 @@ def spread_join(
     how: str = "left",
     hot_rows: int = HOT_ROWS,
     broadcast_bytes: int = BROADCAST_BYTES,
+    hot_from: DataFrame | None = None,
 ) -> DataFrame:
     """``big.join(reference, on, how)`` for how in left, inner, left_semi, left_anti.
 
@@ -52,11 +53,14 @@ def spread_join(
     reference rows of hot keys are copied, once per piece. The piece of a row
     depends on its values and its input partition alone, so a retried task
     sends each row to the same place.
+
+    ``hot_from`` is a cheaper frame with the same key column to look for hot
+    keys in, such as the table ``big`` was derived from row by row.
     """
     on = list(on)
     if fits_broadcast(reference, broadcast_bytes):
         return big.join(F.broadcast(reference), on, how)
-    hot = F.broadcast(hot_keys(big, on, hot_rows))
+    hot = F.broadcast(hot_keys(big if hot_from is None else hot_from, on, hot_rows))
     row_hash = F.xxhash64(*[F.col(c) for c in big.columns]) + F.spark_partition_id()
     without_key = reduce(or_, [F.col(c).isNull() for c in on])
     pieces = F.when(without_key, NULL_KEY_PIECES).otherwise(F.coalesce(F.col("_pieces"), F.lit(1)))
@@ -73,25 +77,43 @@ def required(value: Column, message: str) -> Column:
     return F.when(value.isNull(), F.raise_error(F.lit(message))).otherwise(value)
 
 
-def strict_lookup(
+def lookup(
     rows: DataFrame,
     dimension: DataFrame,
     business_key: str,
     surrogate_key: str,
     source_key: str,
     output: str | None = None,
-    **spread: int,
+    **spread,
 ) -> DataFrame:
-    """Add the surrogate key of ``source_key``; a row without a match fails the job.
+    """Add the surrogate key of ``source_key``, NULL without a match.
 
     The Unknown member (key 0) never matches. ``dimension`` must hold each
     business key once, which the dimension loads guarantee and their
     validators check.
     """
-    output = output or surrogate_key
     members = dimension.filter(F.col(surrogate_key) != 0).select(
-        F.col(business_key).alias(source_key), F.col(surrogate_key).alias("_found")
+        F.col(business_key).alias(source_key), F.col(surrogate_key).alias(output or surrogate_key)
     )
-    joined = spread_join(rows, members, [source_key], "left", **spread)
-    message = f"no {surrogate_key} for a value of {source_key}"
-    return joined.withColumn(output, required(F.col("_found"), message)).drop("_found")
+    return spread_join(rows, members, [source_key], "left", **spread)
+
+
+def found(surrogate_key: str, source_key: str, output: str | None = None) -> Column:
+    """A looked-up key that must be there: a row without it fails the job."""
+    output = output or surrogate_key
+    return required(F.col(output), f"no {surrogate_key} for a value of {source_key}").alias(output)
+
+
+def strict_lookup(
+    rows: DataFrame,
+    dimension: DataFrame,
+    business_key: str,
+    surrogate_key: str,
+    source_key: str,
+    output: str | None = None,
+    **spread,
+) -> DataFrame:
+    """``lookup`` where a row without a match fails the job."""
+    joined = lookup(rows, dimension, business_key, surrogate_key, source_key, output, **spread)
+    output = output or surrogate_key
+    return joined.withColumn(output, found(surrogate_key, source_key, output))

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from stallkeep.functions import date_key, flag, flag_unless_null
-from stallkeep.operators.joins import HOT_ROWS, spread_join, strict_lookup
+from stallkeep.operators.joins import HOT_ROWS, found, lookup, spread_join
 from stallkeep.operators.quality import sequence_profile
 
 
@@ -27,16 +27,29 @@ def delivered_late(delivered: Column, estimated: Column) -> Column:
     return flag_unless_null(delivered, delivered.cast("date") > estimated)
 
 
-def order_source(orders: DataFrame, customers: DataFrame) -> DataFrame:
-    """One row per order with the business keys and every column that needs no lookup."""
+def keyed_customers(customers: DataFrame, dim_customer: DataFrame, dim_geography: DataFrame) -> DataFrame:
+    """Customers with their surrogate keys; NULL where a lookup finds nothing.
+
+    Resolving keys per customer leaves a single join for the orders, the
+    larger table. A customer who never ordered has no dimension row, so a
+    missing key is an error only once an order needs it.
+    """
     owners = customers.select("customer_id", "customer_unique_id", "customer_zip_code_prefix")
+    known = lookup(owners, dim_customer, "CustomerUniqueID", "CustomerKey", "customer_unique_id", hot_from=customers)
+    return lookup(
+        known, dim_geography, "ZipCodePrefix", "GeographyKey", "customer_zip_code_prefix", "CustomerGeographyKey", hot_from=customers
+    ).select("customer_id", "CustomerKey", "CustomerGeographyKey")
+
+
+def order_source(orders: DataFrame, owners: DataFrame) -> DataFrame:
+    """One row per order of a known customer: keys, dates, times and flags."""
     purchase, approved = F.col("order_purchase_timestamp"), F.col("order_approved_at")
     carrier, delivered = F.col("order_delivered_carrier_date"), F.col("order_delivered_customer_date")
     estimated = F.col("order_estimated_delivery_date")
     return spread_join(orders, owners, ["customer_id"], "inner").select(
         F.col("order_id").alias("OrderID"),
-        F.col("customer_unique_id").alias("CustomerUniqueID"),
-        F.col("customer_zip_code_prefix").alias("CustomerZipCodePrefix"),
+        found("CustomerKey", "customer_unique_id"),
+        found("GeographyKey", "customer_zip_code_prefix", "CustomerGeographyKey"),
         date_key(purchase).alias("PurchaseDateKey"),
         date_key(approved, null_as_unknown=True).alias("ApprovedDateKey"),
         date_key(carrier, null_as_unknown=True).alias("CarrierDateKey"),
@@ -81,12 +94,8 @@ REVIEW_COLUMNS = (
 
 
 def fact_order(orders: DataFrame, customers: DataFrame, dim_customer: DataFrame, dim_geography: DataFrame) -> DataFrame:
-    source = order_source(orders, customers)
-    keyed = strict_lookup(source, dim_customer, "CustomerUniqueID", "CustomerKey", "CustomerUniqueID")
-    located = strict_lookup(
-        keyed, dim_geography, "ZipCodePrefix", "GeographyKey", "CustomerZipCodePrefix", "CustomerGeographyKey"
-    )
-    return located.select(*ORDER_COLUMNS)
+    owners = keyed_customers(customers, dim_customer, dim_geography)
+    return order_source(orders, owners).select(*ORDER_COLUMNS)
 
 
 def _of_order(orders: DataFrame, *extra: str) -> DataFrame:
@@ -107,14 +116,13 @@ def _of_order(orders: DataFrame, *extra: str) -> DataFrame:
 
 def fact_order_item(items: DataFrame, orders: DataFrame, dim_product: DataFrame, dim_seller: DataFrame) -> DataFrame:
     """``orders`` is the loaded FactOrder."""
-    joined = spread_join(items, _of_order(orders), ["order_id"], "inner")
-    keyed = strict_lookup(joined, dim_product, "ProductID", "ProductKey", "product_id")
-    sold = strict_lookup(keyed, dim_seller, "SellerID", "SellerKey", "seller_id")
-    return sold.select(
+    keyed = lookup(items, dim_product, "ProductID", "ProductKey", "product_id")
+    keyed = lookup(keyed, dim_seller, "SellerID", "SellerKey", "seller_id", hot_from=items)
+    return spread_join(keyed, _of_order(orders), ["order_id"], "inner", hot_from=items).select(
         F.col("order_id").alias("OrderID"),
         F.col("order_item_id").alias("OrderItemID"),
-        "ProductKey",
-        "SellerKey",
+        found("ProductKey", "product_id"),
+        found("SellerKey", "seller_id"),
         "CustomerKey",
         "CustomerGeographyKey",
         "PurchaseDateKey",
@@ -151,7 +159,7 @@ def payment_flags(payments: DataFrame) -> DataFrame:
 
 def fact_payment(payments: DataFrame, orders: DataFrame) -> DataFrame:
     flagged = payment_flags(with_sequence_anomaly(payments))
-    return spread_join(flagged, _of_order(orders), ["order_id"], "inner").select(
+    return spread_join(flagged, _of_order(orders), ["order_id"], "inner", hot_from=payments).select(
         F.col("order_id").alias("OrderID"),
         F.col("payment_sequential").alias("PaymentSequential"),
         "CustomerKey",
@@ -202,7 +210,7 @@ def review_flags(reviews: DataFrame, purchase: str, delivered: str) -> DataFrame
 
 def fact_review(reviews: DataFrame, orders: DataFrame) -> DataFrame:
     of_order = _of_order(orders, "PurchaseTimestamp", "DeliveredCustomerTimestamp")
-    joined = spread_join(with_duplicate_review_flag(reviews), of_order, ["order_id"], "inner")
+    joined = spread_join(with_duplicate_review_flag(reviews), of_order, ["order_id"], "inner", hot_from=reviews)
     return review_flags(joined, "PurchaseTimestamp", "DeliveredCustomerTimestamp").select(
         F.col("review_id").alias("ReviewID"),
         F.col("order_id").alias("OrderID"),

@@ -14,7 +14,10 @@ SESSION_SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     # Split a skewed join even where that costs one more shuffle behind it.
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
-    "spark.sql.parquet.filterPushdown": "true",
+    # Size of the pieces REBALANCE cuts large partitions of a written table into.
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128MB",
+    # Checkpoints go once nothing refers to them any more.
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
 }
 
