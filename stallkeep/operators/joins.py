@@ -9,7 +9,7 @@ from operator import or_
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-BROADCAST_BYTES = 32 * 1024 * 1024
+BROADCAST_BYTES = 16 * 1024 * 1024
 HOT_ROWS = 20_000_000
 # Rows without a key match nothing, so they may go to any of this many pieces.
 NULL_KEY_PIECES = 4096
@@ -45,6 +45,7 @@ def spread_join(
     hot_rows: int = HOT_ROWS,
     broadcast_bytes: int = BROADCAST_BYTES,
     hot_from: DataFrame | None = None,
+    size_from: DataFrame | None = None,
 ) -> DataFrame:
     """``big.join(reference, on, how)`` for how in left, inner, left_semi, left_anti.
 
@@ -55,10 +56,13 @@ def spread_join(
     sends each row to the same place.
 
     ``hot_from`` is a cheaper frame with the same key column to look for hot
-    keys in, such as the table ``big`` was derived from row by row.
+    keys in, such as the table ``big`` was derived from row by row. Likewise
+    ``size_from`` is the table a derived reference takes its rows from: the
+    optimizer multiplies the sizes of joined inputs, so its estimate for a
+    reference that went through lookups is far too large.
     """
     on = list(on)
-    if fits_broadcast(reference, broadcast_bytes):
+    if fits_broadcast(reference if size_from is None else size_from, broadcast_bytes):
         return big.join(F.broadcast(reference), on, how)
     hot = F.broadcast(hot_keys(big if hot_from is None else hot_from, on, hot_rows))
     row_hash = F.xxhash64(*[F.col(c) for c in big.columns]) + F.spark_partition_id()

@@ -29,10 +29,8 @@ PRODUCT_NUMBERS = (
 
 
 def as_text(column: str, kind) -> Column:
-    value = F.col(column)
-    if kind.typeName() in ("timestamp", "timestamp_ntz"):
-        value = F.date_format(value, "yyyy-MM-dd HH:mm:ss")
-    return value.cast("string")
+    value = F.col(column).cast("string")
+    return F.substring(value, 1, 19) if kind.typeName() in ("timestamp", "timestamp_ntz") else value
 
 
 def long(one_row: DataFrame) -> DataFrame:

@@ -41,12 +41,15 @@ def keyed_customers(customers: DataFrame, dim_customer: DataFrame, dim_geography
     ).select("customer_id", "CustomerKey", "CustomerGeographyKey")
 
 
-def order_source(orders: DataFrame, owners: DataFrame) -> DataFrame:
-    """One row per order of a known customer: keys, dates, times and flags."""
+def order_source(orders: DataFrame, owners: DataFrame, customers: DataFrame) -> DataFrame:
+    """One row per order of a known customer: keys, dates, times and flags.
+
+    ``owners`` has one row per row of ``customers``.
+    """
     purchase, approved = F.col("order_purchase_timestamp"), F.col("order_approved_at")
     carrier, delivered = F.col("order_delivered_carrier_date"), F.col("order_delivered_customer_date")
     estimated = F.col("order_estimated_delivery_date")
-    return spread_join(orders, owners, ["customer_id"], "inner").select(
+    return spread_join(orders, owners, ["customer_id"], "inner", size_from=customers).select(
         F.col("order_id").alias("OrderID"),
         found("CustomerKey", "customer_unique_id"),
         found("GeographyKey", "customer_zip_code_prefix", "CustomerGeographyKey"),
@@ -95,7 +98,7 @@ REVIEW_COLUMNS = (
 
 def fact_order(orders: DataFrame, customers: DataFrame, dim_customer: DataFrame, dim_geography: DataFrame) -> DataFrame:
     owners = keyed_customers(customers, dim_customer, dim_geography)
-    return order_source(orders, owners).select(*ORDER_COLUMNS)
+    return order_source(orders, owners, customers).select(*ORDER_COLUMNS)
 
 
 def _of_order(orders: DataFrame, *extra: str) -> DataFrame:

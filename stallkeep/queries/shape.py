@@ -17,9 +17,9 @@ def portable(df: DataFrame) -> DataFrame:
         elif isinstance(kind, (T.BooleanType, T.IntegralType)):
             column = column.cast("long")
         elif isinstance(kind, T.DateType):
-            column = F.date_format(column, "yyyy-MM-dd")
+            column = column.cast("string")
         elif isinstance(kind, (T.TimestampType, T.TimestampNTZType)):
-            column = F.date_format(column, "yyyy-MM-dd HH:mm:ss")
+            column = F.substring(column.cast("string"), 1, 19)
         columns.append(column.alias(field.name))
     return df.select(*columns)
 
