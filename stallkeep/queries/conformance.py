@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
-
 from stallkeep.functions import city_key
 from stallkeep.operators.quality import distribution
 from stallkeep.plans import category, customer, geography

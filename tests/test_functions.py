@@ -3,7 +3,6 @@ import datetime as dt
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import rows
 from stallkeep.functions import city_key, date_key, flag, flag_unless_null, folded, is_blank, jalali_date, jalali_parts, text_length
 from stallkeep.functions.calendar import with_gregorian_attributes, with_jalali_attributes
 from stallkeep.plans.dates import known_conversions
