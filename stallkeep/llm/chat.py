@@ -62,10 +62,10 @@ def turn_tokens(conversations: DataFrame, template: Template) -> DataFrame:
     fields = pa.schema([("conv_id", pa.int64()), ("turn", pa.int64()), ("ids", pa.binary()), ("mask_from", pa.int64()), ("mask_to", pa.int64())])
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = ByteBpe(template.tokenizer)
+        encoder = ByteBpe.shared(template.tokenizer)
         marks = (template.start_id, template.role_end_id, template.end_id)
         start, role_end, end = (np.array([i], dtype="<u4").tobytes() for i in marks)
-        for batch in weighed(batches, 3, 4_000_000):
+        for batch in weighed(batches, 3, 2_000_000):
             conv, turn, role, text = (c.to_pylist() for c in batch.columns)
             heads = encoder.encode([escape(r or "") for r in role])
             bodies = encoder.encode([escape(t or "") for t in text])
@@ -130,7 +130,7 @@ def read_back(parts: DataFrame, template: Template) -> DataFrame:
     fields = pa.schema([(n, pa.string() if n in ("role", "text", "loss") else pa.int64()) for n in names])
 
     def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        decoder = ByteBpe(template.tokenizer)
+        decoder = ByteBpe.shared(template.tokenizer)
         for batch in batches:
             for conv, part, first, _, ids, starts, ends, before in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 tokens = np.frombuffer(ids, "<u4")

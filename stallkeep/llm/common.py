@@ -12,6 +12,8 @@ from stallkeep.session import scratch_path, scratch_root
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A table of texts: its batches to Python hold few rows, since one may be megabytes long."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1000")
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 

@@ -39,7 +39,7 @@ def write(documents: DataFrame, tokenizer: str, path: str, end_id: int = 2, segm
     end = np.array([end_id], dtype="<u4").tobytes()
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, part, no, before = ByteBpe(tokenizer), TaskContext.get().partitionId(), 0, 0
+        encoder, part, no, before = ByteBpe.shared(tokenizer), TaskContext.get().partitionId(), 0, 0
         held: list[tuple[int | None, bytes]] = []
         size = 0
 
@@ -51,7 +51,7 @@ def write(documents: DataFrame, tokenizer: str, path: str, end_id: int = 2, segm
             packed = [zlib.compress(a.tobytes()) for a in (np.diff(docs, prepend=0), lengths, nulls)]
             return batch_of(fields, zip((part, no, before, len(ids), *packed, idcoder.encode(ids)), strict=True))
 
-        for batch in weighed(batches, 1, 4_000_000):
+        for batch in weighed(batches, 1, 2_000_000):
             for doc, ids in zip(batch.column(0).to_pylist(), encoder.encode(batch.column(1).to_pylist()), strict=True):
                 held.append((doc, ids + end))
                 size += len(ids) // 4 + 1

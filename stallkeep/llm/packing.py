@@ -121,8 +121,8 @@ def document_pieces(documents: DataFrame, tokenizer: str, capacity: int = CAPACI
     end = np.array([end_id], dtype="<u4").tobytes()
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = ByteBpe(tokenizer)
-        for batch in weighed(batches, 1, 4_000_000):
+        encoder = ByteBpe.shared(tokenizer)
+        for batch in weighed(batches, 1, 2_000_000):
             rows = []
             for doc, ids in zip(batch.column(0).to_pylist(), encoder.encode(batch.column(1).to_pylist()), strict=True):
                 ids += end

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 from tokenizers import Tokenizer
@@ -25,20 +27,34 @@ class ByteBpe:
         self._tokenizer = Tokenizer.from_file(path)
         self._tokenizer.encode_special_tokens = True
         self._limit = cached_words
-        self._ids: dict[str, bytes | None] = {"": b""}
+        self._line_end = int(np.frombuffer(self.whole(["\n"])[0], "<u4")[0])
+        self._ids: dict[str, bytes | None] = {"": b"", "\n": self.whole(["\n"])[0]}
+
+    @staticmethod
+    @lru_cache(maxsize=2)
+    def shared(path: str) -> ByteBpe:
+        """One encoder for all tasks that a Python worker runs."""
+        return ByteBpe(path)
 
     def whole(self, texts: Sequence[str]) -> list[bytes]:
         found = self._tokenizer.encode_batch_fast(list(texts), add_special_tokens=False)
         return [np.asarray(e.ids, dtype="<u4").tobytes() for e in found]
 
+    def _words(self, words: list[str]) -> list[bytes]:
+        """Ids of single words, taken from texts of many lines: a line end between two words is an id of its own."""
+        out: list[bytes] = []
+        for at in range(0, len(words), 20_000):
+            some = words[at : at + 20_000]
+            ids = np.frombuffer(self.whole(["\n".join(some)])[0], "<u4")
+            parts = np.split(ids, np.flatnonzero(ids == self._line_end))
+            out += [p[min(i, 1) :].tobytes() for i, p in enumerate(parts)] if len(parts) == len(some) else self.whole(some)
+        return out
+
     def decode(self, ids: Sequence[int]) -> str:
         return self._tokenizer.decode([int(i) for i in ids], skip_special_tokens=False)
 
     def encode(self, texts: Sequence[str | None]) -> list[bytes]:
         known = self._ids
-        if len(known) > self._limit:
-            known.clear()
-            known[""] = b""
         cut: list[list[str] | None] = []
         for text in texts:
             text = text or ""
@@ -49,7 +65,7 @@ class ByteBpe:
         new = {w for words in cut if words for w in words if w not in known}
         sound = [w for w in new if _stands_alone(w)]
         known.update(dict.fromkeys(new))
-        known.update(zip(sound, self.whole(sound), strict=True))
+        known.update(zip(sound, self._words(sound), strict=True))
         out: list[bytes | None] = []
         for words in cut:
             try:
@@ -64,6 +80,4 @@ class ByteBpe:
 
 def _stands_alone(word: str) -> bool:
     """White space at the edges of a word would join with that of its neighbours."""
-    if word == "\n":
-        return True
     return not word[-1].isspace() and not (word[1:2] if word[0] == " " else word[:1]).isspace()
