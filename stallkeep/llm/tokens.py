@@ -1,15 +1,16 @@
-"""Token ids of a byte-level BPE, with a cache of words."""
+"""Token ids of a byte-level BPE, with a table of known words."""
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 from functools import lru_cache
-from itertools import chain
 
 import numpy as np
 from tokenizers import Tokenizer
 
-_CUT = "\x00"
+_SPACE, _LINE = 32, 10
+_STEP = 0x9E3779B97F4A7C15  # odd, so that powers of it have inverses
+_WINDOW = 1 << 20  # bytes hashed together
 
 
 class ByteBpe:
@@ -17,18 +18,29 @@ class ByteBpe:
 
     A byte-level BPE cuts a text into words first and merges inside each, so a
     text is the concatenation of its words' ids. Texts whose white space is
-    single spaces and line ends (nearly all) are cut there, and the ids of a
-    word come from a bounded cache; any other text is encoded whole. Both ways
-    give the ids the tokenizer itself gives. A null text counts as empty.
-    Strings of special tokens inside a text are ordinary text.
+    single spaces and line ends (nearly all) are cut there with array
+    operations, and the ids of a word come from a bounded table under a 64-bit
+    hash of its bytes; the tokenizer sees words that are not in the table, and
+    whole texts where white space meets in another way. Both ways give the ids
+    of ``encode`` on the text. A null text counts as empty. Strings of special
+    tokens inside a text are ordinary text. Ids must be below 65,536.
     """
 
-    def __init__(self, path: str, cached_words: int = 300_000):
+    def __init__(self, path: str, known_words: int = 1_200_000):
         self._tokenizer = Tokenizer.from_file(path)
         self._tokenizer.encode_special_tokens = True
-        self._limit = cached_words
+        if self._tokenizer.get_vocab_size() > 1 << 16:
+            raise ValueError("ids beyond 65,535")
         self._line_end = int(np.frombuffer(self.whole(["\n"])[0], "<u4")[0])
-        self._ids: dict[str, bytes | None] = {"": b"", "\n": self.whole(["\n"])[0]}
+        self._limit = known_words
+        self._clear()
+        rng = np.random.default_rng(20)
+        self._code = rng.integers(1, 1 << 63, 256, dtype=np.uint64)
+        steps = np.full(_WINDOW, _STEP, np.uint64)
+        steps[0] = 1
+        self._power = np.cumprod(steps, dtype=np.uint64)
+        steps[1:] = pow(_STEP, -1, 1 << 64)
+        self._inverse = np.cumprod(steps, dtype=np.uint64)
 
     @staticmethod
     @lru_cache(maxsize=2)
@@ -40,44 +52,145 @@ class ByteBpe:
         found = self._tokenizer.encode_batch_fast(list(texts), add_special_tokens=False)
         return [np.asarray(e.ids, dtype="<u4").tobytes() for e in found]
 
-    def _words(self, words: list[str]) -> list[bytes]:
-        """Ids of single words, taken from texts of many lines: a line end between two words is an id of its own."""
+    def decode(self, ids: Sequence[int]) -> str:
+        return self._tokenizer.decode([int(i) for i in ids], skip_special_tokens=False)
+
+    def encode(self, texts: Sequence[str | None]) -> list[bytes]:
+        raw = [(t or "").encode() for t in texts]
+        out: list[bytes] = []
+        start = 0
+        while start < len(raw):  # windows of texts; one beyond the window goes whole
+            end, size = start, 0
+            while end < len(raw) and size + len(raw[end]) < _WINDOW:
+                size += len(raw[end])
+                end += 1
+            if end == start:
+                out += self.whole([texts[start]])
+                start += 1
+            else:
+                out += self._window(raw[start:end])
+                start = end
+        return out
+
+    def _window(self, raw: list[bytes]) -> list[bytes]:
+        data = np.frombuffer(b"".join(raw), np.uint8)
+        sizes = np.array([len(r) for r in raw])
+        edges = np.concatenate(([0], np.cumsum(sizes)))
+        if not len(data):
+            return [b""] * len(raw)
+        line = data == _LINE
+        begins = (data == _SPACE) | line
+        begins[1:] |= line[:-1]
+        begins[edges[:-1][sizes > 0]] = True
+        starts = np.flatnonzero(begins)
+        ends = np.append(starts[1:], len(data))
+        at, length = self._find(data, starts, ends)
+        total = np.cumsum(length)
+        ids = self._store[np.repeat(at - (total - length), length) + np.arange(total[-1])].astype("<u4")
+        bounds = np.concatenate(([0], total))[np.searchsorted(starts, edges)]
+        out = [ids[a:b].tobytes() for a, b in zip(bounds[:-1], bounds[1:], strict=True)]
+        odd = np.flatnonzero(_uneven(data, edges))
+        for i, found in zip(odd, self.whole([raw[i].decode() for i in odd]), strict=True):
+            out[i] = found
+        return out
+
+    def _find(self, data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Place and number of each word's ids in the store; new words are added."""
+        sums = np.concatenate(([np.uint64(0)], np.cumsum(self._code[data] * self._power[: len(data)], dtype=np.uint64)))
+        keys = (sums[ends] - sums[starts]) * self._inverse[starts] + (ends - starts).astype(np.uint64) * np.uint64(_STEP)
+        keys ^= keys >> np.uint64(31)
+        keys |= np.uint64(1)
+        slots = self._probe(keys)
+        new = np.flatnonzero(self._keys[slots] != keys)
+        if len(new):
+            _, first = np.unique(keys[new], return_index=True)
+            first = new[first]
+            if self._words + len(first) > self._limit:
+                self._clear()
+                first = np.unique(keys, return_index=True)[1]
+            whole = data.tobytes()
+            words = [whole[a:b].decode(errors="replace") for a, b in zip(starts[first].tolist(), ends[first].tolist(), strict=True)]
+            self._add(keys[first], self._ids_of(words))
+            slots = self._probe(keys)
+        return self._place[slots], self._length[slots].astype(np.int64)
+
+    def _clear(self) -> None:
+        size = 1 << max(10, (3 * self._limit // 2).bit_length())
+        self._keys, self._place = np.zeros(size, np.uint64), np.zeros(size, np.int64)
+        self._length, self._store = np.zeros(size, np.int32), np.zeros(1 << 16, np.uint16)
+        self._words = self._stored = 0
+
+    def _probe(self, keys: np.ndarray) -> np.ndarray:
+        """The slot that holds each key, or the free one where its search ends."""
+        mask = np.uint64(len(self._keys) - 1)
+        slots = (keys >> np.uint64(20)) & mask
+        left = np.arange(len(keys))
+        while True:
+            there = self._keys[slots[left]]
+            left = left[(there != keys[left]) & (there != 0)]
+            if not len(left):
+                return slots.astype(np.int64)
+            slots[left] = (slots[left] + np.uint64(1)) & mask
+
+    def _add(self, keys: np.ndarray, ids: list[bytes]) -> None:
+        lengths = np.array([len(i) // 4 for i in ids])
+        places = self._stored + np.cumsum(lengths) - lengths
+        self._words, self._stored = self._words + len(keys), self._stored + int(lengths.sum())
+        while self._stored > len(self._store):
+            self._store = np.concatenate((self._store, np.zeros_like(self._store)))
+        self._store[places[0] : self._stored] = np.frombuffer(b"".join(ids), "<u4")
+        left = np.arange(len(keys))
+        while len(left):  # of the words that end at one free slot, one takes it
+            slots = self._probe(keys[left])
+            _, taken = np.unique(slots, return_index=True)
+            put, slot = left[taken], slots[taken]
+            self._keys[slot], self._place[slot], self._length[slot] = keys[put], places[put], lengths[put]
+            left = np.delete(left, taken)
+
+    def _ids_of(self, words: list[str]) -> list[bytes]:
+        """Ids of single words, from texts of many lines: a line end between two words is an id of its own."""
         out: list[bytes] = []
         for at in range(0, len(words), 20_000):
             some = words[at : at + 20_000]
+            if any(not w.strip() for w in some):
+                out += self.whole(some)
+                continue
             ids = np.frombuffer(self.whole(["\n".join(some)])[0], "<u4")
             parts = np.split(ids, np.flatnonzero(ids == self._line_end))
             out += [p[min(i, 1) :].tobytes() for i, p in enumerate(parts)] if len(parts) == len(some) else self.whole(some)
         return out
 
-    def decode(self, ids: Sequence[int]) -> str:
-        return self._tokenizer.decode([int(i) for i in ids], skip_special_tokens=False)
-
-    def encode(self, texts: Sequence[str | None]) -> list[bytes]:
-        known = self._ids
-        cut: list[list[str] | None] = []
-        for text in texts:
-            text = text or ""
-            if _CUT in text or "\n\n" in text:
-                cut.append(None)
-            else:
-                cut.append(text.replace(" ", "\x00 ").replace("\n", "\x00\n\x00").split(_CUT))
-        new = {w for words in cut if words for w in words if w not in known}
-        sound = [w for w in new if _stands_alone(w)]
-        known.update(dict.fromkeys(new))
-        known.update(zip(sound, self._words(sound), strict=True))
-        out: list[bytes | None] = []
-        for words in cut:
-            try:
-                out.append(b"".join(map(known.__getitem__, words)))
-            except TypeError:  # not cut, or a word that needs its neighbours
-                out.append(None)
-        rest = [i for i, ids in enumerate(out) if ids is None]
-        for i, ids in zip(rest, self.whole([texts[i] or "" for i in rest]), strict=True):
-            out[i] = ids
-        return out
-
 
-def _stands_alone(word: str) -> bool:
-    """White space at the edges of a word would join with that of its neighbours."""
-    return not word[-1].isspace() and not (word[1:2] if word[0] == " " else word[:1]).isspace()
+def _uneven(data: np.ndarray, edges: np.ndarray) -> np.ndarray:
+    """Texts in which words cannot stand alone: white space other than space and
+    line end, or white space next to white space, but for two line ends inside."""
+    space, line = data == _SPACE, data == _LINE
+    white = space | line
+    bad = ((data >= 9) & (data <= 13) & ~line) | ((data >= 28) & (data <= 31))
+    for lead in (0xC2, 0xE1, 0xE2, 0xE3):
+        at = np.flatnonzero(data == lead)
+        at = at[at + 2 < len(data)] if lead != 0xC2 else at[at + 1 < len(data)]
+        one = data[at + 1]
+        if lead == 0xC2:
+            hit = (one == 0x85) | (one == 0xA0)
+        else:
+            two = data[at + 2]
+            hit = {
+                0xE1: (one == 0x9A) & (two == 0x80),
+                0xE2: ((one == 0x80) & ((two <= 0x8A) | (two == 0xA8) | (two == 0xA9) | (two == 0xAF))) | ((one == 0x81) & (two == 0x9F)),
+                0xE3: (one == 0x80) & (two == 0x80),
+            }[lead]
+        bad[at[hit]] = True
+    owner_starts = edges[:-1]
+    inside = np.ones(len(data), bool)
+    inside[owner_starts[owner_starts < len(data)]] = False
+    pair = np.flatnonzero(white[1:] & white[:-1] & inside[1:]) + 1  # second of two, in one text
+    lines = line[pair] & line[pair - 1]
+    bad[pair[~lines]] = True
+    pair = pair[lines]
+    last = np.zeros(len(data) + 1, bool)
+    last[edges[1:]] = True
+    runs = np.isin(pair + 1, pair) | last[pair + 1] | (~inside[pair - 1])
+    bad[pair[runs]] = True
+    count = np.concatenate(([0], np.cumsum(bad)))
+    return count[edges[1:]] > count[edges[:-1]]
