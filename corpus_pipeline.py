@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from stallkeep.llm.common import written
+from stallkeep.llm.common import table, written
 from stallkeep.llm.packing import pack_documents
 from stallkeep.llm.queries import BYTE_BPE
 
@@ -22,7 +22,7 @@ ORACLE_SQL = None  # models, alignment and tokens are beyond SQL; tests hold the
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    docs = table(spark, sf_dir, "documents")
     for name, stage in STAGES[:-1]:
         docs = written(stage(spark, docs, sf_dir), name.replace(" ", "-"))
     return STAGES[-1][1](spark, docs, sf_dir)
