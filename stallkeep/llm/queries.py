@@ -6,14 +6,21 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from stallkeep.llm import chat, idfile, packing
+from stallkeep.llm import chat, idfile, packing, topk
 from stallkeep.llm.common import table, written
 from stallkeep.session import scratch_path
 
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
 
 
+def op2_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    embeddings = table(spark, sf_dir, "embeddings")
+    vectors = topk.quantised(embeddings.select(F.col("vec_id").alias("id"), F.col("embedding").alias("vector")))
+    return topk.exact_topk(vectors, vectors.filter("id % 50 = 0"), k=5)
+
+
 def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = table(spark, sf_dir, "documents")
     return packing.pack_documents(documents, BYTE_BPE, keep_ids=False).drop("ids")
@@ -35,12 +42,28 @@ def op6_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_topk": op2_topk,
     "op4_packing": op4_packing,
     "op5_id_file": op5_id_file,
     "op6_chat_format": op6_chat_format,
 }
 
 ORACLE: dict[str, str] = {
+    "op2_topk": """
+        WITH sound AS (
+            SELECT vec_id, embedding::DOUBLE[] AS v FROM embeddings
+            WHERE embedding IS NOT NULL
+              AND coalesce(list_bool_and(list_transform(embedding, lambda x: x IS NOT NULL AND isfinite(x))), true)
+        ),
+        parts AS (SELECT vec_id, list_transform(v, lambda x: floor(256 * x)) AS t FROM sound),
+        scored AS (
+            SELECT q.vec_id AS query_id, c.vec_id, list_inner_product(q.t, c.t)::BIGINT AS score
+            FROM parts q JOIN parts c ON q.vec_id % 50 = 0 AND q.vec_id <> c.vec_id
+        ),
+        ranked AS (
+            SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INTEGER AS rank FROM scored
+        )
+        SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 5""",
     "op6_chat_format": r"""
         WITH turns AS (
             SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
