@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stallkeep.llm import chat, idfile, packing, topk
+from stallkeep.llm import ann, chat, idfile, packing, topk
 from stallkeep.llm.common import table, written
 from stallkeep.session import scratch_path
 
@@ -21,6 +21,14 @@ def op2_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.exact_topk(vectors, vectors.filter("id % 50 = 0"), k=5)
 
 
+def op3_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
+    embeddings = table(spark, sf_dir, "embeddings").select(F.col("vec_id").alias("id"), F.col("embedding").alias("vector"))
+    index = ann.build(embeddings)
+    if index is None:
+        return spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
+    return ann.search(index, embeddings.filter("id % 20 = 0"), k=20)
+
+
 def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = table(spark, sf_dir, "documents")
     return packing.pack_documents(documents, BYTE_BPE, keep_ids=False).drop("ids")
@@ -43,6 +51,7 @@ def op6_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_topk": op2_topk,
+    "op3_ann": op3_ann,
     "op4_packing": op4_packing,
     "op5_id_file": op5_id_file,
     "op6_chat_format": op6_chat_format,
