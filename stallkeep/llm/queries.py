@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stallkeep.llm import ann, chat, idfile, packing, topk
+from stallkeep.llm import ann, chat, idfile, neardup, packing, topk
 from stallkeep.llm.common import table, written
 from stallkeep.session import scratch_path
 
@@ -49,12 +49,17 @@ def op6_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.digests(chat.read_back(parts, template))
 
 
+def op9_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neardup.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_topk": op2_topk,
     "op3_ann": op3_ann,
     "op4_packing": op4_packing,
     "op5_id_file": op5_id_file,
     "op6_chat_format": op6_chat_format,
+    "op9_near_dedup": op9_near_dedup,
 }
 
 ORACLE: dict[str, str] = {
