@@ -8,10 +8,11 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stallkeep.llm import ann, chat, idfile, neardup, packing, topk
-from stallkeep.llm.common import table, written
+from stallkeep.llm import ann, chat, idfile, neardup, packing, quality, topk
+from stallkeep.llm.common import crc32_of, table, written
 from stallkeep.session import scratch_path
 
+QUALITY_CUT = 0.3
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
 
 
@@ -49,6 +50,17 @@ def op6_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.digests(chat.read_back(parts, template))
 
 
+def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents").select("doc_id", "text")
+    labels = table(spark, sf_dir, "labels").select("doc_id", F.col("quality").alias("label"))
+    held_out = crc32_of(F.col("doc_id")) % 5 == 0
+    model = quality.fit(documents, labels.filter(~held_out))
+    score = F.col("quality_score")
+    return quality.scored(documents, model).select(
+        "doc_id", held_out.alias("held_out"), score.alias("score"), (score >= QUALITY_CUT).cast("int").alias("predicted")
+    )
+
+
 def op9_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neardup.near_duplicates(table(spark, sf_dir, "documents"))
 
@@ -59,6 +71,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_packing": op4_packing,
     "op5_id_file": op5_id_file,
     "op6_chat_format": op6_chat_format,
+    "op7_quality": op7_quality,
     "op9_near_dedup": op9_near_dedup,
 }
 
