@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stallkeep.llm import ann, chat, idfile, neardup, packing, quality, topk
+from stallkeep.llm import ann, chat, idfile, langid, neardup, packing, quality, topk
 from stallkeep.llm.common import crc32_of, table, written
 from stallkeep.session import scratch_path
 
@@ -53,7 +53,7 @@ def op6_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = table(spark, sf_dir, "documents").select("doc_id", "text")
     labels = table(spark, sf_dir, "labels").select("doc_id", F.col("quality").alias("label"))
-    held_out = crc32_of(F.col("doc_id")) % 5 == 0
+    held_out = F.coalesce(crc32_of(F.col("doc_id")) % 5 == 0, F.lit(False))
     model = quality.fit(documents, labels.filter(~held_out))
     score = F.col("quality_score")
     return quality.scored(documents, model).select(
@@ -65,6 +65,14 @@ def op9_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neardup.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents")
+    held_out = F.coalesce(crc32_of(F.col("doc_id")) % 4 == 2, F.lit(False))
+    model = langid.fit(documents.filter(~held_out))
+    found = langid.identified(documents.select("doc_id", "text"), model)
+    return found.select("doc_id", held_out.alias("held_out"), "lang_pred", F.col("lang_score").alias("score"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_topk": op2_topk,
     "op3_ann": op3_ann,
@@ -73,6 +81,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_chat_format": op6_chat_format,
     "op7_quality": op7_quality,
     "op9_near_dedup": op9_near_dedup,
+    "op10_language": op10_language,
 }
 
 ORACLE: dict[str, str] = {
