@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stallkeep.llm import ann, chat, idfile, langid, neardup, packing, quality, topk
+from stallkeep.llm import ann, chat, idfile, langid, neardup, packing, pages, quality, topk
 from stallkeep.llm.common import crc32_of, table, written
 from stallkeep.session import scratch_path
 
@@ -16,6 +16,10 @@ QUALITY_CUT = 0.3
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
 
 
+def op1_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pages.main_text(table(spark, sf_dir, "pages"))
+
+
 def op2_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     embeddings = table(spark, sf_dir, "embeddings")
     vectors = topk.quantised(embeddings.select(F.col("vec_id").alias("id"), F.col("embedding").alias("vector")))
@@ -74,6 +78,7 @@ def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_main_text": op1_main_text,
     "op2_topk": op2_topk,
     "op3_ann": op3_ann,
     "op4_packing": op4_packing,
