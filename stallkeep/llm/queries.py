@@ -8,11 +8,12 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stallkeep.llm import ann, chat, idfile, langid, neardup, packing, pages, quality, topk
+from stallkeep.llm import ann, chat, idfile, langid, neardup, packing, pages, pieces, quality, topk
 from stallkeep.llm.common import crc32_of, table, written
 from stallkeep.session import scratch_path
 
 QUALITY_CUT = 0.3
+PIECES = public_tokenizers.path("piece_bpe_32k.model")
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
 
 
@@ -65,6 +66,12 @@ def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op8_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents")
+    found = pieces.segment(documents, PIECES, n=3)
+    return found.select("doc_id", "rank", "score", (F.length("ids") / 4).cast("long").alias("n_pieces"), F.crc32("ids").alias("ids_crc32"))
+
+
 def op9_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neardup.near_duplicates(table(spark, sf_dir, "documents"))
 
@@ -85,6 +92,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_id_file": op5_id_file,
     "op6_chat_format": op6_chat_format,
     "op7_quality": op7_quality,
+    "op8_pieces": op8_pieces,
     "op9_near_dedup": op9_near_dedup,
     "op10_language": op10_language,
 }

@@ -8,12 +8,12 @@ from functools import lru_cache
 import numpy as np
 from tokenizers import Tokenizer
 
+from stallkeep.llm.wordtable import WINDOW, WordTable
+
 _SPACE, _LINE = 32, 10
-_STEP = 0x9E3779B97F4A7C15  # odd, so that powers of it have inverses
-_WINDOW = 1 << 20  # bytes hashed together
 
 
-class ByteBpe:
+class ByteBpe(WordTable):
     """Ids of whole texts, as little-endian unsigned 32-bit bytes.
 
     A byte-level BPE cuts a text into words first and merges inside each, so a
@@ -32,15 +32,7 @@ class ByteBpe:
         if self._tokenizer.get_vocab_size() > 1 << 16:
             raise ValueError("ids beyond 65,535")
         self._line_end = int(np.frombuffer(self.whole(["\n"])[0], "<u4")[0])
-        self._limit = known_words
-        self._clear()
-        rng = np.random.default_rng(20)
-        self._code = rng.integers(1, 1 << 63, 256, dtype=np.uint64)
-        steps = np.full(_WINDOW, _STEP, np.uint64)
-        steps[0] = 1
-        self._power = np.cumprod(steps, dtype=np.uint64)
-        steps[1:] = pow(_STEP, -1, 1 << 64)
-        self._inverse = np.cumprod(steps, dtype=np.uint64)
+        super().__init__(known_words)
 
     @staticmethod
     @lru_cache(maxsize=2)
@@ -61,7 +53,7 @@ class ByteBpe:
         start = 0
         while start < len(raw):  # windows of texts; one beyond the window goes whole
             end, size = start, 0
-            while end < len(raw) and size + len(raw[end]) < _WINDOW:
+            while end < len(raw) and size + len(raw[end]) < WINDOW:
                 size += len(raw[end])
                 end += 1
             if end == start:
@@ -84,9 +76,7 @@ class ByteBpe:
         begins[edges[:-1][sizes > 0]] = True
         starts = np.flatnonzero(begins)
         ends = np.append(starts[1:], len(data))
-        at, length = self._find(data, starts, ends)
-        total = np.cumsum(length)
-        ids = self._store[np.repeat(at - (total - length), length) + np.arange(total[-1])].astype("<u4")
+        ids, total = self._gather(self._find(data, starts, ends))
         bounds = np.concatenate(([0], total))[np.searchsorted(starts, edges)]
         out = [ids[a:b].tobytes() for a, b in zip(bounds[:-1], bounds[1:], strict=True)]
         odd = np.flatnonzero(_uneven(data, edges))
@@ -94,60 +84,7 @@ class ByteBpe:
             out[i] = found
         return out
 
-    def _find(self, data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Place and number of each word's ids in the store; new words are added."""
-        sums = np.concatenate(([np.uint64(0)], np.cumsum(self._code[data] * self._power[: len(data)], dtype=np.uint64)))
-        keys = (sums[ends] - sums[starts]) * self._inverse[starts] + (ends - starts).astype(np.uint64) * np.uint64(_STEP)
-        keys ^= keys >> np.uint64(31)
-        keys |= np.uint64(1)
-        slots = self._probe(keys)
-        new = np.flatnonzero(self._keys[slots] != keys)
-        if len(new):
-            _, first = np.unique(keys[new], return_index=True)
-            first = new[first]
-            if self._words + len(first) > self._limit:
-                self._clear()
-                first = np.unique(keys, return_index=True)[1]
-            whole = data.tobytes()
-            words = [whole[a:b].decode(errors="replace") for a, b in zip(starts[first].tolist(), ends[first].tolist(), strict=True)]
-            self._add(keys[first], self._ids_of(words))
-            slots = self._probe(keys)
-        return self._place[slots], self._length[slots].astype(np.int64)
-
-    def _clear(self) -> None:
-        size = 1 << max(10, (3 * self._limit // 2).bit_length())
-        self._keys, self._place = np.zeros(size, np.uint64), np.zeros(size, np.int64)
-        self._length, self._store = np.zeros(size, np.int32), np.zeros(1 << 16, np.uint16)
-        self._words = self._stored = 0
-
-    def _probe(self, keys: np.ndarray) -> np.ndarray:
-        """The slot that holds each key, or the free one where its search ends."""
-        mask = np.uint64(len(self._keys) - 1)
-        slots = (keys >> np.uint64(20)) & mask
-        left = np.arange(len(keys))
-        while True:
-            there = self._keys[slots[left]]
-            left = left[(there != keys[left]) & (there != 0)]
-            if not len(left):
-                return slots.astype(np.int64)
-            slots[left] = (slots[left] + np.uint64(1)) & mask
-
-    def _add(self, keys: np.ndarray, ids: list[bytes]) -> None:
-        lengths = np.array([len(i) // 4 for i in ids])
-        places = self._stored + np.cumsum(lengths) - lengths
-        self._words, self._stored = self._words + len(keys), self._stored + int(lengths.sum())
-        while self._stored > len(self._store):
-            self._store = np.concatenate((self._store, np.zeros_like(self._store)))
-        self._store[places[0] : self._stored] = np.frombuffer(b"".join(ids), "<u4")
-        left = np.arange(len(keys))
-        while len(left):  # of the words that end at one free slot, one takes it
-            slots = self._probe(keys[left])
-            _, taken = np.unique(slots, return_index=True)
-            put, slot = left[taken], slots[taken]
-            self._keys[slot], self._place[slot], self._length[slot] = keys[put], places[put], lengths[put]
-            left = np.delete(left, taken)
-
-    def _ids_of(self, words: list[str]) -> list[bytes]:
+    def _ids_of(self, words: list[str]) -> tuple[list[bytes], None]:
         """Ids of single words, from texts of many lines: a line end between two words is an id of its own."""
         out: list[bytes] = []
         for at in range(0, len(words), 20_000):
@@ -158,7 +95,7 @@ class ByteBpe:
             ids = np.frombuffer(self.whole(["\n".join(some)])[0], "<u4")
             parts = np.split(ids, np.flatnonzero(ids == self._line_end))
             out += [p[min(i, 1) :].tobytes() for i, p in enumerate(parts)] if len(parts) == len(some) else self.whole(some)
-        return out
+        return out, None
 
 
 def _uneven(data: np.ndarray, edges: np.ndarray) -> np.ndarray:
