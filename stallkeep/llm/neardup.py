@@ -22,7 +22,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from stallkeep.llm.common import batch_of, weighed, written
@@ -234,17 +234,43 @@ def near_duplicates(documents: DataFrame) -> DataFrame:
     document. A null doc_id gets the class of its text's other rows, null if
     there are none. No rows give no rows.
     """
+    keyed, classes = _classes(documents)
+    return keyed.join(classes, "key").select("doc_id", "class_id")
+
+
+def first_of_each(documents: DataFrame) -> DataFrame:
+    """One row of documents for every class of near-duplicates: that of the least doc_id.
+
+    All columns stay. Of rows alike in doc_id and text one stays, of one doc_id
+    with several texts the text of least md5. Rows without a doc_id stay once per
+    text that no row with a doc_id is like.
+    """
+    keyed, classes = _classes(documents)
+    heads = keyed.join(classes, "key").filter("doc_id <=> class_id")
+    group = F.when(F.col("class_id").isNull(), F.col("key")).otherwise(F.col("class_id").cast("string"))
+    heads = heads.groupBy(group.alias("g"), "doc_id").agg(F.min("key").alias("_key")).select(F.col("doc_id").alias("_doc"), "_key")
+    named = documents.withColumn("_key_of", _key(F.col("text")))
+    held = named.join(heads, (F.col("_key_of") == F.col("_key")) & F.col("doc_id").cast("long").eqNullSafe(F.col("_doc")))
+    once = Window.partitionBy("_key", "_doc").orderBy(F.xxhash64(*[F.col(f"`{c}`") for c in documents.columns]))
+    return held.withColumn("_n", F.row_number().over(once)).filter("_n = 1").select(*[F.col(f"`{c}`") for c in documents.columns])
+
+
+def _key(text: Column) -> Column:
+    return F.md5(F.coalesce(text.cast("string"), F.lit("")))
+
+
+def _classes(documents: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(doc_id, key) of every row, and the class of every key: a key stands for one text."""
     texts = documents.select(F.col("doc_id").cast("long"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
-    keyed = texts.select("doc_id", F.md5("text").alias("key"))
+    keyed = texts.select("doc_id", _key(F.col("text")).alias("key"))
     first = written(keyed.groupBy("key").agg(F.min("doc_id").alias("node")), "texts")
-    # The text of a node comes from any of its rows: the choice among equal texts is free.
-    named = texts.withColumn("key", F.md5("text")).join(first.filter("node is not null"), "key").filter("doc_id = node")
-    sketched = written(_sketched(named.select("node", "text")), "sketches")
+    # One row with its least doc_id carries the text of a node on.
+    named = texts.withColumn("key", _key(F.col("text"))).join(first.filter("node is not null"), "key").filter("doc_id = node")
+    sketched = written(_sketched(named.select("node", "text")).dropDuplicates(["node", "words"]), "sketches")
     links = _links(sketched)
     # Rows of one doc_id with different texts are one document.
     again = keyed.join(first, "key").filter("doc_id != node").select(F.col("doc_id").alias("a"), F.col("node").alias("b"))
     heads = first.filter("node is not null").select("node").distinct()
     clash = again.join(heads, again["a"] == heads["node"], "left_semi")
     roots = connected(links.unionByName(clash).distinct())
-    classes = first.join(roots, "node", "left").select("key", F.coalesce("root", "node").alias("class_id"))
-    return keyed.join(classes, "key").select("doc_id", "class_id")
+    return keyed, first.join(roots, "node", "left").select("key", F.coalesce("root", "node").alias("class_id"))

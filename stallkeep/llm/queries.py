@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stallkeep.llm import ann, chat, idfile, langid, neardup, packing, pages, pieces, quality, topk
@@ -55,14 +55,20 @@ def op6_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.digests(chat.read_back(parts, template))
 
 
+def _held_out(doc_id: Column, parts: int, part: int) -> Column:
+    return F.coalesce(crc32_of(doc_id) % parts == part, F.lit(False))
+
+
+def quality_model(spark: SparkSession, sf_dir: str) -> quality.Model:
+    labels = table(spark, sf_dir, "labels").select("doc_id", F.col("quality").alias("label"))
+    return quality.fit(table(spark, sf_dir, "documents"), labels.filter(~_held_out(F.col("doc_id"), 5, 0)))
+
+
 def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = table(spark, sf_dir, "documents").select("doc_id", "text")
-    labels = table(spark, sf_dir, "labels").select("doc_id", F.col("quality").alias("label"))
-    held_out = F.coalesce(crc32_of(F.col("doc_id")) % 5 == 0, F.lit(False))
-    model = quality.fit(documents, labels.filter(~held_out))
     score = F.col("quality_score")
-    return quality.scored(documents, model).select(
-        "doc_id", held_out.alias("held_out"), score.alias("score"), (score >= QUALITY_CUT).cast("int").alias("predicted")
+    return quality.scored(documents, quality_model(spark, sf_dir)).select(
+        "doc_id", _held_out(F.col("doc_id"), 5, 0).alias("held_out"), score.alias("score"), (score >= QUALITY_CUT).cast("int").alias("predicted")
     )
 
 
@@ -76,12 +82,14 @@ def op9_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neardup.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def language_model(spark: SparkSession, sf_dir: str) -> langid.Model:
+    return langid.fit(table(spark, sf_dir, "documents").filter(~_held_out(F.col("doc_id"), 4, 2)))
+
+
 def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
-    documents = table(spark, sf_dir, "documents")
-    held_out = F.coalesce(crc32_of(F.col("doc_id")) % 4 == 2, F.lit(False))
-    model = langid.fit(documents.filter(~held_out))
-    found = langid.identified(documents.select("doc_id", "text"), model)
-    return found.select("doc_id", held_out.alias("held_out"), "lang_pred", F.col("lang_score").alias("score"))
+    documents = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = langid.identified(documents, language_model(spark, sf_dir))
+    return found.select("doc_id", _held_out(F.col("doc_id"), 4, 2).alias("held_out"), "lang_pred", F.col("lang_score").alias("score"))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
