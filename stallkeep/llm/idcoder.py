@@ -10,7 +10,7 @@ block; encoder and decoder share the model.
 
 Segment, little endian: magic, number of ids, of blocks, length of the
 order-0 table, crc32 of that table; the table (zlib: ids as differences, then
-frequencies summing to 2**20); per block its number of words and the crc32 of
+frequencies summing to 2**18); per block its number of words and the crc32 of
 their bytes; the words of all blocks.
 """
 
@@ -28,68 +28,79 @@ MAX_ID = 65_534
 _MAGIC = b"SKI1"
 _HEAD = struct.Struct("<4sQIII")
 _SLOTS = 12  # bits of a context table
-_ORDER0 = 20  # bits of the order-0 total
-_CERTAIN = 4032  # of 4096
+_MASK = (1 << _SLOTS) - 1
+_ORDER0 = 18  # bits of the order-0 total
+_TOTAL = 12 + _ORDER0  # bits of the whole distribution
+_CERTAIN, _RARE = 4032, 64  # of 4096: bounds of a rate, so that no interval is empty
+_NONE = 0xFFFF  # an id that no text has
 _U = np.uint64
 _LOW32 = _U(0xFFFFFFFF)
 
 
 class _Model:
-    """Order-1 and order-2 predictions of n blocks side by side."""
+    """Order-1 and order-2 predictions of n blocks side by side.
+
+    A table entry is the id that came last behind a context and, above 16 bits,
+    how often in a row it was right (0 to 3); NONE where nothing was seen.
+    """
 
     def __init__(self, n: int, frequency: np.ndarray):
         self.frequency = frequency.astype(np.int64)
-        self.before = np.concatenate(([0], np.cumsum(self.frequency)))
-        self.tables = [np.zeros(n << _SLOTS, np.int32) for _ in range(2)]
+        self.before = np.concatenate(([0], np.cumsum(self.frequency)))[:-1]
+        self.tables = [np.full(n << _SLOTS, _NONE, np.int32) for _ in range(2)]
         self.rates = [np.full(4 * n, p, np.int32) for p in (1024, 2048)]
-        for rate in self.rates:
-            rate[::4] = 0  # nothing seen, nothing predicted
         self.base = np.arange(n, dtype=np.int64) << _SLOTS
-        self.lane4 = np.arange(n, dtype=np.int64) * 4
+        self.lane4 = np.arange(n, dtype=np.int32) * 4
         self.last = np.zeros(n, np.int64)
-        self.older = np.zeros(n, np.int64)
+        self.context = np.zeros(n, np.int64)
 
     def predict(self, n: int) -> None:
-        last, older, base, lane4 = self.last[:n], self.older[:n], self.base[:n], self.lane4[:n]
-        mask = (1 << _SLOTS) - 1
-        self.at1 = base + ((last * 40503 >> 7) & mask)
-        self.at2 = base + (((last * 2654435761 + older * 40503) >> 15) & mask)
-        entry1, entry2 = self.tables[0][self.at1], self.tables[1][self.at2]
-        self.id1, self.id2 = entry1 & 0xFFFF, entry2 & 0xFFFF
-        self.seen1, self.seen2 = entry1 >> 16, entry2 >> 16
-        self.rate1, self.rate2 = lane4 + self.seen1, lane4 + self.seen2
-        self.weight2 = self.rates[1][self.rate2]
-        self.weight1 = (4096 - self.weight2) * self.rates[0][self.rate1] >> 12
-        self.weight1[self.id1 == self.id2] = 0
-        self.both = self.weight1 + self.weight2
+        last, base, lane4 = self.last[:n], self.base[:n], self.lane4[:n]
+        self.at1 = base + ((last * 40503 >> 7) & _MASK)
+        self.at2 = base + ((self.context[:n] + last * 2654435761 >> 15) & _MASK)
+        self.entry1, self.entry2 = self.tables[0].take(self.at1), self.tables[1].take(self.at2)
+        self.rate1, self.rate2 = lane4 + (self.entry1 >> 16), lane4 + (self.entry2 >> 16)
+        self.id1, self.id2 = self.entry1 & 0xFFFF, self.entry2 & 0xFFFF
+        self.old1, self.weight2 = self.rates[0].take(self.rate1), self.rates[1].take(self.rate2)
+        weight1 = (4096 - self.weight2) * self.old1 >> 12
+        weight1 *= self.id1 != self.id2
+        self.weight1, self.both = weight1, weight1 + self.weight2
 
     def interval(self, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Start and width out of 2**32."""
-        hit2 = (ids == self.id2) & (self.weight2 > 0)
-        hit1 = (ids == self.id1) & (self.weight1 > 0) & ~hit2
-        rest = (4096 - self.both).astype(np.int64)
-        start = (self.both.astype(np.int64) << _ORDER0) + self.before[ids] * rest
-        width = self.frequency[ids] * rest
-        for hit, first, weight in ((hit2, None, self.weight2), (hit1, self.weight2, self.weight1)):
-            at = np.flatnonzero(hit)
-            start[at] = 0 if first is None else first[at].astype(np.int64) << _ORDER0
-            width[at] = weight[at].astype(np.int64) << _ORDER0
+        """Start and width out of 2**(12 + order-0 bits)."""
+        self.right1, self.right2 = self.id1 == ids, self.id2 == ids
+        rest = 4096 - self.both.astype(np.int64)
+        literal = self.before.take(ids)
+        literal *= rest
+        literal += self.both.astype(np.int64) << _ORDER0
+        rest *= self.frequency.take(ids)
+        shift = 1 << _ORDER0
+        start = np.where(self.right2, 0, np.where(self.right1, self.weight2 * shift, literal))
+        width = np.where(self.right2, self.weight2 * shift, np.where(self.right1, self.weight1 * shift, rest))
         return start.view(_U), width.view(_U)
 
     def update(self, ids: np.ndarray, n: int) -> None:
-        right1, right2 = self.id1 == ids, self.id2 == ids
-        for k, (right, seen, rate, at) in enumerate(((right1, self.seen1, self.rate1, self.at1), (right2, self.seen2, self.rate2, self.at2))):
-            old = self.rates[k][rate]
-            # The order-1 rate is that of the ids which order 2 misses.
-            moved = (seen > 0) if k else (seen > 0) & ~right2
-            self.rates[k][rate] = np.where(moved, old + ((right * _CERTAIN - old) >> 4), old)
-            self.tables[k][at] = ids | np.where(right, np.minimum(seen + 1, 3), 1) << 16
-        self.older[:n] = self.last[:n]
+        """After ``interval``. The order-1 rate is that of the ids which order 2 misses."""
+        moved = self.right1 * (_CERTAIN - _RARE)
+        moved += _RARE
+        moved -= self.old1
+        moved >>= 4
+        moved *= ~self.right2
+        self.rates[0][self.rate1] = self.old1 + moved
+        moved = self.right2 * (_CERTAIN - _RARE)
+        moved += _RARE
+        moved -= self.weight2
+        moved >>= 4
+        self.rates[1][self.rate2] = self.weight2 + moved
+        first = ids + 65536
+        self.tables[0][self.at1] = np.where(self.right1, np.minimum(self.entry1 + 65536, self.id1 + 3 * 65536), first)
+        self.tables[1][self.at2] = np.where(self.right2, np.minimum(self.entry2 + 65536, self.id2 + 3 * 65536), first)
+        self.context[:n] = self.last[:n] * 40503
         self.last[:n] = ids
 
 
 def _order0(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """The ids that occur and their frequencies, at least 1 each, of 2**20 in all."""
+    """The ids that occur and their frequencies, at least 1 each, of 2**18 in all."""
     counts = np.bincount(ids, minlength=1)
     present = np.flatnonzero(counts)
     total = 1 << _ORDER0
@@ -133,17 +144,21 @@ def _encode_blocks(ids: np.ndarray, n: int, present: np.ndarray, scaled: np.ndar
         now = steps[step, :live].astype(np.int32)
         model.predict(live)
         start, width = model.interval(now)
-        each = span[:live] >> _U(32)
+        each = span[:live] >> _U(_TOTAL)
         low[:live] += each * start
         span[:live] = each * width
         model.update(now, live)
-        while len(at := _settled(low[:live], span[:live])):
-            if used.max() + 8 > out.shape[1]:
-                out = np.hstack((out, np.zeros_like(out)))
-            out[at, used[at]] = low[at] >> _U(48)
-            used[at] += 1
-            low[at] <<= _U(16)
+        if not step & 63 and used.max() + 256 > out.shape[1]:
+            out = np.hstack((out, np.zeros_like(out)))
+        at = _settled(low[:live], span[:live], None)
+        while len(at):
+            moved = low[at]
+            to = used[at]
+            out[at, to] = moved >> _U(48)
+            used[at] = to + 1
+            low[at] = moved << _U(16)
             span[at] <<= _U(16)
+            at = _settled(low, span, at)
     if used.max() + 4 > out.shape[1]:
         out = np.hstack((out, np.zeros((n, 4), np.uint16)))
     for _ in range(4):
@@ -153,14 +168,17 @@ def _encode_blocks(ids: np.ndarray, n: int, present: np.ndarray, scaled: np.ndar
     return out, used
 
 
-def _settled(low: np.ndarray, span: np.ndarray) -> np.ndarray:
-    """Blocks whose next word is known; a span too narrow to go on is cut at a word border."""
-    same = (low ^ (low + span)) < _U(1 << 48)
-    narrow = np.flatnonzero((span < _U(1 << 32)) & ~same)
+def _settled(low: np.ndarray, span: np.ndarray, at: np.ndarray | None) -> np.ndarray:
+    """Which (of these) blocks know their next word; a span too narrow to go on is cut at a word border."""
+    some, wide = (low, span) if at is None else (low[at], span[at])
+    same = (some ^ (some + wide)) < _U(1 << 48)
+    ready = np.flatnonzero(same | (wide < _U(1 << 32)))
+    narrow = ready[~same[ready]]
+    if at is not None:
+        ready, narrow = at[ready], at[narrow]
     if len(narrow):
         span[narrow] = (~low[narrow] + _U(1)) & _LOW32
-        same[narrow] = True
-    return np.flatnonzero(same)
+    return ready
 
 
 def decode(segment: bytes, blocks: Sequence[int] | None = None) -> np.ndarray:
@@ -196,7 +214,7 @@ def _decode_blocks(words: np.ndarray, lengths: np.ndarray, present: np.ndarray,
     n = len(words)
     frequency = np.zeros(int(present[-1]) + 1, np.int64)
     frequency[present] = scaled
-    slots = np.repeat(present.astype(np.int32), scaled)
+    slots = np.repeat(present.astype(np.uint16), scaled)
     model = _Model(n, frequency)
     low, span, code = np.zeros(n, _U), np.full(n, 0xFFFFFFFFFFFFFFFF, _U), np.zeros(n, _U)
     for k in range(4):
@@ -206,10 +224,10 @@ def _decode_blocks(words: np.ndarray, lengths: np.ndarray, present: np.ndarray,
     for step in range(int(lengths[0])):
         live = n if step < lengths[-1] else int(np.searchsorted(-lengths, -step, "left"))
         model.predict(live)
-        each = span[:live] >> _U(32)
-        value = np.minimum((code[:live] - low[:live]) // each, _LOW32).view(np.int64)
+        each = span[:live] >> _U(_TOTAL)
+        value = np.minimum((code[:live] - low[:live]) // each, _U((1 << _TOTAL) - 1)).view(np.int64)
         event = value >> _ORDER0
-        now = np.where(event < model.weight2, model.id2, model.id1).astype(np.int32)
+        now = np.where(event < model.weight2, model.id2, model.id1)
         literal = np.flatnonzero(event >= model.both)
         both = model.both[literal].astype(np.int64)
         now[literal] = slots[(value[literal] - (both << _ORDER0)) // (4096 - both)]
@@ -218,9 +236,12 @@ def _decode_blocks(words: np.ndarray, lengths: np.ndarray, present: np.ndarray,
         span[:live] = each * width
         model.update(now, live)
         out[step, :live] = now
-        while len(at := _settled(low[:live], span[:live])):
+        at = _settled(low[:live], span[:live], None)
+        while len(at):
             low[at] <<= _U(16)
             span[at] <<= _U(16)
-            code[at] = (code[at] << _U(16)) | words[at, used[at]].astype(_U)
-            used[at] += 1
+            to = used[at]
+            code[at] = (code[at] << _U(16)) | words[at, to]
+            used[at] = to + 1
+            at = _settled(low, span, at)
     return np.ascontiguousarray(out.T)
