@@ -96,7 +96,13 @@ def linked(a: np.ndarray, b: np.ndarray, least: float = SIMILARITY) -> bool:
     chain = _increasing(pb[order])
     i = np.concatenate(([-1], pa_[order][chain], [len(a)]))
     j = np.concatenate(([-1], pb[order][chain], [len(b)]))
-    if np.maximum(np.diff(i), np.diff(j)).sum() - len(chain) - 1 <= most:
+    # Between two anchors as far apart in both texts words are compared in place.
+    gap_a, gap_b = np.diff(i) - 1, np.diff(j) - 1
+    even = gap_a == gap_b
+    size = gap_a[even]
+    at = np.repeat(i[:-1][even] + 1 - np.cumsum(size) + size, size) + np.arange(size.sum())
+    changed = (a[at] != b[at + np.repeat((j - i)[:-1][even], size)]).sum()
+    if changed + np.maximum(gap_a, gap_b)[~even].sum() <= most:
         return True
     return edit_similarity(a, b, least) >= least
 
