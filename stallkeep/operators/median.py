@@ -1,4 +1,4 @@
-"""Exact medians per group, also for groups too large for one task."""
+"""Exact medians per group, for groups of any size."""
 
 from __future__ import annotations
 
@@ -10,62 +10,55 @@ from pyspark.sql import functions as F
 
 from stallkeep.operators.keys import place_in_order
 
-HOT_VALUES = 1_000_000
 
+def grouped_median(df: DataFrame, group: Sequence[str], values: Sequence[str]) -> DataFrame:
+    """Interpolated median of each value column per group; NULLs are left out.
 
-def _median(value: str) -> F.Column:
-    return F.percentile(F.col(value).cast("double"), 0.5).alias(value)
-
-
-def grouped_median(
-    df: DataFrame, group: Sequence[str], values: Sequence[str], largest: int, hot_values: int = HOT_VALUES
-) -> DataFrame:
-    """Interpolated median of each value column per group.
-
-    ``percentile`` keeps a whole group in one task, so it serves only groups
-    of up to ``hot_values`` rows. Larger groups are sorted across partitions
-    and their middle rows picked by position. ``largest`` is an upper bound on
-    the rows of any group; while it is small enough, no group is measured.
+    Every group has a row, also the NULL group and groups without any value
+    (NULL medians). Equal values of a group become one weighted row before they
+    are moved, and the weighted rows are sorted across partitions, so neither a
+    large group nor a common value meets in one task.
     """
     group = list(group)
-    if largest <= hot_values:
-        return df.groupBy(*group).agg(*[_median(v) for v in values])
-    sizes = df.groupBy(*group).agg(F.count("*").alias("_rows"))
-    # At most (rows of df) / hot_values groups.
-    hot = F.broadcast(sizes.filter(F.col("_rows") > hot_values).select(*group))
-    small = df.join(hot, group, "left_anti").groupBy(*group).agg(*[_median(v) for v in values])
-    large = df.join(hot, group, "left_semi")
-    medians = [_positional_median(large, group, v) for v in values]
-    return small.unionByName(reduce(lambda a, b: a.join(b, group, "full_outer"), medians))
+    medians = [_weighted_median(df, group, v) for v in values]
+    groups = df.groupBy(*group).agg(F.lit(1).alias("_group")).drop("_group")
+    return reduce(lambda left, right: _null_safe_left(left, right, group), medians, groups)
 
 
-def _positional_median(df: DataFrame, group: list[str], value: str) -> DataFrame:
-    placed = place_in_order(
-        df.select(*group, F.col(value).cast("double").alias(value)).filter(F.col(value).isNotNull()),
-        [*group, value],
-    )
+def _null_safe_left(left: DataFrame, right: DataFrame, group: list[str]) -> DataFrame:
+    renamed = right.withColumnsRenamed({g: f"_{g}" for g in group})
+    same = reduce(lambda a, b: a & b, [F.col(g).eqNullSafe(F.col(f"_{g}")) for g in group])
+    return left.join(renamed, same, "left").drop(*[f"_{g}" for g in group])
+
+
+def _weighted_median(df: DataFrame, group: list[str], value: str) -> DataFrame:
+    number = F.col(value).cast("double")
+    weighed = df.select(*group, number.alias(value)).filter(F.col(value).isNotNull())
+    weighed = weighed.groupBy(*group, value).agg(F.count("*").alias("_weight"))
+    placed = place_in_order(weighed, [*group, value])
     # A group fills one contiguous run in each partition it touches.
-    runs = placed.groupBy(*group, "_part").agg(
-        F.count("*").alias("_run"), F.min("_position").alias("_first")
-    )
     per_group = Window.partitionBy(*group)
-    middles = (
-        runs.withColumns(
-            {
-                "_before": F.sum("_run").over(per_group.orderBy("_part")) - F.col("_run"),
-                "_total": F.sum("_run").over(per_group),
-            }
-        )
-        .withColumn(
-            "_rank",
-            F.explode(
-                F.array_distinct(
-                    F.array(F.floor((F.col("_total") - 1) / 2), F.floor(F.col("_total") / 2))
-                )
-            ),
-        )
-        .filter(F.col("_rank").between(F.col("_before"), F.col("_before") + F.col("_run") - 1))
-        .select("_part", (F.col("_first") + F.col("_rank") - F.col("_before")).alias("_position"))
+    runs = placed.groupBy(*group, "_part").agg(F.sum("_weight").alias("_run"))
+    runs = runs.withColumns(
+        {
+            "_before": F.sum("_run").over(per_group.orderBy("_part")) - F.col("_run"),
+            "_total": F.sum("_run").over(per_group),
+        }
     )
-    picked = placed.join(F.broadcast(middles), ["_part", "_position"])
-    return picked.groupBy(*group).agg(F.avg(value).alias(value))
+    lower, upper = F.floor((F.col("_total") - 1) / 2), F.floor(F.col("_total") / 2)
+    # Only the runs that hold a middle position are looked into.
+    middle = runs.filter((F.col("_before") <= upper) & (lower < F.col("_before") + F.col("_run")))
+    middle = middle.select(
+        *[F.col(g).alias(f"_{g}") for g in group],
+        F.col("_part").alias("_in"), "_before", lower.alias("_lower"), upper.alias("_upper"),
+    )
+    same = reduce(lambda a, b: a & b, [F.col(g).eqNullSafe(F.col(f"_{g}")) for g in group])
+    held = placed.join(middle, same & (F.col("_part") == F.col("_in")))
+    in_run = Window.partitionBy(*group, "_part").orderBy(value)
+    until = F.col("_before") + F.sum("_weight").over(in_run)
+    reached = held.withColumn("_until", until).withColumn("_from", F.col("_until") - F.col("_weight"))
+
+    def holds(position: str) -> F.Column:
+        return F.max(F.when(F.col(position).between(F.col("_from"), F.col("_until") - 1), F.col(value)))
+
+    return reached.groupBy(*group).agg(((holds("_lower") + holds("_upper")) / 2).alias(value))

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from stallkeep.functions import city_key, flag, matches
 from stallkeep.operators.joins import spread_join
-from stallkeep.operators.median import HOT_VALUES, grouped_median
+from stallkeep.operators.median import grouped_median
 from stallkeep.operators.quality import audit
 from stallkeep.operators.vote import most_frequent_label, rank_candidates, resolve_by_vote
 from stallkeep.session import scratch_root
@@ -134,20 +134,12 @@ def reference_fallback(references: DataFrame) -> DataFrame:
     )
 
 
-def largest_group(counts: DataFrame) -> int:
-    """Rows of the busiest (ZIP, state): a bound on the coordinate pairs any median has to hold."""
-    per_state = counts.groupBy(ZIP, STATE).agg(F.sum("SourceRows").alias("_rows"))
-    return per_state.agg(F.max("_rows")).first()[0] or 0
-
-
-def representative_coordinates(
-    observations: DataFrame, states: DataFrame, largest: int, hot_values: int = HOT_VALUES
-) -> DataFrame:
+def representative_coordinates(observations: DataFrame, states: DataFrame) -> DataFrame:
     """Median of the distinct coordinate pairs within the resolved state."""
     pairs = observations.select(ZIP, STATE, "Latitude", "Longitude").distinct()
     resolved = states.select(ZIP, F.col("RepresentativeState").alias(STATE)).filter(F.col(STATE).isNotNull())
     inside = spread_join(pairs, resolved, [ZIP, STATE], "inner").select(ZIP, "Latitude", "Longitude")
-    medians = grouped_median(inside, [ZIP], ["Latitude", "Longitude"], largest, hot_values)
+    medians = grouped_median(inside, [ZIP], ["Latitude", "Longitude"])
     return medians.select(
         ZIP,
         F.col("Latitude").cast(COORDINATE).alias("RepresentativeLatitude"),
@@ -155,9 +147,7 @@ def representative_coordinates(
     )
 
 
-def conformed_geography(
-    geolocation: DataFrame, customers: DataFrame, sellers: DataFrame, hot_values: int = HOT_VALUES
-) -> DataFrame:
+def conformed_geography(geolocation: DataFrame, customers: DataFrame, sellers: DataFrame) -> DataFrame:
     """One row per ZIP found in any source.
 
     The observations are read twice, once to count spellings and once for the
@@ -171,7 +161,7 @@ def conformed_geography(
     spellings = city_spellings(counts, states)
     cities = city_resolution(supported_cities(city_candidates(spellings), references))
     named = cities.join(city_labels(spellings), [ZIP, "CityMatchKey"], "left").drop("CityMatchKey")
-    coordinates = representative_coordinates(observations, states, largest_group(counts), hot_values)
+    coordinates = representative_coordinates(observations, states)
 
     located = F.col("SourceRowCount").isNotNull()
     assembled = (

@@ -33,8 +33,7 @@ def _supported(s, d):
 
 
 def _coordinates(s, d):
-    largest = geography.largest_group(_counted(s, d)[0])
-    return geography.representative_coordinates(_observed(s, d)[0], _states(s, d), largest)
+    return geography.representative_coordinates(_observed(s, d)[0], _states(s, d))
 
 
 def _conformed(s, d):

@@ -9,7 +9,7 @@ from conftest import rows
 from stallkeep.operators import quality as Q
 from stallkeep.operators.compare import differences, differing_rows
 from stallkeep.operators.joins import spread_join, strict_lookup
-from stallkeep.operators.keys import number_rows, with_unknown_member
+from stallkeep.operators.keys import number_rows, place_in_order, with_unknown_member
 from stallkeep.operators.median import grouped_median
 from stallkeep.operators.rules import Rule, ValidationError, enforce, evaluate_rules, long_metrics
 from stallkeep.operators.vote import most_frequent_label, rank_candidates, resolve_by_vote
@@ -95,19 +95,27 @@ def test_unknown_member_keeps_types(spark):
         with_unknown_member(df, {"other": 1})
 
 
-@pytest.mark.parametrize("hot_values", [1_000_000, 5])
-def test_medians_by_position_equal_medians_by_value(spark, hot_values):
+def test_medians_of_all_kinds_of_groups(spark):
     rnd = random.Random(11)
     data = [("big", round(rnd.uniform(-5, 5), 3), round(rnd.uniform(0, 9), 2)) for _ in range(301)]
     data += [("even", float(i % 4), float(i)) for i in range(40)] + [("one", 1.5, 2.5), ("two", 1.0, 3.0), ("two", 2.0, 5.0)]
+    data += [(None, 4.0, 8.0), (None, 6.0, None), ("empty", None, None), ("empty", None, None), ("half", None, 1.0)]
+    data += [("common", 7.0, float(i % 3)) for i in range(500)] + [("common", float(i), 1.0) for i in range(20)]
     df = spark.createDataFrame(data, "g string, a double, b double").repartition(7)
-    got = {r.g: (r.a, r.b) for r in grouped_median(df, ["g"], ["a", "b"], 301, hot_values).collect()}
-    for g in ("big", "even", "one", "two"):
-        own = [(a, b) for k, a, b in data if k == g]
-        assert got[g] == (
-            pytest.approx(statistics.median(a for a, _ in own), abs=1e-12),
-            pytest.approx(statistics.median(b for _, b in own), abs=1e-12),
-        )
+    got = {r.g: (r.a, r.b) for r in grouped_median(df, ["g"], ["a", "b"]).collect()}
+    assert set(got) == {g for g, _, _ in data}
+    for g in got:
+        for k in (0, 1):
+            own = [r[k + 1] for r in data if r[0] == g and r[k + 1] is not None]
+            assert got[g][k] == (pytest.approx(statistics.median(own), abs=1e-12) if own else None)
+
+
+def test_a_common_value_is_one_weighted_row(spark):
+    df = spark.range(200_000).selectExpr("'g' AS g", "if(id % 100 < 99, 1.0D, double(id)) AS a").repartition(8)
+    weighed = df.groupBy("g", "a").count()
+    placed = place_in_order(weighed, ["g", "a"])
+    assert placed.count() == df.select("a").distinct().count() < 2_001
+    assert grouped_median(df, ["g"], ["a"]).first().a == 1.0
 
 
 CANDIDATES = [

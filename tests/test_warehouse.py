@@ -68,7 +68,7 @@ def test_geography_medians_ignore_exact_duplicates(geo):
 
 def test_geography_does_not_depend_on_the_hot_path_or_partitions(spark, t, w):
     again = geography.conformed_geography(
-        t["geolocation"].repartition(7), t["customers"].repartition(3), t["sellers"], hot_values=1
+        t["geolocation"].repartition(7), t["customers"].repartition(3), t["sellers"]
     )
     d = differences(w["Geography"], again).first()
     assert (d.ExpectedRows, d.SourceToTargetDifferences, d.TargetToSourceDifferences) == (6, 0, 0)
