@@ -6,16 +6,17 @@ by distance has the largest inner product. Centroids come from halving a
 bounded sample again and again at the median between two means, so all lists
 weigh alike. A vector enters its nearest list and, near a border, the next ones
 too. Queries walk a neighbour graph of the centroids in memory and read every
-list that is not farther than a ratio of their nearest one. Long lists are
-stored in pieces, all of which are read, so one common vector never fills a
-task. Candidates are scored on the original vectors in double precision.
+list that is not farther than a ratio of their nearest one. Lists lie in groups
+of bounded size in their order; a long one reaches over several, all of which
+are read, so one common vector never fills a task. A batch of queries goes once
+to every group that holds one of its lists. Candidates are scored on the original vectors in double precision.
 """
 
 from __future__ import annotations
 
 import heapq
 from collections.abc import Iterator
-from dataclasses import dataclass, replace
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -36,7 +37,7 @@ class Settings:
     border: float = 1.1  # of its nearest distance, for the further ones
     reach: float = 1.35  # of a query's nearest distance, for the lists it reads
     neighbours: int = 16  # edges of a centroid in the graph
-    piece_rows: int = 2_048  # rows of a list stored together
+    group_rows: int = 16_384  # rows of lists that a task searches together
     queries_a_row: int = 256
 
 
@@ -116,10 +117,13 @@ class Index:
     norm: float
     width: int
     postings: DataFrame
+    spans: dict[int, tuple[int, int]]  # first and last group of each list
+    groups: int
     settings: Settings
 
 
-_POSTING = "list int, ids binary, vectors binary"
+_ROW = "group long, kind long, lists binary, ids binary, vectors binary, probes array<binary>"
+_FIELDS = pa.schema([("group", pa.int64()), ("kind", pa.int64()), *((n, pa.binary()) for n in ("lists", "ids", "vectors")), ("probes", pa.list_(pa.binary()))])
 
 
 def build(vectors: DataFrame, settings: Settings = Settings()) -> Index | None:
@@ -132,7 +136,7 @@ def build(vectors: DataFrame, settings: Settings = Settings()) -> Index | None:
     doubles = F.col("vector").cast("array<double>")
     clean = vectors.filter(sound(F.col("vector"), with_zero=False)).select(F.col("id").cast("long"), doubles.alias("vector"))
     square = F.aggregate("vector", F.lit(0.0), lambda a, x: a + x * x)
-    size = clean.agg(F.max(F.size("vector")).alias("n"), F.max(square).alias("most")).first()
+    size = clean.agg(F.max(F.size("vector")).alias("n"), F.max(square).alias("most"), F.count("*").alias("rows")).first()
     if size["n"] is None:
         return None
     width, norm = size["n"], float(np.sqrt(size["most"]))
@@ -151,16 +155,12 @@ def build(vectors: DataFrame, settings: Settings = Settings()) -> Index | None:
             row, column = np.nonzero(near <= settings.border * near.min(1, keepdims=True))
             yield pa.RecordBatch.from_arrays([pa.array(order[row, column], pa.int32()), batch.column(0).take(pa.array(row)), batch.column(1).take(pa.array(row))], schema=fields)
 
-    def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        packed = pa.schema([("list", pa.int32()), ("ids", pa.binary()), ("vectors", pa.binary())])
-        for batch in slices(batches, settings.piece_rows):
-            of, ids, rows = batch.column(0).to_numpy(), batch.column(1).to_numpy(), matrix(batch.column(2), width)
-            edges = [0, *(np.flatnonzero(np.diff(of)) + 1).tolist(), len(of)]
-            yield batch_of(packed, zip(*[(int(of[a]), ids[a:b].tobytes(), rows[a:b].tobytes()) for a, b in zip(edges[:-1], edges[1:], strict=True)], strict=True))
-
+    groups = -(-size["rows"] * settings.copies // settings.group_rows)
     posted = clean.mapInArrow(post, "list int, id long, vector array<double>")
-    posted = posted.repartitionByRange("list", "id").sortWithinPartitions("list", "id").mapInArrow(gather, _POSTING)
-    return Index(centroids, norm, width, written(posted, "postings"), replace(settings))
+    posted = posted.repartitionByRange(groups, "list", "id").sortWithinPartitions("list", "id")
+    posted = written(posted.withColumn("group", F.spark_partition_id().cast("long")), "postings")
+    spans = posted.groupBy("list").agg(F.min("group"), F.max("group")).collect()  # a row per centroid at most
+    return Index(centroids, norm, width, posted, {r[0]: (r[1], r[2]) for r in spans}, groups, settings)
 
 
 def _raised(rows: np.ndarray, norm: float) -> np.ndarray:
@@ -178,56 +178,98 @@ def search(index: Index, queries: DataFrame, k: int) -> DataFrame:
     no more candidates.
     """
     settings, width, norm = index.settings, index.width, index.norm
-    shared = queries.sparkSession.sparkContext.broadcast(index.centroids)
+    shared = queries.sparkSession.sparkContext.broadcast((index.centroids, index.spans))
     clean = queries.filter(sound(F.col("vector"), with_zero=False)).select(F.col("id").cast("long"), F.col("vector").cast("array<double>").alias("vector"))
-    asked_fields = pa.schema([("list", pa.int32()), ("query_ids", pa.binary()), ("queries", pa.binary())])
 
     def ask(everywhere: bool):
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            lists = shared.value
+            lists, spans = shared.value
             for batch in slices(batches, settings.queries_a_row):
                 ids, rows = batch.column(0).to_numpy(), matrix(batch.column(1), width)
-                at: dict[int, list[int]] = {}
+                at: dict[int, dict[int, list[int]]] = {}
                 for i, row in enumerate(rows):
                     raised = np.append(row * (norm / np.sqrt(row @ row)), 0.0)
-                    for k_ in range(len(lists.points)) if everywhere else lists.lists(raised, settings.reach).tolist():
-                        at.setdefault(k_, []).append(i)
-                yield batch_of(asked_fields, zip(*[(n, ids[i].tobytes(), rows[i].tobytes()) for n, i in at.items()], strict=True))
+                    for near in range(len(lists.points)) if everywhere else lists.lists(raised, settings.reach).tolist():
+                        first, last = spans.get(near, (0, -1))
+                        for group in range(first, last + 1):
+                            at.setdefault(group, {}).setdefault(i, []).append(near)
+                for group, asking in at.items():
+                    some = np.array(list(asking))
+                    probes = [np.array(asking[i], dtype=np.int32).tobytes() for i in some.tolist()]
+                    yield batch_of(_FIELDS, zip((group, 1, None, ids[some].tobytes(), rows[some].tobytes(), probes), strict=True))
 
         return run
 
+    def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches, 2048):
+            group = batch.column(3).to_numpy()
+            edges = [0, *(np.flatnonzero(np.diff(group)) + 1).tolist(), len(group)]
+            rows = matrix(batch.column(2), width)
+            for a, b in zip(edges[:-1], edges[1:], strict=True):
+                lists, ids = (batch.column(c).to_numpy()[a:b].tobytes() for c in (0, 1))
+                yield batch_of(_FIELDS, zip((int(group[a]), 0, lists, ids, rows[a:b].tobytes(), None), strict=True))
+
     hits = pa.schema([("query_id", pa.int64()), ("vec_id", pa.int64()), ("score", pa.float64())])
 
-    def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        current, parts, held = None, [], None
         for batch in batches:
-            for query_ids, asked, ids, vectors in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                query_ids, ids = np.frombuffer(query_ids, np.int64), np.frombuffer(ids, np.int64)
-                asked, vectors = np.frombuffer(asked).reshape(-1, width), np.frombuffer(vectors).reshape(-1, width)
-                rough = asked @ vectors.T
-                slack = 1e-9 * (1 + norm * np.sqrt((asked**2).sum(1)))
-                out = []
-                for i, q in enumerate(query_ids):
-                    other = np.flatnonzero(ids != q)
-                    if len(other) > k:
-                        least = np.partition(rough[i, other], len(other) - k)[len(other) - k] - slack[i]
-                        other = other[rough[i, other] >= least]
-                    exact = _products(vectors[other], asked[i])
-                    kept = best(exact, ids[other], k)
-                    out.append((np.full(len(kept), q), ids[other][kept], exact[kept]))
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in zip(*out, strict=True)], schema=hits)
+            for i in range(batch.num_rows):
+                group, kind, lists, ids, vectors, probes = (batch.column(c)[i].as_py() for c in range(6))
+                if group != current:
+                    current, parts, held = group, [], None
+                ids, vectors = np.frombuffer(ids, np.int64), np.frombuffer(vectors).reshape(-1, width)
+                if kind == 0:
+                    parts.append((np.frombuffer(lists, np.int32), ids, vectors))
+                    continue
+                if held is None:
+                    held = [np.concatenate(x) for x in zip(*parts, strict=True)]
+                    order = np.argsort(held[0], kind="stable")
+                    held, parts = [x[order] for x in held], []
+                found = _nearest(held, ids, vectors, [np.frombuffer(p, np.int32) for p in probes], k, norm, settings.copies)
+                if found:
+                    yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in zip(*found, strict=True)], schema=hits)
 
     def found(some: DataFrame, everywhere: bool) -> DataFrame:
-        asked = some.mapInArrow(ask(everywhere), "list int, query_ids binary, queries binary")
-        both = asked.join(index.postings, "list").select("query_ids", "queries", "ids", "vectors")
-        # A vector sits in several lists.
-        return both.mapInArrow(score, "query_id long, vec_id long, score double").distinct()
+        both = index.postings.select("list", "id", "vector", "group").mapInArrow(gather, _ROW).unionByName(some.mapInArrow(ask(everywhere), _ROW))
+        met = both.repartition(index.groups, "group").sortWithinPartitions("group", "kind")
+        # A vector may sit in lists of several groups.
+        return met.mapInArrow(scan, "query_id long, vec_id long, score double").distinct()
 
     near = written(best_per_query(found(clean, False), k), "nearest")
-    short = near.groupBy("query_id").count().filter(F.col("count") < k)
-    full = near.groupBy("query_id").count().filter(F.col("count") >= k)
-    rest = clean.join(full, clean["id"] == full["query_id"], "left_anti").repartition("id")
-    again = best_per_query(found(rest, True), k)
-    return near.join(short, "query_id", "left_anti").unionByName(again)
+    full = near.groupBy("query_id").count().filter(F.col("count") >= k).select("query_id")
+    rest = written(clean.join(full, clean["id"] == full["query_id"], "left_anti"), "short")
+    if rest.isEmpty():
+        return near
+    return near.join(full, "query_id", "left_semi").unionByName(best_per_query(found(rest, True), k)).select(*near.columns)
+
+
+def _nearest(held: list[np.ndarray], query_ids: np.ndarray, queries: np.ndarray, probes: list[np.ndarray], k: int, norm: float, copies: int) -> list[tuple[np.ndarray, ...]]:
+    """Query, vector and exact score of each query's k nearest in the lists it asks for here."""
+    lists, ids, vectors = held
+    numbers, starts = np.unique(lists, return_index=True)
+    ends = np.append(starts[1:], len(lists))
+    asked = np.array([np.isin(numbers, p) for p in probes])
+    rough = np.full((len(queries), len(ids)), -np.inf)
+    for n, (a, b) in enumerate(zip(starts.tolist(), ends.tolist(), strict=True)):
+        some = np.flatnonzero(asked[:, n])
+        rough[some, a:b] = queries[some] @ vectors[a:b].T
+    rough[ids[None, :] == query_ids[:, None]] = -np.inf
+    slack = 1e-9 * (1 + norm * np.sqrt((queries**2).sum(1)))
+    most = k * copies  # a vector may sit in so many lists
+    out = []
+    for i, query in enumerate(query_ids):
+        least = np.partition(rough[i], len(ids) - most)[len(ids) - most] - slack[i] if len(ids) > most else -np.inf
+        some = np.flatnonzero((rough[i] >= least) & (rough[i] > -np.inf))
+        exact = _products(vectors[some], queries[i])
+        order = np.lexsort((exact, ids[some]))  # copies of one row are alike in id and score
+        some, exact = some[order], exact[order]
+        fresh = np.concatenate(([True], (np.diff(ids[some]) != 0) | (np.diff(exact) != 0)))[: len(some)]
+        some, exact = some[fresh], exact[fresh]
+        kept = best(exact, ids[some], k)
+        if len(kept):
+            out.append((np.full(len(kept), query), ids[some][kept], exact[kept]))
+    return out
 
 
 def _products(rows: np.ndarray, query: np.ndarray) -> np.ndarray:
