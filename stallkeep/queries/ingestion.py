@@ -17,7 +17,7 @@ from stallkeep.queries.oracle import day, moment
 from stallkeep.queries.roles import driver_table
 from stallkeep.session import scratch_path
 from stallkeep.sources import CONTRACTS, Store, ingest, key_gate, load_table, scan_csv, typed
-from stallkeep.sources.ingest import cast_failures
+from stallkeep.sources.ingest import cast_failures, malformed_lines
 
 _files: dict[tuple[str, str, str], str] = {}
 
@@ -71,6 +71,24 @@ def _header_contract(s, d) -> DataFrame:
     )
 
 
+# Every so many orders, the items of one are broken in the text: a field short, two too many, or an open quote.
+_BROKEN_EVERY = 29
+
+
+def _malformed_lines(s, d) -> DataFrame:
+    """Lines of an items file that the scan refuses, some of them broken by key arithmetic."""
+    contract = CONTRACTS["order_items"]
+    items = staging(s, d)["order_items"].select(*contract.column_names)
+    line = F.concat_ws(",", *[F.coalesce(F.col(c).cast("string"), F.lit("")) for c in contract.column_names])
+    key = F.col("order_id").cast("long") % _BROKEN_EVERY
+    broken = F.when(key == 0, F.substring_index(line, ",", 6)).when(key == 1, F.concat(line, F.lit(",x,y"))).when(key == 2, F.concat(F.lit('"'), line)).otherwise(line)
+    path = scratch_path(s, "text-broken")
+    header = ",".join(contract.column_names)
+    # Lines go out as they are: no character of theirs is the separator or the quote of this writer.
+    items.select(broken.alias(header)).write.option("header", True).option("sep", "\u0001").option("quote", "").csv(path)
+    return malformed_lines(s, path, contract)
+
+
 def _cast_failures(s, d) -> DataFrame:
     """Unreadable values per typed column of the items file."""
     failed = cast_failures(_scan(s, d, "order_items"), CONTRACTS["order_items"])
@@ -125,6 +143,7 @@ def _sink(s, d) -> DataFrame:
 QUERIES = {
     "ing_01_registry": _registry,
     "ing_02_csv_scan": lambda s, d: _scan(s, d, "reviews"),
+    "ing_02_malformed_lines": _malformed_lines,
     "ing_03_header_contract": _header_contract,
     "ing_04_timestamp_cast": lambda s, d: _typed(s, d, "orders").drop("order_estimated_delivery_date"),
     "ing_05_date_cast": lambda s, d: _typed(s, d, "orders").select("order_id", "order_estimated_delivery_date"),
@@ -166,6 +185,7 @@ ORACLE = {
     ),
     "ing_02_csv_scan": f"""SELECT review_id, order_id, CAST(review_score AS VARCHAR) AS review_score, review_comment_title, review_comment_message,
         {moment('review_creation_date')} AS review_creation_date, {moment('review_answer_timestamp')} AS review_answer_timestamp FROM stg_reviews""",
+    "ing_02_malformed_lines": f"SELECT count(CASE WHEN CAST(order_id AS BIGINT) % {_BROKEN_EVERY} < 3 THEN 1 END) AS MalformedLines, count(*) AS Lines FROM stg_items",
     "ing_03_header_contract": " UNION ALL ".join(f"SELECT '{n}' AS Dataset, count(*) AS TextRows FROM {b}" for n, b in _BLOCK.items()),
     "ing_04_timestamp_cast": f"SELECT {_ORDER_TEXT} FROM stg_orders",
     "ing_05_date_cast": f"SELECT order_id, {day('order_estimated_delivery_date')} AS order_estimated_delivery_date FROM stg_orders",

@@ -13,7 +13,6 @@ MONEY, DEGREES = "decimal(18,2)", "decimal(28,20)"
 @dataclass(frozen=True)
 class Contract:
     name: str
-    file_name: str
     columns: tuple[tuple[str, str], ...]
     key: tuple[str, ...] = ()
     # Set where quoted values may contain line breaks; such files cannot be split.
@@ -28,74 +27,115 @@ class Contract:
         return T.StructType([T.StructField(c, T.StringType()) for c in self.column_names])
 
 
-def _contract(name: str, file_name: str, spec: str, key: str = "", multiline: bool = False) -> Contract:
-    columns = []
-    for part in spec.split():
-        column, _, role = part.partition(":")
-        columns.append((column, {"": TEXT, "ts": STAMP, "day": DAY, "int": WHOLE, "money": MONEY, "deg": DEGREES}[role]))
-    return Contract(name, file_name, tuple(columns), tuple(key.split()), multiline)
-
-
-# File names, column names, roles and keys of the nine data sets.
+# Column names, roles and keys of the nine data sets.
 CONTRACTS: dict[str, Contract] = {
     c.name: c
     for c in (
-        _contract(
+        Contract(
             "orders",
-            "olist_orders_dataset.csv",
-            "order_id customer_id order_status order_purchase_timestamp:ts order_approved_at:ts"
-            " order_delivered_carrier_date:ts order_delivered_customer_date:ts order_estimated_delivery_date:day",
-            "order_id",
+            (
+                ("order_id", TEXT),
+                ("customer_id", TEXT),
+                ("order_status", TEXT),
+                ("order_purchase_timestamp", STAMP),
+                ("order_approved_at", STAMP),
+                ("order_delivered_carrier_date", STAMP),
+                ("order_delivered_customer_date", STAMP),
+                ("order_estimated_delivery_date", DAY),
+            ),
+            key=("order_id",),
         ),
-        _contract(
+        Contract(
             "order_items",
-            "olist_order_items_dataset.csv",
-            "order_id order_item_id:int product_id seller_id shipping_limit_date:ts price:money freight_value:money",
-            "order_id order_item_id",
+            (
+                ("order_id", TEXT),
+                ("order_item_id", WHOLE),
+                ("product_id", TEXT),
+                ("seller_id", TEXT),
+                ("shipping_limit_date", STAMP),
+                ("price", MONEY),
+                ("freight_value", MONEY),
+            ),
+            key=("order_id", "order_item_id"),
         ),
-        _contract(
+        Contract(
             "products",
-            "olist_products_dataset.csv",
-            "product_id product_category_name product_name_lenght:int product_description_lenght:int"
-            " product_photos_qty:int product_weight_g:int product_length_cm:int product_height_cm:int product_width_cm:int",
-            "product_id",
+            (
+                ("product_id", TEXT),
+                ("product_category_name", TEXT),
+                ("product_name_lenght", WHOLE),
+                ("product_description_lenght", WHOLE),
+                ("product_photos_qty", WHOLE),
+                ("product_weight_g", WHOLE),
+                ("product_length_cm", WHOLE),
+                ("product_height_cm", WHOLE),
+                ("product_width_cm", WHOLE),
+            ),
+            key=("product_id",),
         ),
-        _contract(
+        Contract(
             "category_translation",
-            "product_category_name_translation.csv",
-            "product_category_name product_category_name_english",
-            "product_category_name",
+            (
+                ("product_category_name", TEXT),
+                ("product_category_name_english", TEXT),
+            ),
+            key=("product_category_name",),
         ),
-        _contract(
+        Contract(
             "customers",
-            "olist_customers_dataset.csv",
-            "customer_id customer_unique_id customer_zip_code_prefix customer_city customer_state",
-            "customer_id",
+            (
+                ("customer_id", TEXT),
+                ("customer_unique_id", TEXT),
+                ("customer_zip_code_prefix", TEXT),
+                ("customer_city", TEXT),
+                ("customer_state", TEXT),
+            ),
+            key=("customer_id",),
         ),
-        _contract(
+        Contract(
             "sellers",
-            "olist_sellers_dataset.csv",
-            "seller_id seller_zip_code_prefix seller_city seller_state",
-            "seller_id",
+            (
+                ("seller_id", TEXT),
+                ("seller_zip_code_prefix", TEXT),
+                ("seller_city", TEXT),
+                ("seller_state", TEXT),
+            ),
+            key=("seller_id",),
         ),
-        _contract(
+        Contract(
             "payments",
-            "olist_order_payments_dataset.csv",
-            "order_id payment_sequential:int payment_type payment_installments:int payment_value:money",
-            "order_id payment_sequential",
+            (
+                ("order_id", TEXT),
+                ("payment_sequential", WHOLE),
+                ("payment_type", TEXT),
+                ("payment_installments", WHOLE),
+                ("payment_value", MONEY),
+            ),
+            key=("order_id", "payment_sequential"),
         ),
-        _contract(
+        Contract(
             "reviews",
-            "olist_order_reviews_dataset.csv",
-            "review_id order_id review_score:int review_comment_title review_comment_message"
-            " review_creation_date:ts review_answer_timestamp:ts",
-            "review_id order_id",
+            (
+                ("review_id", TEXT),
+                ("order_id", TEXT),
+                ("review_score", WHOLE),
+                ("review_comment_title", TEXT),
+                ("review_comment_message", TEXT),
+                ("review_creation_date", STAMP),
+                ("review_answer_timestamp", STAMP),
+            ),
+            key=("review_id", "order_id"),
             multiline=True,
         ),
-        _contract(
+        Contract(
             "geolocation",
-            "olist_geolocation_dataset.csv",
-            "geolocation_zip_code_prefix geolocation_lat:deg geolocation_lng:deg geolocation_city geolocation_state",
+            (
+                ("geolocation_zip_code_prefix", TEXT),
+                ("geolocation_lat", DEGREES),
+                ("geolocation_lng", DEGREES),
+                ("geolocation_city", TEXT),
+                ("geolocation_state", TEXT),
+            ),
         ),
     )
 }

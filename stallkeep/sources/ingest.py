@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from stallkeep.functions import matches
 from stallkeep.sources.contracts import DAY, STAMP, TEXT, WHOLE, Contract
@@ -18,6 +19,11 @@ MISSING_TEXTS = (
 )
 
 
+_MALFORMED = "_malformed_line"
+# An offset or zone behind a time of day.
+_ZONE = r"\d:\d{1,2}(:[\d.]*)?\s*(Z|UTC|GMT|[+-]\d{1,2}(:?\d{2})?|[A-Za-z]+/[A-Za-z_/]+)\s*$"
+
+
 class ContractError(ValueError):
     """The source does not keep its contract."""
 
@@ -29,9 +35,23 @@ def _reader(spark: SparkSession, contract: Contract):
         .option("quote", '"')
         .option("escape", '"')
         .option("multiLine", contract.multiline)
+        # A line must be read whole to tell whether it has too many or too few fields.
+        .option("columnPruning", False)
     )
 
 
+def _raw_lines(spark: SparkSession, path: str, contract: Contract) -> DataFrame:
+    """Every column as text, and the line itself where it does not have one field per column.
+
+    With ``enforceSchema`` off, Spark compares the header of every file in the
+    path with the contract, not only the first one's.
+    """
+    check_header(spark, path, contract)
+    schema = T.StructType([*contract.text_schema.fields, T.StructField(_MALFORMED, T.StringType())])
+    reader = _reader(spark, contract).option("enforceSchema", False).option("mode", "PERMISSIVE")
+    return reader.option("columnNameOfCorruptRecord", _MALFORMED).schema(schema).csv(path)
+
+
 def check_header(spark: SparkSession, path: str, contract: Contract) -> None:
     """The file must exist and its header must equal the contract, order included."""
     try:
@@ -47,16 +67,29 @@ def check_header(spark: SparkSession, path: str, contract: Contract) -> None:
 def scan_csv(spark: SparkSession, path: str, contract: Contract) -> DataFrame:
     """Every column as text; the usual spellings of a missing value become NULL.
 
-    With ``enforceSchema`` off, Spark compares the header of every file in the
-    path with the contract, not only the first one's.
+    A line with too many or too few fields, or with a quote that never closes,
+    fails the job with the name of the data set and the line.
     """
-    check_header(spark, path, contract)
-    raw = _reader(spark, contract).option("enforceSchema", False).schema(contract.text_schema).csv(path)
-    return raw.select(
+    line = F.col(_MALFORMED)
+    complaint = F.concat(F.lit(f"{contract.name}: malformed line: "), line, _beside_line(contract))
+    sound = F.when(line.isNotNull(), F.raise_error(complaint).cast("boolean")).otherwise(F.lit(True))
+    return _raw_lines(spark, path, contract).filter(sound).select(
         *[F.when(~F.col(c).isin(*MISSING_TEXTS), F.col(c)).alias(c) for c in contract.column_names]
     )
 
 
+def malformed_lines(spark: SparkSession, path: str, contract: Contract) -> DataFrame:
+    """How many lines the scan would refuse, and how many there are, without failing."""
+    raw = _raw_lines(spark, path, contract)
+    refused = F.count(F.when(F.col(_MALFORMED).isNotNull(), _beside_line(contract)))
+    return raw.agg(refused.alias("MalformedLines"), F.count(F.lit(1)).alias("Lines"))
+
+
+def _beside_line(contract: Contract) -> Column:
+    """Always empty; Spark does not scan text files for the malformed line alone."""
+    return F.substring(F.coalesce(F.col(contract.column_names[0]), F.lit("")), 1, 0)
+
+
 def lenient_cast(text: Column, role: str) -> Column:
     """The typed value, or NULL where the text is not one."""
     if role == STAMP:
@@ -69,9 +102,24 @@ def lenient_cast(text: Column, role: str) -> Column:
     return F.nullif(F.trim(text), F.lit("")).try_cast(role)
 
 
+def _loses(text: Column, role: str) -> Column:
+    """Whether the typed value would be less than the text says."""
+    value = lenient_cast(text, role)
+    if role in (STAMP, DAY):
+        zoned = text.rlike(_ZONE)
+        return zoned | (value != text.try_cast("timestamp_ntz")) if role == DAY else zoned
+    if role.startswith("decimal"):
+        scale = int(role.rstrip(")").rpartition(",")[2])
+        digits = F.length(F.regexp_extract(F.trim(text), r"\.([0-9]*?)0*$", 1))
+        return (digits > scale) | (value != F.trim(text).try_cast(f"decimal(38,{min(scale + 10, 28)})"))
+    return F.lit(False)
+
+
 def _unreadable(text: Column, role: str) -> Column:
+    """A text that is no value of the role, or more than one can hold (digits, an offset, a time of day)."""
     blank = F.trim(text) == "" if role.startswith("decimal") else F.lit(False)
-    return text.isNotNull() & ~blank & lenient_cast(text, role).isNull()
+    lost = F.coalesce(_loses(text, role), F.lit(False))
+    return text.isNotNull() & ~blank & (lenient_cast(text, role).isNull() | lost)
 
 
 def typed(raw: DataFrame, contract: Contract) -> DataFrame:

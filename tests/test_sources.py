@@ -7,7 +7,7 @@ from conftest import rows
 from fixtures import DATA
 from stallkeep.sources import CONTRACTS, ContractError, Store, contract_for, ingest, load_table, scan_csv, typed
 from stallkeep.sources.contracts import Contract
-from stallkeep.sources.ingest import cast_failures, check_key
+from stallkeep.sources.ingest import cast_failures, check_key, malformed_lines
 
 
 @pytest.fixture
@@ -72,6 +72,11 @@ def test_quoted_text_over_several_lines(spark, folder):
         ("o,1.5,p,s,2018-01-01 00:00:00,1.00,1.00", "order_item_id"),
         ("o,1,p,s,yesterday,1.00,1.00", "shipping_limit_date"),
         ("o,1,p,s,2018-01-01 00:00:00,1.x,1.00", "price"),
+        ("o,1,p,s,2018-01-01 00:00:00,1.239,1.00", "price"),
+        ("o,1,p,s,2018-01-01 00:00:00,1.00,0.0049", "freight_value"),
+        ("o,1,p,s,2018-01-01 00:00:00,1239e-3,1.00", "price"),
+        ("o,1,p,s,2018-01-01T00:00:00+03:00,1.00,1.00", "shipping_limit_date"),
+        ("o,1,p,s,2018-01-01 00:00:00Z,1.00,1.00", "shipping_limit_date"),
     ],
 )
 def test_unreadable_values_fail(spark, folder, line, column):
@@ -81,6 +86,31 @@ def test_unreadable_values_fail(spark, folder, line, column):
         typed(raw, CONTRACTS["order_items"]).collect()
 
 
+@pytest.mark.parametrize("line", ["o,1,p,s,,1,1,x,y", "o,1,p,s,,1", '"o,1,p,s,,1,1', "o"])
+def test_malformed_lines_fail_also_where_few_columns_are_read(spark, folder, line):
+    path = write(folder, ITEMS + "o,2,p,s,,1,1\n" + line + "\n")
+    assert tuple(malformed_lines(spark, path, CONTRACTS["order_items"]).first()) == (1, 2)
+    raw = scan_csv(spark, path, CONTRACTS["order_items"])
+    for read in (raw, raw.select("price"), raw.filter("order_item_id = '2'"), raw.groupBy().count()):
+        with pytest.raises(Exception, match="order_items: malformed line"):
+            read.collect()
+
+
+def test_an_estimated_day_must_be_a_day(spark, folder):
+    header = ",".join(CONTRACTS["orders"].column_names)
+    good = typed(scan_csv(spark, write(folder, f"{header}\no,c,s,,,,,2018-01-01 00:00:00\n", "a.csv"), CONTRACTS["orders"]), CONTRACTS["orders"])
+    assert str(good.first().order_estimated_delivery_date) == "2018-01-01"
+    bad = scan_csv(spark, write(folder, f"{header}\no,c,s,,,,,2018-01-01 10:00:00\n", "b.csv"), CONTRACTS["orders"])
+    with pytest.raises(Exception, match="orders.order_estimated_delivery_date"):
+        typed(bad, CONTRACTS["orders"]).collect()
+
+
+def test_trailing_zeros_and_exponents_are_exact(spark, folder):
+    path = write(folder, ITEMS + "o,1,p,s,2018-01-01 00:00:00.5,1.2300,12e-1\n")
+    row = typed(scan_csv(spark, path, CONTRACTS["order_items"]), CONTRACTS["order_items"]).first()
+    assert (str(row.price), str(row.freight_value)) == ("1.23", "1.20")
+
+
 def test_blank_decimals_and_whole_numbers(spark, folder):
     path = write(folder, ITEMS + "o,1.0,p,s,2018-01-01 00:00:00, ,0.10\n")
     row = typed(scan_csv(spark, path, CONTRACTS["order_items"]), CONTRACTS["order_items"]).first()
@@ -95,7 +125,7 @@ def test_key_gates(spark, folder):
 
 
 def test_no_key_no_gate(spark):
-    check_key(spark.range(3).selectExpr("1 AS id"), Contract("free", "f", (("id", "integer"),)))
+    check_key(spark.range(3).selectExpr("1 AS id"), Contract("free", (("id", "integer"),)))
 
 
 def test_ingest_stores_every_row(spark, folder):
