@@ -25,6 +25,7 @@ from pyspark.sql import functions as F
 
 from stallkeep.llm.common import batch_of, slices, written
 from stallkeep.llm.vectors import best, best_per_query, matrix, sound
+from stallkeep.operators.keys import number_rows
 
 
 @dataclass(frozen=True)
@@ -157,8 +158,9 @@ def build(vectors: DataFrame, settings: Settings = Settings()) -> Index | None:
 
     groups = -(-size["rows"] * settings.copies // settings.group_rows)
     posted = clean.mapInArrow(post, "list int, id long, vector array<double>")
-    posted = posted.repartitionByRange(groups, "list", "id").sortWithinPartitions("list", "id")
-    posted = written(posted.withColumn("group", F.spark_partition_id().cast("long")), "postings")
+    # The group is the place in the order of lists, whatever the number of partitions.
+    placed = number_rows(posted, ["list", "id"], "place")
+    posted = placed.select("list", "id", "vector", F.floor((F.col("place") - 1) / settings.group_rows).alias("group"))
     spans = posted.groupBy("list").agg(F.min("group"), F.max("group")).collect()  # a row per centroid at most
     return Index(centroids, norm, width, posted, {r[0]: (r[1], r[2]) for r in spans}, groups, settings)
 
