@@ -8,6 +8,8 @@ from pyspark.sql import functions as F
 # Lower-case Latin letters with accents and their plain forms.
 ACCENTED = "áàâãäåéèêëíìîïóòôõöúùûüýÿçñ"
 PLAIN = "aaaaaaeeeeiiiiooooouuuuyycn"
+# Accents that follow their letter as characters of their own.
+COMBINING = "".join(map(chr, range(0x300, 0x370)))
 # Characters a city comparison ignores.
 IGNORED_IN_CITY = " -'"
 
@@ -22,12 +24,12 @@ def city_key(city: Column | str) -> Column:
     ``translate`` maps the accented letters and, for the characters that have
     no counterpart in the replacement, deletes them, all in one pass.
     """
-    return F.translate(F.lower(F.trim(_column(city))), ACCENTED + IGNORED_IN_CITY, PLAIN)
+    return F.translate(F.lower(F.trim(_column(city))), ACCENTED + IGNORED_IN_CITY + COMBINING, PLAIN)
 
 
 def folded(text: Column | str) -> Column:
     """Lower case without accents and trailing blanks: a case- and accent-insensitive comparison key."""
-    return F.translate(F.lower(F.rtrim(_column(text))), ACCENTED, PLAIN)
+    return F.translate(F.lower(F.rtrim(_column(text))), ACCENTED + COMBINING, PLAIN)
 
 
 def is_blank(text: Column | str) -> Column:

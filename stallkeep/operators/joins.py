@@ -11,6 +11,9 @@ from pyspark.sql import functions as F
 
 BROADCAST_BYTES = 16 * 1024 * 1024
 HOT_ROWS = 20_000_000
+# Keys that the search for hot keys counts, and that its sketch tracks.
+HOT_CANDIDATES = 1_000
+SKETCHED_KEYS = 10_000
 # Rows without a key match nothing, so they may go to any of this many pieces.
 NULL_KEY_PIECES = 4096
 
@@ -27,10 +30,18 @@ def fits_broadcast(df: DataFrame, limit: int = BROADCAST_BYTES) -> bool:
 def hot_keys(df: DataFrame, on: Sequence[str], hot_rows: int) -> DataFrame:
     """Keys with more than ``hot_rows`` rows and the number of pieces to cut each into.
 
-    There are at most (rows of df) / hot_rows such keys, whatever the data.
+    A frequent-items sketch over the keys names candidates, in memory that does
+    not grow with the data; only their rows are then counted. There are at most
+    (rows of df) / hot_rows hot keys. The sketch is sure to name them all up to
+    about SKETCHED_KEYS / 7 times ``hot_rows`` rows; a key it missed would stay
+    whole, which changes the balance of a join and never its result.
     """
+    key = F.xxhash64(*on)
+    sketch = df.select(key.alias("_h")).agg(F.expr(f"approx_top_k(_h, {HOT_CANDIDATES}, {SKETCHED_KEYS})").alias("_top"))
+    candidates = sketch.select(F.explode("_top").alias("_x")).select(F.col("_x.item").alias("_h"))
+    rows = df.select(*on, key.alias("_h")).join(F.broadcast(candidates), "_h", "left_semi")
     return (
-        df.groupBy(*on)
+        rows.groupBy(*on)
         .agg(F.count("*").alias("_rows"))
         .filter(F.col("_rows") > hot_rows)
         .select(*on, F.ceil(F.col("_rows") / F.lit(hot_rows)).cast("int").alias("_pieces"))

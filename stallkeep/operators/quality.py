@@ -270,10 +270,11 @@ def unused_mappings(source: DataFrame, mapping: DataFrame, key: str) -> DataFram
 
 
 def violations_across(
-    child: DataFrame, parent: DataFrame, on: Sequence[str], condition: Column, name: str
+    child: DataFrame, parent: DataFrame, on: Sequence[str], conditions: Mapping[str, Column]
 ) -> DataFrame:
-    """Child rows that violate an order against their parent (inner join)."""
-    return spread_join(child, parent, on, "inner").agg(matches(condition).alias(name))
+    """Child rows that violate each named order against their parent, from one inner join."""
+    joined = spread_join(child, parent, on, "inner")
+    return joined.agg(*[matches(condition).alias(name) for name, condition in conditions.items()])
 
 
 def counts_by_parent_attribute(

@@ -199,8 +199,15 @@ def reviews_metrics(t: Tables) -> DataFrame:
         key_profile(df, ["review_id"], "review_id"),
         Q.orphan_count(df, orders, "order_id", "order_id", name="OrphanReviews"),
         _count(Q.unreferenced(orders, df, "order_id", "order_id"), "OrdersWithoutReviews"),
-        Q.violations_across(df, against, ["order_id"], created < F.col("order_purchase_timestamp"), "CreatedBeforePurchase"),
-        Q.violations_across(df, against, ["order_id"], created < delivered, "CreatedBeforeDelivery"),
+        Q.violations_across(
+            df,
+            against,
+            ["order_id"],
+            {
+                "CreatedBeforePurchase": created < F.col("order_purchase_timestamp"),
+                "CreatedBeforeDelivery": created < delivered,
+            },
+        ),
     )
 
 
@@ -262,11 +269,11 @@ def invalid_geography_states(t: Tables) -> DataFrame:
     return t["Geography"].filter(state.isNull() | ~state.isin(*STATE_CODES)).select("ZipCodePrefix", "StateCode").orderBy("ZipCodePrefix")
 
 
-def profile_status(profile: DataFrame, expected: Mapping[str, int], subject: str) -> DataFrame:
-    """One line: do all named metrics of a one-row profile equal the given expectations?"""
+def profile_status(profile: DataFrame, expected: Mapping[str, int | str], subject: str) -> DataFrame:
+    """One line: do all named metrics of a one-row profile equal the given expectations, numbers or columns of the row?"""
     held = F.lit(True)
     for metric, value in expected.items():
-        held = held & (F.col(metric) == F.lit(value))
+        held = held & (F.col(metric) == (F.col(value) if isinstance(value, str) else F.lit(value)))
     verdict = F.when(held, f"{subject} VALIDATION PASSED").otherwise(f"{subject} VALIDATION FAILED")
     return profile.select(verdict.alias("ValidationStatus"))
 
@@ -292,16 +299,22 @@ def repeated_review_ids(t: Tables, limit: int = 100) -> DataFrame:
 
 
 def busiest_zips(t: Tables, limit: int = 20) -> DataFrame:
+    """The ZIP codes with most rows; observations are counted per (ZIP, city, state) first."""
+    place = ["geolocation_zip_code_prefix", "geolocation_city", "geolocation_state"]
+    counted = t["geolocation"].groupBy(*place).agg(
+        F.count("*").alias("_rows"),
+        *[f(f"geolocation_{c}").alias(f"_{n}_{c}") for c in ("lat", "lng") for n, f in (("min", F.min), ("max", F.max))],
+    )
     measures = {
-        "SourceRows": F.count("*"),
+        "SourceRows": F.sum("_rows"),
         "DistinctCities": F.count_distinct("geolocation_city"),
         "DistinctStates": F.count_distinct("geolocation_state"),
-        "MinLatitude": F.min("geolocation_lat"),
-        "MaxLatitude": F.max("geolocation_lat"),
-        "MinLongitude": F.min("geolocation_lng"),
-        "MaxLongitude": F.max("geolocation_lng"),
+        "MinLatitude": F.min("_min_lat"),
+        "MaxLatitude": F.max("_max_lat"),
+        "MinLongitude": F.min("_min_lng"),
+        "MaxLongitude": F.max("_max_lng"),
     }
-    return Q.top_groups(t["geolocation"], ["geolocation_zip_code_prefix"], measures, "SourceRows", limit)
+    return Q.top_groups(counted, place[:1], measures, "SourceRows", limit)
 
 
 def states_with_zips(t: Tables) -> DataFrame:

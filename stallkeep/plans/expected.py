@@ -11,7 +11,7 @@ from collections.abc import Mapping
 
 from pyspark.sql import DataFrame
 
-from stallkeep.functions.text import ACCENTED, IGNORED_IN_CITY, PLAIN
+from stallkeep.functions.text import ACCENTED, COMBINING, IGNORED_IN_CITY, PLAIN
 
 Tables = Mapping[str, DataFrame]
 
@@ -23,12 +23,12 @@ def _sql(tables: Tables, text: str, *names: str) -> DataFrame:
 
 
 def _city(column: str) -> str:
-    ignored = (ACCENTED + IGNORED_IN_CITY).replace("'", "\\'")
+    ignored = (ACCENTED + IGNORED_IN_CITY + COMBINING).replace("'", "\\'")
     return f"translate(lower(trim({column})), '{ignored}', '{PLAIN}')"
 
 
 def _folded(column: str) -> str:
-    return f"translate(lower(rtrim({column})), '{ACCENTED}', '{PLAIN}')"
+    return f"translate(lower(rtrim({column})), '{ACCENTED + COMBINING}', '{PLAIN}')"
 
 
 def _day_key(column: str) -> str:

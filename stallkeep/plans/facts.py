@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from stallkeep.functions import date_key, flag, flag_unless_null
 from stallkeep.operators.joins import HOT_ROWS, found, lookup, spread_join
 from stallkeep.operators.quality import sequence_profile
+from stallkeep.session import scratch_path
 
 
 def carrier_before_purchase(purchase: Column, carrier: Column) -> Column:
@@ -138,15 +139,19 @@ def fact_order_item(items: DataFrame, orders: DataFrame, dim_product: DataFrame,
     )
 
 
+def broken_sequences(payments: DataFrame) -> DataFrame:
+    """Orders whose payment numbers are not 1..n, one row each."""
+    profile = sequence_profile(payments, ["order_id"], "payment_sequential")
+    return profile.filter("SequenceAnomaly = 1").select("order_id", F.lit(1).alias("_broken"))
+
+
 def with_sequence_anomaly(payments: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
     """Mark every row of an order whose payment numbers are not 1..n.
 
     A window would gather an order's rows in one task; here each order is
     reduced to one row and only the broken orders are joined back.
     """
-    profile = sequence_profile(payments, ["order_id"], "payment_sequential")
-    broken = profile.filter("SequenceAnomaly = 1").select("order_id", F.lit(1).alias("_broken"))
-    marked = spread_join(payments, broken, ["order_id"], "left", hot_rows=hot_rows)
+    marked = spread_join(payments, broken_sequences(payments), ["order_id"], "left", hot_rows=hot_rows)
     return marked.withColumn("PaymentSequenceAnomalyFlag", flag(F.col("_broken") == 1)).drop("_broken")
 
 
@@ -161,8 +166,11 @@ def payment_flags(payments: DataFrame) -> DataFrame:
 
 
 def fact_payment(payments: DataFrame, orders: DataFrame) -> DataFrame:
-    flagged = payment_flags(with_sequence_anomaly(payments))
-    return spread_join(flagged, _of_order(orders), ["order_id"], "inner", hot_from=payments).select(
+    """The sequence flag is put on the order, one row each, so payments move once."""
+    marked = _of_order(orders).join(broken_sequences(payments), "order_id", "left")
+    marked = marked.withColumn("PaymentSequenceAnomalyFlag", flag(F.col("_broken") == 1)).drop("_broken")
+    flagged = payment_flags(payments)
+    return spread_join(flagged, marked, ["order_id"], "inner", hot_from=payments, size_from=orders).select(
         F.col("order_id").alias("OrderID"),
         F.col("payment_sequential").alias("PaymentSequential"),
         "CustomerKey",
@@ -183,11 +191,16 @@ def fact_payment(payments: DataFrame, orders: DataFrame) -> DataFrame:
 def with_duplicate_review_flag(reviews: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
     """Mark every row whose review id occurs more than once (same plan as the sequence flag).
 
-    A NULL review id is never marked here; the source contract forbids it.
+    A NULL review id is never marked here; the source contract forbids it. The
+    repeated ids, usually few, are written first: where their real size allows
+    it they are broadcast, and the reviews with their texts do not move.
     """
     repeated = (
         reviews.groupBy("review_id").agg(F.count("*").alias("_rows")).filter("_rows > 1").select("review_id", F.lit(1).alias("_repeated"))
     )
+    path = scratch_path(reviews.sparkSession, "repeated-reviews")
+    repeated.write.parquet(path)
+    repeated = reviews.sparkSession.read.schema(repeated.schema).parquet(path)
     marked = spread_join(reviews, repeated, ["review_id"], "left", hot_rows=hot_rows)
     return marked.withColumn("DuplicateReviewIDFlag", flag(F.col("_repeated") == 1)).drop("_repeated")
 

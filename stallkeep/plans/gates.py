@@ -46,22 +46,32 @@ PREFLIGHT_RULES = [
     Rule("Preflight", 51057, zero("MissingSourceDates"), "one or more required source dates are missing from DimDate."),
 ]
 DIMENSION_RULES = [
-    *[Rule("DimensionGate", 51060 + i, f"{d}Unknown <> 1", f"invalid {d} Unknown member.") for i, d in enumerate(DIMENSION_KEYS)],
-    *[Rule("DimensionGate", 51065 + i, f"{d}Rows <> {d}SourceRows", f"{d} row count mismatch.") for i, d in enumerate(DIMENSION_KEYS)],
+    Rule("DimensionGate", 51060, "DimGeographyUnknown <> 1", "invalid DimGeography Unknown member."),
+    Rule("DimensionGate", 51061, "DimCustomerUnknown <> 1", "invalid DimCustomer Unknown member."),
+    Rule("DimensionGate", 51062, "DimSellerUnknown <> 1", "invalid DimSeller Unknown member."),
+    Rule("DimensionGate", 51063, "DimProductCategoryUnknown <> 1", "invalid DimProductCategory Unknown member."),
+    Rule("DimensionGate", 51064, "DimProductUnknown <> 1", "invalid DimProduct Unknown member."),
+    Rule("DimensionGate", 51065, "DimGeographyRows <> DimGeographySourceRows", "DimGeography row count mismatch."),
+    Rule("DimensionGate", 51066, "DimCustomerRows <> DimCustomerSourceRows", "DimCustomer row count mismatch."),
+    Rule("DimensionGate", 51067, "DimSellerRows <> DimSellerSourceRows", "DimSeller row count mismatch."),
+    Rule("DimensionGate", 51068, "DimProductCategoryRows <> DimProductCategorySourceRows", "DimProductCategory row count mismatch."),
+    Rule("DimensionGate", 51069, "DimProductRows <> DimProductSourceRows", "DimProduct row count mismatch."),
     Rule("DimensionGate", 51070, zero("CustomerGeography"), "invalid DimCustomer geography key."),
     Rule("DimensionGate", 51071, zero("SellerGeography"), "invalid DimSeller geography key."),
     Rule("DimensionGate", 51072, zero("ProductCategories"), "invalid DimProduct category key."),
 ]
 FACT_RULES = [
-    *[
-        Rule("FactGate", 51080 + i, f"{f}Rows <> {f}SourceRows", f"{f} row count does not match stg.{s}.")
-        for i, (f, s) in enumerate(FACT_SOURCES.items())
-    ],
-    *[
-        Rule("FactGate", 51084 + i, zero(f"{f}Uncovered"), f"{f} contains OrderID values missing from FactOrder.")
-        for i, f in enumerate(list(FACT_SOURCES)[1:])
-    ],
-    *[Rule("FactGate", 51087 + i, zero(f"{f}Counters"), f"invalid {f} {c}.") for i, (f, c) in enumerate(FACT_COUNTERS.items())],
+    Rule("FactGate", 51080, "FactOrderRows <> FactOrderSourceRows", "FactOrder row count does not match stg.orders."),
+    Rule("FactGate", 51081, "FactOrderItemRows <> FactOrderItemSourceRows", "FactOrderItem row count does not match stg.order_items."),
+    Rule("FactGate", 51082, "FactPaymentRows <> FactPaymentSourceRows", "FactPayment row count does not match stg.payments."),
+    Rule("FactGate", 51083, "FactReviewRows <> FactReviewSourceRows", "FactReview row count does not match stg.reviews."),
+    Rule("FactGate", 51084, zero("FactOrderItemUncovered"), "FactOrderItem contains OrderID values missing from FactOrder."),
+    Rule("FactGate", 51085, zero("FactPaymentUncovered"), "FactPayment contains OrderID values missing from FactOrder."),
+    Rule("FactGate", 51086, zero("FactReviewUncovered"), "FactReview contains OrderID values missing from FactOrder."),
+    Rule("FactGate", 51087, zero("FactOrderCounters"), "invalid FactOrder OrderCount."),
+    Rule("FactGate", 51088, zero("FactOrderItemCounters"), "invalid FactOrderItem OrderItemCount."),
+    Rule("FactGate", 51089, zero("FactPaymentCounters"), "invalid FactPayment PaymentCount."),
+    Rule("FactGate", 51090, zero("FactReviewCounters"), "invalid FactReview ReviewCount."),
 ]
 
 

@@ -73,7 +73,7 @@ QUERIES = {
     "dq_21_sequence_anomalies": lambda s, d: Q.sequence_anomalies(staging(s, d)["payments"], ["order_id"], "payment_sequential"),
     "dq_21_item_sequence_anomalies": lambda s, d: Q.sequence_anomalies(staging(s, d)["order_items"], ["order_id"], "order_item_id"),
     "dq_22_temporal_violations": lambda s, d: Q.violations_across(
-        staging(s, d)["reviews"], staging(s, d)["orders"], ["order_id"], F.col("review_creation_date") < F.col("order_purchase_timestamp"), "ReviewBeforePurchaseRows"
+        staging(s, d)["reviews"], staging(s, d)["orders"], ["order_id"], {"ReviewBeforePurchaseRows": F.col("review_creation_date") < F.col("order_purchase_timestamp")}
     ),
     "dq_23_mismatch_count": lambda s, d: _mismatches(s, d).agg(F.count("*").alias("MismatchOrders")),
     "dq_24_mismatch_summary": lambda s, d: Q.mismatch_summary(_mismatches(s, d)),
@@ -94,6 +94,7 @@ QUERIES = {
     **{f"chk_{name}_metrics": _over(plan) for name, plan in C.METRICS.items() if name != "Geography"},
     "chk_conformed_geography_metrics": lambda s, d: C.geography_metrics(warehouse(s, d)),
     "chk_conformed_geography_invalid_states": lambda s, d: C.invalid_geography_states(warehouse(s, d)),
+    "chk_products_by_category": lambda s, d: Q.distribution(staging(s, d)["products"], ["product_category_name"], "Products"),
     "chk_orders_status": lambda s, d: Q.distribution(staging(s, d)["orders"], ["order_status"], "Orders"),
     "chk_translation_mapping": lambda s, d: staging(s, d)["category_translation"].orderBy("product_category_name"),
     "chk_translation_duplicate_english": lambda s, d: Q.duplicate_groups(staging(s, d)["category_translation"], ["product_category_name_english"]),
@@ -204,6 +205,7 @@ ORACLE = {
     "dq_34_counts_by_parent_attribute": "SELECT order_status, count(*) AS ChildRows FROM stg_reviews r JOIN stg_orders o ON o.order_id = r.order_id GROUP BY 1",
     "dq_35_score_summary": f"SELECT count(*) AS ReviewRows, {round_half_up('sum(CAST(review_score AS DECIMAL(18,2)))', 'count(*)')} AS AverageReviewScore, CAST(min(review_score) AS BIGINT) AS MinReviewScore, CAST(max(review_score) AS BIGINT) AS MaxReviewScore FROM stg_reviews",
     "chk_conformed_geography_invalid_states": "SELECT ZipCodePrefix, StateCode FROM conf_geography WHERE StateCode IS NULL",
+    "chk_products_by_category": _distribution("stg_products", ["product_category_name"], "Products"),
     "chk_orders_status": _distribution("stg_orders", ["order_status"], "Orders"),
     "chk_translation_mapping": "SELECT * FROM stg_translation",
     "chk_translation_duplicate_english": "SELECT product_category_name_english, count(*) AS DuplicateCount FROM stg_translation GROUP BY 1 HAVING count(*) > 1",

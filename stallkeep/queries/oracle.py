@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import re
 
-from stallkeep.functions.text import ACCENTED, IGNORED_IN_CITY, PLAIN
+from stallkeep.functions.text import ACCENTED, COMBINING, IGNORED_IN_CITY, PLAIN
 from stallkeep.queries import roles
 
 BLOCKS: dict[str, str] = {
@@ -23,7 +23,7 @@ BLOCKS: dict[str, str] = {
 
 
 def city_key_sql(column: str) -> str:
-    ignored = (ACCENTED + IGNORED_IN_CITY).replace("'", "''")
+    ignored = (ACCENTED + IGNORED_IN_CITY + COMBINING).replace("'", "''")
     return f"translate(lower(trim({column})), '{ignored}', '{PLAIN}')"
 
 

@@ -11,11 +11,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-# State codes and city spellings.
-STATES = (
-    "AC", "AL", "AP", "AM", "BA", "CE", "DF", "ES", "GO", "MA", "MT", "MS", "MG", "PA",
-    "PB", "PR", "PE", "PI", "RJ", "RN", "RS", "RO", "RR", "SC", "SP", "SE", "TO",
-)
+from stallkeep.plans.checks import STATE_CODES
+
+# City spellings.
 CITIES = (
     "são paulo", "sao-paulo", "SAO PAULO",
     "rio de janeiro", "Rio-de-Janeiro", "RIO DE JANEIRO",
@@ -206,7 +204,7 @@ def customers(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.concat(F.lit("u"), F.lpad(F.when(key % 4 == 3, key - 1).otherwise(key).cast("string"), 10, "0")).alias("customer_unique_id"),
         _zip(zip_number).alias("customer_zip_code_prefix"),
         _pick(CITIES, zip_number % 6 * 3 + key % 3).alias("customer_city"),
-        _pick(STATES, (zip_number + key % 2) % 27).alias("customer_state"),
+        _pick(STATE_CODES, (zip_number + key % 2) % 27).alias("customer_state"),
     )
 
 
@@ -215,7 +213,7 @@ SELECT lpad(CAST(c_custkey AS VARCHAR), 10, '0') AS customer_id,
        'u' || lpad(CAST(CASE WHEN c_custkey % 4 = 3 THEN c_custkey - 1 ELSE c_custkey END AS VARCHAR), 10, '0') AS customer_unique_id,
        lpad(CAST(c_custkey * 13 % 3100 AS VARCHAR), 5, '0') AS customer_zip_code_prefix,
        list_extract({_sql_list(CITIES)}, CAST(c_custkey * 13 % 3100 % 6 * 3 + c_custkey % 3 + 1 AS INTEGER)) AS customer_city,
-       list_extract({_sql_list(STATES)}, CAST((c_custkey * 13 % 3100 + c_custkey % 2) % 27 + 1 AS INTEGER)) AS customer_state
+       list_extract({_sql_list(STATE_CODES)}, CAST((c_custkey * 13 % 3100 + c_custkey % 2) % 27 + 1 AS INTEGER)) AS customer_state
 FROM customer
 """
 
@@ -227,7 +225,7 @@ def sellers(spark: SparkSession, sf_dir: str) -> DataFrame:
         _id("s_suppkey").alias("seller_id"),
         _zip(zip_number).alias("seller_zip_code_prefix"),
         _pick(CITIES, (zip_number + F.when(key % 7 == 0, 1).otherwise(0)) % 6 * 3 + key % 3).alias("seller_city"),
-        _pick(STATES, (zip_number + F.when(key % 10 == 0, 5).otherwise(0)) % 27).alias("seller_state"),
+        _pick(STATE_CODES, (zip_number + F.when(key % 10 == 0, 5).otherwise(0)) % 27).alias("seller_state"),
     )
 
 
@@ -235,7 +233,7 @@ SQL_SELLERS = f"""
 SELECT lpad(CAST(s_suppkey AS VARCHAR), 10, '0') AS seller_id,
        lpad(CAST(s_suppkey * 29 % 3100 AS VARCHAR), 5, '0') AS seller_zip_code_prefix,
        list_extract({_sql_list(CITIES)}, CAST((s_suppkey * 29 % 3100 + CASE WHEN s_suppkey % 7 = 0 THEN 1 ELSE 0 END) % 6 * 3 + s_suppkey % 3 + 1 AS INTEGER)) AS seller_city,
-       list_extract({_sql_list(STATES)}, CAST((s_suppkey * 29 % 3100 + CASE WHEN s_suppkey % 10 = 0 THEN 5 ELSE 0 END) % 27 + 1 AS INTEGER)) AS seller_state
+       list_extract({_sql_list(STATE_CODES)}, CAST((s_suppkey * 29 % 3100 + CASE WHEN s_suppkey % 10 = 0 THEN 5 ELSE 0 END) % 27 + 1 AS INTEGER)) AS seller_state
 FROM supplier
 """
 
@@ -252,7 +250,7 @@ def geolocation(spark: SparkSession, sf_dir: str) -> DataFrame:
         (lat / 1000).cast("decimal(28,20)").alias("geolocation_lat"),
         (lng / 1000).cast("decimal(28,20)").alias("geolocation_lng"),
         _pick(CITIES, city).alias("geolocation_city"),
-        _pick(STATES, state).alias("geolocation_state"),
+        _pick(STATE_CODES, state).alias("geolocation_state"),
     )
 
 
@@ -261,7 +259,7 @@ SELECT lpad(CAST(l_partkey % 3000 AS VARCHAR), 5, '0') AS geolocation_zip_code_p
        (l_partkey % 3000 % 100 * 200 + (l_orderkey * 7 + l_linenumber) % 97 - 30000) / 1000 AS geolocation_lat,
        (l_partkey % 3000 % 150 * 100 + l_orderkey % 89 - 60000) / 1000 AS geolocation_lng,
        list_extract({_sql_list(CITIES)}, CAST((l_partkey % 3000 + CASE WHEN l_partkey % 3000 % 5 = 0 THEN l_linenumber % 2 ELSE 0 END) % 6 * 3 + l_orderkey % 3 + 1 AS INTEGER)) AS geolocation_city,
-       list_extract({_sql_list(STATES)}, CAST((l_partkey % 3000 + CASE WHEN l_partkey % 3000 % 4 = 0 THEN l_orderkey % 3 ELSE 0 END) % 27 + 1 AS INTEGER)) AS geolocation_state
+       list_extract({_sql_list(STATE_CODES)}, CAST((l_partkey % 3000 + CASE WHEN l_partkey % 3000 % 4 = 0 THEN l_orderkey % 3 ELSE 0 END) % 27 + 1 AS INTEGER)) AS geolocation_state
 FROM lineitem
 """
 

@@ -207,14 +207,19 @@ def _profile_statuses(s, d):
         reference_observations(w["customers"], w["sellers"]).select("ZipCodePrefix")
     )
     people = w["customers"].join(w["orders"].select("customer_id").distinct(), "customer_id", "left_semi")
-    expectations = {
-        "zips": zips.distinct().count(),
-        "people": people.select("customer_unique_id").distinct().count(),
-    }
-    geography = checks.profile_status(geography_profile(w["Geography"]), {"RowCount": expectations["zips"], "NullStates": 0}, "CONFORMED GEOGRAPHY")
+
+    def beside(profile, expected):
+        """A one-row profile and how many different rows are expected, in one row."""
+        row = expected.agg(F.count_distinct(*expected.columns).alias("Expected"))
+        both = profile.unionByName(row, allowMissingColumns=True)
+        return both.agg(*[F.max(c).alias(c) for c in both.columns])
+
+    geography = checks.profile_status(
+        beside(geography_profile(w["Geography"]), zips), {"RowCount": "Expected", "NullStates": 0}, "CONFORMED GEOGRAPHY"
+    )
     customer = checks.profile_status(
-        customer_profile(w["Customer"]),
-        {"RowCount": expectations["people"], "DistinctCustomers": expectations["people"], "InvalidPurchaseDateRanges": 0},
+        beside(customer_profile(w["Customer"]), people.select("customer_unique_id")),
+        {"RowCount": "Expected", "DistinctCustomers": "Expected", "InvalidPurchaseDateRanges": 0},
         "CONFORMED CUSTOMER",
     )
     return geography.unionByName(customer)
