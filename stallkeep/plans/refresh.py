@@ -19,6 +19,7 @@ STAGING = (
 CONFORMED = ("Geography", "Customer", "ProductCategory")
 DIMENSIONS = ("DimGeography", "DimCustomer", "DimSeller", "DimProductCategory", "DimProduct")
 FACTS = ("FactOrder", "FactOrderItem", "FactPayment", "FactReview")
+BUILT = ("DimDate", *CONFORMED)
 # Facts are laid out by purchase month, so that a month is read without the others.
 MONTH = "PurchaseMonth"
 
@@ -34,8 +35,10 @@ class Refresh:
         if target is not None and target != store.root:
             raise ValidationError("Reset", 51040, f"full-refresh reset aborted: {store.root} is not {target}.")
         self.store = store
-        self.run = store.new_run()
         published = store.tables()
+        # Inputs are checked before any work: what the run itself builds counts as there.
+        gates.require_tables([*published, *BUILT])
+        self.run = store.new_run()
         self.tables: dict[str, DataFrame] = {n: df for n, df in published.items() if n in STAGING}
         self.written: list[str] = []
 
@@ -72,6 +75,9 @@ class Refresh:
 
     def load_dimensions(self) -> None:
         t = self.tables
+        for name in DIMENSIONS:
+            if name in t:  # this run has loaded it already
+                dimensions.refuse_reload(t[name], name)
 
         def places() -> None:
             self._write("DimGeography", dimensions.dim_geography(t["Geography"]))

@@ -8,6 +8,7 @@ from stallkeep.functions import date_key
 from stallkeep.functions.calendar import UNKNOWN_FA
 from stallkeep.operators.joins import strict_lookup
 from stallkeep.operators.keys import number_rows, with_unknown_member
+from stallkeep.operators.rules import ValidationError
 from stallkeep.plans import dimensions as D
 from stallkeep.plans import facts as X
 from stallkeep.queries.built import staging, warehouse
@@ -69,6 +70,17 @@ def _reload_check(s, d):
     return out
 
 
+def _refused_loads(s, d):
+    """The error each dimension load raises on top of the rows already there."""
+    raised = []
+    for name in D.RELOAD_CODES:
+        try:
+            D.refuse_reload(warehouse(s, d)[name], name)
+        except ValidationError as error:
+            raised.append((name, error.scope, error.code))
+    return s.createDataFrame(raised, "Dimension string, Scope string, Code int")
+
+
 def _product_routes(s, d):
     w = warehouse(s, d)
     routed = D.product_members(w["products"], w["DimProductCategory"])
@@ -132,6 +144,7 @@ QUERIES = {
     "dim_02_surrogate_keys": _part_keys,
     "dim_03_strict_lookup": _lineitem_lookup,
     "dim_04_reload_refusal": _reload_check,
+    "dim_04_refused_loads": _refused_loads,
     "dim_05_dim_geography": _dim_geography,
     "dim_06_dim_customer": lambda s, d: D.dim_customer(warehouse(s, d)["Customer"], warehouse(s, d)["DimGeography"]),
     "dim_07_dim_seller": lambda s, d: D.dim_seller(staging(s, d)["sellers"], warehouse(s, d)["DimGeography"]),
@@ -175,6 +188,10 @@ ORACLE = {
         UNION ALL SELECT 0, NULL, 'Unknown', NULL, NULL""",
     "dim_02_surrogate_keys": "SELECT row_number() OVER (ORDER BY p_name, p_partkey) AS PartKey, p_name, p_partkey FROM part",
     "dim_03_strict_lookup": "SELECT s.SellerKey, count(*) AS Items, CAST(sum(p.ProductKey) AS BIGINT) AS ProductKeys FROM stg_items i JOIN dim_seller s ON s.SellerID = i.seller_id JOIN dim_product p ON p.ProductID = i.product_id GROUP BY 1",
+    "dim_04_refused_loads": " UNION ALL ".join(
+        f"SELECT '{n}' AS Dimension, '{n}' AS Scope, CAST({code} AS BIGINT) AS Code WHERE EXISTS (SELECT 1 FROM {block})"
+        for (n, (_, code)), block in zip(D.RELOAD_CODES.items(), ("dim_geography", "dim_customer", "dim_seller", "dim_category", "dim_product"))
+    ),
     "dim_04_reload_refusal": _counts("SELECT '{name}' AS Dimension, CAST({code} AS BIGINT) AS RefusalCode, count(*) AS BusinessRows FROM {block}"),
     "dim_05_dim_geography": f"""SELECT GeographyKey, ZipCodePrefix, CityName, StateCode, HasCoordinates, MissingFromGeolocationFlag, StateConflictFlag, StateAmbiguousFlag,
         StateResolvedByReferenceFlag, CityAmbiguousFlag, CityResolvedByReferenceFlag, ReferenceFallbackFlag,

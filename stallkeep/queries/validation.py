@@ -8,19 +8,22 @@ from pyspark.sql import functions as F
 
 from stallkeep.operators.compare import compare_rows, difference_measures, differences, differing_rows, profile_measures
 from stallkeep.operators.quality import union_all
+from stallkeep.operators.rules import ValidationError
 from stallkeep.plans import checks, expected, gates, validators
 from stallkeep.plans import facts as X
 from stallkeep.plans.category import missing_persian
 from stallkeep.plans.customer import customer_profile
 from stallkeep.plans.dimensions import RELOAD_CODES
 from stallkeep.plans.geography import geography_profile, geolocation_observations, reference_observations
-from stallkeep.plans.refresh import DIMENSIONS, FACTS, Refresh
+from stallkeep.plans.refresh import BUILT, DIMENSIONS, FACTS, STAGING, Refresh, full_refresh
 from stallkeep.plans.rule_catalog import RULES_BY_SCOPE, rules_of
 from stallkeep.functions import flag, matches
 from stallkeep.queries.built import staged_store, staging, warehouse
 from stallkeep.queries.oracle import day_key
 from stallkeep.queries.shape import micro
 from stallkeep.queries.star import ORACLE as STAR
+from stallkeep.session import scratch_path
+from stallkeep.sources import Store
 
 EXPECTED = {
     "DimGeography": (expected.dim_geography, "GeographyKey"),
@@ -240,6 +243,70 @@ def _refreshed(s, d):
     return union_all([tables[n].agg(F.count("*").alias("Rows")).select(F.lit(n).alias("TableName"), "Rows") for n in names])
 
 
+def _missing_tables(s, d):
+    """The error the preflight raises for each prerequisite that is not published."""
+    published = [*staged_store(s, d).published(), *BUILT]
+    raised = []
+    for table in gates.REQUIRED_TABLES:
+        try:
+            gates.require_tables([t for t in published if t != table])
+        except ValidationError as error:
+            raised.append((table, error.scope, error.code))
+    return s.createDataFrame(raised, "TableName string, Scope string, Code int")
+
+
+def _stopped(s, d):
+    """The rule that stops the validated refresh over the role tables, whose labels are incomplete."""
+    try:
+        validators.validate_warehouse(warehouse(s, d))
+        raised = []
+    except ValidationError as error:
+        raised = [(error.scope, error.code)]
+    return s.createDataFrame(raised, "Scope string, Code int")
+
+
+def _validated(s, d):
+    """The whole refresh over complete labels, validated before it is published."""
+    store = Store(s, scratch_path(s, "validated"))
+    run = store.new_run()
+    tables = staging(s, d)
+    label = F.col("PersianCategoryName")
+    filled = tables["localization"].withColumn("PersianCategoryName", F.when(F.trim(label) == "", F.lit("fa")).otherwise(label))
+    store.write(run, "localization", filled)
+    paths = staged_store(s, d).paths()
+    store.publish(run, {name: paths[name] for name in STAGING if name != "localization"} | {"localization": store.path(run, "localization")})
+    passed = full_refresh(store)
+    visible = union_all([store.table(n).agg(F.count("*").alias("Rows")).select(F.lit(n).alias("Name"), "Rows") for n in (*DIMENSIONS, *FACTS)])
+    return visible.join(s.createDataFrame([(n, 1) for n in passed], "Name string, Validated int"), "Name", "left")
+
+
+def _tampered_payments(s, d):
+    """FactPayment with a wrong amount in second payments and a wrong counter in third ones."""
+    number = F.col("PaymentSequential")
+    return warehouse(s, d)["FactPayment"].withColumns(
+        {
+            "PaymentAmount": F.when(number == 2, F.col("PaymentAmount") + 1).otherwise(F.col("PaymentAmount")).cast("decimal(18,2)"),
+            "PaymentCount": F.when(number == 3, 2).otherwise(F.col("PaymentCount")),
+        }
+    )
+
+
+def _tampered_differences(s, d):
+    """Wrong rows differ both ways, missing ones (fourth payments) one way."""
+    actual = _tampered_payments(s, d).filter("PaymentSequential <> 4")
+    return differences(expected.fact_payment(warehouse(s, d)), actual.select(*X.PAYMENT_COLUMNS)).select(*difference_measures())
+
+
+def _tampered_rules(s, d):
+    return validators.rule_outcomes({**warehouse(s, d), "FactPayment": _tampered_payments(s, d)}, ["FactPayment"])
+
+
+def _tampered_gate(s, d):
+    w = warehouse(s, d)
+    tampered = {"FactPayment": _tampered_payments(s, d), "FactReview": w["FactReview"].filter("ReviewScore <> 5")}
+    return gates.gate_outcomes({**w, **tampered}, "FactGate")
+
+
 def _keys_restart(s, d):
     """Surrogate keys of a fresh run start at 0 and 1 again and are dense."""
     w = warehouse(s, d)
@@ -276,7 +343,13 @@ QUERIES = {
     "gate_04_warehouse": lambda s, d: validators.rule_outcomes(warehouse(s, d), list(validators.WAREHOUSE_VALIDATORS))
     .groupBy("scope")
     .agg(F.count("*").alias("Rules"), matches(F.col("violated") == 1).alias("Violated"), matches(F.col("violated").isNull()).alias("WithoutBaseline")),
+    "rec_02_tampered": _tampered_differences,
+    "rule_fact_payment_tampered": _tampered_rules,
+    "gate_03_tampered": _tampered_gate,
+    "gate_01_missing_tables": _missing_tables,
     "run_01_full_refresh": _refreshed,
+    "run_01_stopped_refresh": _stopped,
+    "run_01_validated_refresh": _validated,
     "run_02_keys_restart": _keys_restart,
 }
 
@@ -497,8 +570,8 @@ METRICS = {
 }
 
 
-def _rules_sql(scope: str, rules) -> str:
-    metrics = METRICS[scope]
+def _rules_sql(scope: str, rules, changed=None) -> str:
+    metrics = {**METRICS[scope], **(changed or {})}
     wide = "SELECT " + ", ".join(f"{e} AS {n}" for n, e in metrics.items())
     lines = []
     for r in rules:
@@ -511,6 +584,28 @@ def _rules_sql(scope: str, rules) -> str:
 ORACLE.update({f"rule_{re.sub('(?<!^)(?=[A-Z])', '_', n).lower()}": _rules_sql(n, rules_of(n)) for n in RULES_BY_SCOPE})
 ORACLE.update(
     {
+        "rec_02_tampered": """SELECT count(*) AS ExpectedRows, count(CASE WHEN PaymentSequential <> 4 THEN 1 END) AS ActualRows,
+            count(CASE WHEN PaymentSequential IN (2, 3, 4) THEN 1 END) AS SourceToTargetDifferences,
+            count(CASE WHEN PaymentSequential IN (2, 3) THEN 1 END) AS TargetToSourceDifferences FROM fact_payment""",
+        "rule_fact_payment_tampered": _rules_sql(
+            "FactPayment",
+            rules_of("FactPayment"),
+            {
+                "SourceToTargetDifferences": _n("fact_payment", "PaymentSequential IN (2, 3)"),
+                "TargetToSourceDifferences": _n("fact_payment", "PaymentSequential IN (2, 3)"),
+                "InvalidPaymentCounts": _n("fact_payment", "PaymentSequential = 3"),
+            },
+        ),
+        "gate_03_tampered": _rules_sql(
+            "FactGate", gates.FACT_RULES, {"FactReviewRows": _n("fact_review", "ReviewScore <> 5"), "FactPaymentCounters": _n("fact_payment", "PaymentSequential = 3")}
+        ),
+        "gate_01_missing_tables": " UNION ALL ".join(
+            f"SELECT '{t}' AS TableName, 'Preflight' AS Scope, CAST({c} AS BIGINT) AS Code WHERE EXISTS (SELECT 1 FROM stg_orders)" for t, c in gates.REQUIRED_TABLES.items()
+        ),
+        "run_01_stopped_refresh": "SELECT 'DimProductCategory' AS Scope, CAST(51186 AS BIGINT) AS Code WHERE EXISTS (SELECT 1 FROM stg_localization WHERE trim(PersianCategoryName) = '')",
+        "run_01_validated_refresh": " UNION ALL ".join(
+            f"SELECT '{n}' AS Name, count(*) + {1 if n in _DIM else 0} AS \"Rows\", CAST(1 AS BIGINT) AS Validated FROM {b}" for n, b in _BLOCK.items()
+        ),
         "gate_01_preflight": _rules_sql("Preflight", gates.PREFLIGHT_RULES),
         "gate_02_dimensions": _rules_sql("DimensionGate", gates.DIMENSION_RULES),
         "gate_03_facts": _rules_sql("FactGate", gates.FACT_RULES),

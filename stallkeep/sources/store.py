@@ -56,6 +56,29 @@ class Store:
         newest = entries.groupBy("table").agg({"published_at": "max"}).toDF("table", "published_at")
         return {r.table: r.path for r in entries.join(newest, ["table", "published_at"]).collect()}
 
+    def retire(self, keep: int = 2) -> list[str]:
+        """Remove the folders of runs whose tables nobody can reach any more; returns the runs removed.
+
+        Kept are all runs that a published table lies in, and the newest
+        ``keep`` others, of which one may still be writing or being read.
+        """
+        jvm = self.spark.sparkContext._jvm
+        root = jvm.org.apache.hadoop.fs.Path(f"{self.root}/runs")
+        files = root.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
+        if not files.exists(root):
+            return []
+        runs = sorted(s.getPath().getName() for s in files.listStatus(root))
+        used = {path.rstrip("/").split("/")[-2] for path in self._manifest().values()}
+        idle = [run for run in runs if run not in used]
+        removed = idle[: max(0, len(idle) - keep)]
+        for run in removed:
+            files.delete(jvm.org.apache.hadoop.fs.Path(f"{self.root}/runs/{run}"), True)
+        return removed
+
+    def paths(self) -> dict[str, str]:
+        """Where each published table lies."""
+        return self._manifest()
+
     def published(self) -> list[str]:
         return sorted(self._manifest())
 

@@ -152,3 +152,17 @@ def test_publish_makes_a_run_visible_at_once(spark, folder):
     assert store.table("t").count() == 5
     with pytest.raises(Exception, match="already exists"):
         store.write(second, "t", spark.range(1))
+
+
+def test_retired_runs_are_those_nobody_reads(spark, folder):
+    store = Store(spark, folder)
+    assert store.retire() == []
+    runs = [store.new_run() for _ in range(5)]
+    for run in runs:
+        store.write(run, "t", spark.range(1))
+    store.write(runs[0], "u", spark.range(2))
+    store.publish(runs[0], ["u"])
+    store.publish(runs[3], ["t"])
+    assert store.retire(keep=1) == [runs[1], runs[2]]
+    assert store.table("t").count() == 1 and store.table("u").count() == 2
+    assert store.retire(keep=0) == [runs[4]]
