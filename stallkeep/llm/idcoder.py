@@ -4,7 +4,7 @@ Ids below 65,535 are cut into blocks of ``BLOCK``. Each block starts from a
 reset model and can be decoded alone. For every id the order-2 and the order-1
 context name the id that followed them last; learnt hit rates of both, by how
 often they were right in a row, are mixed with the order-0 distribution of the
-segment into one interval, which a carry-less 64-bit range coder with 16-bit
+segment into one interval, which a carry-less 64-bit range coder with 32-bit
 words takes. Blocks are independent, so one numpy step handles one id of every
 block; encoder and decoder share the model.
 
@@ -25,9 +25,9 @@ import numpy as np
 BLOCK = 4096
 MAX_ID = 65_534
 
-_MAGIC = b"SKI1"
+_MAGIC = b"SKI2"
 _HEAD = struct.Struct("<4sQIII")
-_SLOTS = 12  # bits of a context table
+_SLOTS = 10  # bits of a context table
 _MASK = (1 << _SLOTS) - 1
 _ORDER0 = 18  # bits of the order-0 total
 _TOTAL = 12 + _ORDER0  # bits of the whole distribution
@@ -119,8 +119,8 @@ def encode(ids: np.ndarray) -> bytes:
     table = zlib.compress(np.concatenate((np.diff(present, prepend=0), scaled)).astype("<u4").tobytes(), 6)
     n = -(-len(ids) // BLOCK)
     words, used = _encode_blocks(ids, n, present, scaled)
-    bodies = [words[k, : used[k]].astype("<u2").tobytes() for k in range(n)]
-    index = np.array([(len(b) // 2, zlib.crc32(b)) for b in bodies], dtype="<u4").reshape(-1, 2)
+    bodies = [words[k, : used[k]].astype("<u4").tobytes() for k in range(n)]
+    index = np.array([(len(b) // 4, zlib.crc32(b)) for b in bodies], dtype="<u4").reshape(-1, 2)
     return b"".join([_HEAD.pack(_MAGIC, len(ids), n, len(table), zlib.crc32(table)), table, index.tobytes(), *bodies])
 
 
@@ -132,13 +132,13 @@ def _by_step(ids: np.ndarray, n: int) -> np.ndarray:
 
 def _encode_blocks(ids: np.ndarray, n: int, present: np.ndarray, scaled: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     if not n:
-        return np.zeros((0, 0), np.uint16), np.zeros(0, np.int64)
+        return np.zeros((0, 0), np.uint32), np.zeros(0, np.int64)
     frequency = np.zeros(int(present[-1]) + 1, np.int64)
     frequency[present] = scaled
     model, steps = _Model(n, frequency), _by_step(ids, n)
     short = len(ids) - (n - 1) * BLOCK
     low, span = np.zeros(n, _U), np.full(n, 0xFFFFFFFFFFFFFFFF, _U)
-    out, used = np.zeros((n, BLOCK + 64), np.uint16), np.zeros(n, np.int64)
+    out, used = np.zeros((n, BLOCK + 8), np.uint32), np.zeros(n, np.int64)  # a word an id at most
     for step in range(min(BLOCK, len(ids))):
         live = n if step < short else n - 1
         now = steps[step, :live].astype(np.int32)
@@ -148,37 +148,30 @@ def _encode_blocks(ids: np.ndarray, n: int, present: np.ndarray, scaled: np.ndar
         low[:live] += each * start
         span[:live] = each * width
         model.update(now, live)
-        if not step & 63 and used.max() + 256 > out.shape[1]:
-            out = np.hstack((out, np.zeros_like(out)))
-        at = _settled(low[:live], span[:live], None)
-        while len(at):
-            moved = low[at]
-            to = used[at]
-            out[at, to] = moved >> _U(48)
-            used[at] = to + 1
-            low[at] = moved << _U(16)
-            span[at] <<= _U(16)
-            at = _settled(low, span, at)
-    if used.max() + 4 > out.shape[1]:
-        out = np.hstack((out, np.zeros((n, 4), np.uint16)))
-    for _ in range(4):
-        out[np.arange(n), used] = low >> _U(48)
+        at, moved = _narrowed(low[:live], span[:live])
+        to = used[at]
+        out[at, to] = moved >> _U(32)
+        used[at] = to + 1
+    for _ in range(2):
+        out[np.arange(n), used] = low >> _U(32)
         used += 1
-        low <<= _U(16)
+        low <<= _U(32)
     return out, used
 
 
-def _settled(low: np.ndarray, span: np.ndarray, at: np.ndarray | None) -> np.ndarray:
-    """Which (of these) blocks know their next word; a span too narrow to go on is cut at a word border."""
-    some, wide = (low, span) if at is None else (low[at], span[at])
-    same = (some ^ (some + wide)) < _U(1 << 48)
-    ready = np.flatnonzero(same | (wide < _U(1 << 32)))
-    narrow = ready[~same[ready]]
-    if at is not None:
-        ready, narrow = at[ready], at[narrow]
-    if len(narrow):
-        span[narrow] = (~low[narrow] + _U(1)) & _LOW32
-    return ready
+def _narrowed(low: np.ndarray, span: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Widen spans below 32 bits by a word, after which they are wide again.
+
+    A span that reaches over a word border is cut there first, so the upper word
+    is known. Returns the blocks concerned and their lows from before.
+    """
+    at = np.flatnonzero(span < _U(1 << 32))
+    some, narrow = low[at], span[at]
+    over = np.flatnonzero((some ^ (some + (narrow - _U(1)))) > _LOW32)
+    narrow[over] = (~some[over] + _U(1)) & _LOW32
+    low[at] = some << _U(32)
+    span[at] = narrow << _U(32)
+    return at, some
 
 
 def decode(segment: bytes, blocks: Sequence[int] | None = None) -> np.ndarray:
@@ -192,16 +185,16 @@ def decode(segment: bytes, blocks: Sequence[int] | None = None) -> np.ndarray:
         raise ValueError("no id segment, or its order-0 table is damaged")
     at = _HEAD.size + table_size
     index = np.frombuffer(segment, "<u4", 2 * n, at).reshape(n, 2).astype(np.int64)
-    ends = at + 8 * n + 2 * np.cumsum(index[:, 0])
+    ends = at + 8 * n + 4 * np.cumsum(index[:, 0])
     chosen = list(range(n)) if blocks is None else list(blocks)
     if not chosen:
         return np.zeros(0, np.uint16)
-    words = np.zeros((len(chosen), int(index[chosen, 0].max()) + 4), np.uint16)
+    words = np.zeros((len(chosen), int(index[chosen, 0].max()) + 2), np.uint32)
     for row, k in enumerate(chosen):
-        body = segment[ends[k] - 2 * index[k, 0] : ends[k]]
+        body = segment[ends[k] - 4 * index[k, 0] : ends[k]]
         if zlib.crc32(body) != index[k, 1]:
             raise ValueError(f"block {k} is damaged")
-        words[row, : index[k, 0]] = np.frombuffer(body, "<u2")
+        words[row, : index[k, 0]] = np.frombuffer(body, "<u4")
     present, scaled = np.split(np.frombuffer(zlib.decompress(table), "<u4").astype(np.int64), 2)
     lengths = np.array([min(BLOCK, total - k * BLOCK) for k in chosen])
     order = np.argsort(-lengths, kind="stable")
@@ -217,9 +210,9 @@ def _decode_blocks(words: np.ndarray, lengths: np.ndarray, present: np.ndarray,
     slots = np.repeat(present.astype(np.uint16), scaled)
     model = _Model(n, frequency)
     low, span, code = np.zeros(n, _U), np.full(n, 0xFFFFFFFFFFFFFFFF, _U), np.zeros(n, _U)
-    for k in range(4):
-        code = (code << _U(16)) | words[:, k].astype(_U)
-    used = np.full(n, 4, np.int64)
+    for k in range(2):
+        code = (code << _U(32)) | words[:, k]
+    used = np.full(n, 2, np.int64)
     out = np.zeros((BLOCK, n), np.uint16)
     for step in range(int(lengths[0])):
         live = n if step < lengths[-1] else int(np.searchsorted(-lengths, -step, "left"))
@@ -236,12 +229,8 @@ def _decode_blocks(words: np.ndarray, lengths: np.ndarray, present: np.ndarray,
         span[:live] = each * width
         model.update(now, live)
         out[step, :live] = now
-        at = _settled(low[:live], span[:live], None)
-        while len(at):
-            low[at] <<= _U(16)
-            span[at] <<= _U(16)
-            to = used[at]
-            code[at] = (code[at] << _U(16)) | words[at, to]
-            used[at] = to + 1
-            at = _settled(low, span, at)
+        at, _ = _narrowed(low[:live], span[:live])
+        to = used[at]
+        code[at] = (code[at] << _U(32)) | words[at, to]
+        used[at] = to + 1
     return np.ascontiguousarray(out.T)
