@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from stallkeep.llm.common import batch_of, weighed, written
+from stallkeep.llm.words import mixed
 
 UNKNOWN = "und"
 N = 4  # bytes of an n-gram
@@ -32,7 +33,7 @@ _BLANK = bytes(b if b >= 128 or chr(b).isalpha() else 32 for b in range(256))
 @dataclass(frozen=True)
 class Settings:
     slots_log2: int = 20
-    hashes: int = 2
+    hashes: int = 2  # slots_log2 bits each of one 64-bit hash
     least_documents: int = 3  # that an n-gram of a language occurs in
     share: float = 0.2  # of its highest rate in any language, to count as this one's
 
@@ -53,8 +54,8 @@ def ngrams(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _slots(grams: np.ndarray, s: Settings) -> list[np.ndarray]:
-    wide = grams.astype(np.uint64)
-    return [((wide * np.uint64(0x9E3779B97F4A7C15 + 2 * 0x1234567 * k) + np.uint64(k)) >> np.uint64(64 - s.slots_log2)).astype(np.int64) for k in range(s.hashes)]
+    spread, mask = mixed(grams.astype(np.uint64) + np.uint64(1)), np.uint64((1 << s.slots_log2) - 1)
+    return [((spread >> np.uint64(k * s.slots_log2)) & mask).astype(np.int64) for k in range(s.hashes)]
 
 
 @dataclass(frozen=True)
