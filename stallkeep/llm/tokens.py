@@ -26,7 +26,7 @@ class ByteBpe(WordTable):
     tokens inside a text are ordinary text. Ids must be below 65,536.
     """
 
-    def __init__(self, path: str, known_words: int = 1_200_000):
+    def __init__(self, path: str, known_words: int = 2_000_000):
         self._tokenizer = Tokenizer.from_file(path)
         self._tokenizer.encode_special_tokens = True
         if self._tokenizer.get_vocab_size() > 1 << 16:

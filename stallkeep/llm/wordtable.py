@@ -49,8 +49,8 @@ class WordTable:
             _, first = np.unique(keys[new], return_index=True)
             first = new[first]
             if self._words + len(first) > self._limit:
-                self._clear()
                 first = np.unique(keys, return_index=True)[1]
+                self._clear(len(first))
             whole = data.tobytes()
             words = [whole[a:b].decode(errors="replace") for a, b in zip(starts[first].tolist(), ends[first].tolist(), strict=True)]
             self._add(keys[first], *self._ids_of(words))
@@ -63,8 +63,9 @@ class WordTable:
         total = np.cumsum(length)
         return self._store[np.repeat(at - (total - length), length) + np.arange(total[-1])].astype("<u4"), total
 
-    def _clear(self) -> None:
-        size = 1 << max(10, (3 * self._limit // 2).bit_length())
+    def _clear(self, least: int = 0) -> None:
+        """An empty table for the known words, or for the words of one window if those are more."""
+        size = 1 << max(10, (3 * max(self._limit, least) // 2).bit_length())
         self._keys, self._place = np.zeros(size, np.uint64), np.zeros(size, np.int64)
         self._length, self._store = np.zeros(size, np.int32), np.zeros(1 << 16, np.uint16)
         self._value = np.zeros((size, self.values))
