@@ -270,8 +270,10 @@ def _classes(documents: DataFrame) -> tuple[DataFrame, DataFrame]:
     texts = documents.select(F.col("doc_id").cast("long"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
     keyed = texts.select("doc_id", _key(F.col("text")).alias("key"))
     first = written(keyed.groupBy("key").agg(F.min("doc_id").alias("node")), "texts")
-    # One row with its least doc_id carries the text of a node on.
-    named = texts.withColumn("key", _key(F.col("text"))).join(first.filter("node is not null"), "key").filter("doc_id = node")
+    # The row with its least doc_id carries the text of a node on. The join is by
+    # doc_id as well, so that the texts of many copies do not meet in one task.
+    least = first.filter("node is not null").select("key", "node", F.col("node").alias("doc_id"))
+    named = texts.withColumn("key", _key(F.col("text"))).join(least, ["doc_id", "key"])
     sketched = written(_sketched(named.select("node", "text")).dropDuplicates(["node", "words"]), "sketches")
     links = _links(sketched)
     # Rows of one doc_id with different texts are one document.
