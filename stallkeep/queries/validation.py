@@ -89,8 +89,11 @@ def _grains(s, d):
 
 _KEY_ROLES = (
     ("FactOrder", "CustomerKey", "DimCustomer", "CustomerKey"), ("FactOrder", "CustomerGeographyKey", "DimGeography", "GeographyKey"),
+    ("FactOrderItem", "CustomerKey", "DimCustomer", "CustomerKey"), ("FactOrderItem", "CustomerGeographyKey", "DimGeography", "GeographyKey"),
     ("FactOrderItem", "ProductKey", "DimProduct", "ProductKey"), ("FactOrderItem", "SellerKey", "DimSeller", "SellerKey"),
-    ("FactPayment", "CustomerKey", "DimCustomer", "CustomerKey"), ("FactReview", "CustomerKey", "DimCustomer", "CustomerKey"),
+    ("FactPayment", "CustomerKey", "DimCustomer", "CustomerKey"), ("FactPayment", "CustomerGeographyKey", "DimGeography", "GeographyKey"),
+    ("FactReview", "CustomerKey", "DimCustomer", "CustomerKey"), ("FactReview", "CustomerGeographyKey", "DimGeography", "GeographyKey"),
+    ("DimCustomer", "RepresentativeGeographyKey", "DimGeography", "GeographyKey"), ("DimSeller", "GeographyKey", "DimGeography", "GeographyKey"),
     ("DimProduct", "ProductCategoryKey", "DimProductCategory", "ProductCategoryKey"),
 )
 
@@ -100,7 +103,7 @@ def _key_integrity(s, d):
     w = warehouse(s, d)
     return union_all(
         [
-            validators.invalid_keys(w[f].filter("ProductKey <> 0") if f == "DimProduct" else w[f], c, w[dim], k).select(
+            validators.invalid_keys(w[f].filter(F.col(RELOAD_CODES[f][0]) != 0) if f in RELOAD_CODES else w[f], c, w[dim], k).select(
                 F.lit(f"{f}.{c}").alias("Role"), "InvalidRows"
             )
             for f, c, dim, k in _KEY_ROLES
