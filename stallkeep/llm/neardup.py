@@ -3,12 +3,17 @@
 Exact copies collapse first. Every different text gives ``SKETCHES`` sketches:
 of its five-word runs, labelled by how often each occurred before, the two of
 least hash, in the order in which the text has them. Texts that share a sketch
-and may be of like length fall into one bucket; each bucket takes one of its
-texts by a hash of the bucket as hub, so different buckets of a large group
-have different hubs, and every other text is held against the hub only. A
-candidate is a link if the edit similarity of the words (1 - distance / longer
-length) reaches ``SIMILARITY``, found by aligning inside the band that this
-allows. Classes are the connected parts of the links.
+and may be of like length fall into one bucket, and every link between two texts
+of a bucket is found, by itself or as a chain of links. Buckets are settled in
+rounds: all texts of a bucket are held against its hubs, one of them in the first
+round and ``HUBS`` times as many in each later one; hubs and what is linked to one
+leave, and the rest goes on until every text was a hub or left. A text that
+stays may still be like one that left with a hub, but only if its own distance
+to that hub is small enough; such texts are held against what left with it once
+the rounds are over, unless both are in one class by then. A link is an edit
+similarity of the words (1 - distance / longer length) of ``SIMILARITY`` or more,
+found by aligning inside the band that this allows. Classes are the connected
+parts of the links.
 
 Two texts of shingle similarity J share one sketch with probability about J**2:
 with 24 sketches a link of J = 0.8 is missed with 2e-11, one of J = 0.6 with
@@ -22,6 +27,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -31,6 +37,8 @@ from stallkeep.llm.words import Words, mixed, shingles
 RUN = 5
 SKETCHES = 24
 SIMILARITY = 0.8
+HUBS = 16
+FAR, NEAR, LINKED = 0, 1, 2
 
 _U = np.uint64
 _SEEDS = np.random.default_rng(24).integers(1, 1 << 63, SKETCHES, dtype=_U) | _U(1)
@@ -107,6 +115,22 @@ def linked(a: np.ndarray, b: np.ndarray, least: float = SIMILARITY) -> bool:
     return edit_similarity(a, b, least) >= least
 
 
+def relation(hub: np.ndarray, text: np.ndarray) -> int:
+    """LINKED, FAR if no text can be linked to both, else NEAR.
+
+    Edit distance is a metric, and words not in common bound it from below.
+    """
+    if linked(hub, text):
+        return LINKED
+    (va, na), (vb, nb) = (np.unique(x, return_counts=True) for x in (hub, text))
+    _, at_a, at_b = np.intersect1d(va, vb, assume_unique=True, return_indices=True)
+    apart = max(len(hub), len(text)) - np.minimum(na[at_a], nb[at_b]).sum()
+    # The longest text that may be linked to both, and what it may be away from each.
+    most = min(len(hub), len(text)) / SIMILARITY
+    reach = (1 - SIMILARITY) * (max(most, len(hub)) + max(most, len(text)))
+    return NEAR if apart <= reach + 1e-6 else FAR
+
+
 def _increasing(values: np.ndarray) -> np.ndarray:
     """Positions of a longest increasing part."""
     tops: list[int] = []
@@ -186,24 +210,69 @@ def _sketched(texts: DataFrame) -> DataFrame:
     return texts.mapInArrow(run, "node long, buckets array<long>, words binary")
 
 
-def _links(sketched: DataFrame) -> DataFrame:
-    """Verified links (a, b) between nodes."""
-    rows = sketched.select("node", F.explode("buckets").alias("bucket"))
-    hub = F.min(F.struct(F.xxhash64("node", "bucket").alias("h"), F.col("node").alias("hub"))).alias("x")
-    hubs = rows.groupBy("bucket").agg(hub, F.count("*").alias("n")).filter("n > 1").select("bucket", "x.hub")
-    pairs = rows.join(hubs, "bucket").filter("node != hub")
-    pairs = written(pairs.select(F.least("node", "hub").alias("a"), F.greatest("node", "hub").alias("b")).distinct(), "candidates")
-    words = sketched.select("node", "words")
-    held = pairs.join(words.toDF("a", "words_a"), "a").join(words.toDF("b", "words_b"), "b")
-    fields = pa.schema([("a", pa.int64()), ("b", pa.int64())])
+def _related(pairs: DataFrame, texts: DataFrame) -> DataFrame:
+    """The (a, b) pairs of texts that are NEAR or LINKED, with their relation."""
+    held = pairs.join(texts.toDF("a", "words_a"), "a").join(texts.toDF("b", "words_b"), "b")
 
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = ([np.frombuffer(w, "<u4") for w in batch.column(c).to_pylist()] for c in ("words_a", "words_b"))
-            kept = [linked(x, y) for x, y in zip(*texts, strict=True)]
-            yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b")], schema=fields).filter(pa.array(kept, pa.bool_()))
+            words = ([np.frombuffer(w, "<u4") for w in batch.column(c).to_pylist()] for c in ("words_a", "words_b"))
+            found = pa.array([relation(x, y) for x, y in zip(*words, strict=True)], pa.int32())
+            new = pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b"), found], names=["a", "b", "relation"])
+            yield new.filter(pc.greater(found, FAR))
+
+    kind = "struct<node:long,part:long>"
+    return written(held.mapInArrow(verify, f"a {kind}, b {kind}, relation int"), "related")
 
-    return written(held.mapInArrow(verify, "a long, b long"), "links")
+
+def _ordered(one: str, other: str) -> list[Column]:
+    return [F.least(one, other).alias("a"), F.greatest(one, other).alias("b")]
+
+
+def _roots(sketched: DataFrame, known: DataFrame) -> DataFrame:
+    """node and root of the nodes that have a link, ``known`` links (a, b) among them."""
+    # A node has several texts if a doc_id has.
+    rows = sketched.select(F.struct("node", F.xxhash64("words").alias("part")).alias("text"), "words", "buckets")
+    texts = rows.select("text", "words")
+    members = rows.select("text", F.explode("buckets").alias("bucket"))
+    links, near, left = known.select("a", "b"), None, None
+    hubs = 1
+    while True:
+        # Of buckets with the same texts one stays.
+        chance = F.xxhash64("text", "bucket", F.lit(hubs))
+        marks = [F.bit_xor(F.xxhash64("text", F.lit(k))).alias(f"m{k}") for k in (0, 1)]
+        stats = members.groupBy("bucket").agg(F.count("*").alias("n"), *marks, F.min(F.struct(chance.alias("h"), "text")).alias("least"))
+        stats = stats.filter("n > 1").groupBy("n", "m0", "m1").agg(F.min(F.struct("bucket", F.col("least.text").alias("least"))).alias("x"))
+        members = written(members.join(stats.select("x.*", "n"), "bucket"), "members")
+        if members.isEmpty():
+            break
+        is_hub = F.col("text") == F.col("least")
+        if hubs == 1:
+            held = members.select("bucket", F.col("least").alias("hub"), "text").filter("text != hub")
+        else:
+            is_hub |= F.pmod(chance, F.col("n")) < hubs
+            some = members.filter(is_hub).select("bucket", F.col("text").alias("hub"))
+            held = written(members.select("bucket", "text").join(some, "bucket").filter("text != hub"), "held")
+        related = _related(written(held.select(*_ordered("hub", "text")).distinct(), "candidates"), texts)
+        settled = written(held.select("*", *_ordered("hub", "text")).join(related, ["a", "b"]).select("bucket", "hub", "text", "relation"), "settled")
+        links = links.unionByName(related.filter(F.col("relation") == LINKED).select("a.node", "b.node").toDF("a", "b"))
+        gone = settled.filter(F.col("relation") == LINKED).select("bucket", "hub", "text")
+        close = settled.filter(F.col("relation") == NEAR).select("bucket", "hub", "text").join(gone.select("bucket", "hub").distinct(), ["bucket", "hub"], "left_semi")
+        near, left = (x if y is None else y.unionByName(x) for x, y in ((close, near), (gone, left)))
+        members = members.filter(~is_hub).select("bucket", "text").join(gone.select("bucket", "text"), ["bucket", "text"], "left_anti")
+        hubs *= HUBS
+    roots = connected(links.distinct())
+    if near is None:
+        return roots
+    of_hub, of_text = (roots.select(F.col("node").alias(f"{c}_node"), F.col("root").alias(f"{c}_root")) for c in ("hub", "text"))
+    fringe = near.withColumns({"hub_node": F.col("hub.node"), "text_node": F.col("text.node")}).join(of_hub, "hub_node").join(of_text, "text_node", "left")
+    fringe = written(fringe.filter("text_root is null or text_root != hub_root").select("bucket", "hub", "text"), "fringe")
+    if fringe.isEmpty():
+        return roots
+    pairs = fringe.join(left.withColumnRenamed("text", "other"), ["bucket", "hub"]).filter("text != other")
+    related = _related(written(pairs.select(*_ordered("text", "other")).distinct(), "candidates"), texts)
+    more = related.filter(F.col("relation") == LINKED).select("a.node", "b.node").toDF("a", "b")
+    return connected(roots.toDF("a", "b").unionByName(more))
 
 
 def connected(links: DataFrame) -> DataFrame:
@@ -275,10 +344,9 @@ def _classes(documents: DataFrame) -> tuple[DataFrame, DataFrame]:
     least = first.filter("node is not null").select("key", "node", F.col("node").alias("doc_id"))
     named = texts.withColumn("key", _key(F.col("text"))).join(least, ["doc_id", "key"])
     sketched = written(_sketched(named.select("node", "text")).dropDuplicates(["node", "words"]), "sketches")
-    links = _links(sketched)
     # Rows of one doc_id with different texts are one document.
     again = keyed.join(first, "key").filter("doc_id != node").select(F.col("doc_id").alias("a"), F.col("node").alias("b"))
     heads = first.filter("node is not null").select("node").distinct()
     clash = again.join(heads, again["a"] == heads["node"], "left_semi")
-    roots = connected(links.unionByName(clash).distinct())
+    roots = _roots(sketched, clash)
     return keyed, first.join(roots, "node", "left").select("key", F.coalesce("root", "node").alias("class_id"))

@@ -200,6 +200,50 @@ def test_near_duplicates_against_brute_force(spark):
     assert sorted(left, key=str) == sorted([d for d in root if find(d) == d] + [None], key=str)
 
 
+def test_near_duplicates_in_large_buckets_of_unlike_texts(spark):
+    # Most texts share a passage and are unlike; pairs among them are alike at just above 0.8.
+    rng = random.Random(9)
+    alphabet = [f"w{k}" for k in range(30000)]
+    passage = [rng.choice(alphabet) for _ in range(77)]
+    texts = [passage + [rng.choice(alphabet) for _ in range(23)] for _ in range(80)]
+    texts += [edited(rng, t[:77], 4, alphabet) + edited(rng, t[77:], 13, alphabet) for t in texts[:50]]
+    words = Words().hashes([" ".join(t) for t in texts])
+    sketches = [set(neardup.order_minhash(w).tolist()) for w in words]
+    short = [(w >> np.uint64(32)).astype(np.uint32) for w in words]
+    root = list(range(len(texts)))
+
+    def find(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+
+    alike = [(a, b) for b in range(len(texts)) for a in range(b) if neardup.linked(short[a], short[b])]
+    for a, b in alike:
+        if sketches[a] & sketches[b]:
+            p, q = sorted((find(a), find(b)))
+            root[q] = p
+    frame = spark.createDataFrame([(k, " ".join(t)) for k, t in enumerate(texts)], "doc_id long, text string")
+    found = dict(map(tuple, neardup.near_duplicates(frame).collect()))
+    assert found == {k: find(k) for k in range(len(texts))}
+    recalled = sum(found[a] == found[b] for a, b in alike)
+    assert len(alike) >= 50 and recalled >= 0.95 * len(alike), (recalled, len(alike))
+
+
+def test_relation_far_leaves_no_text_between():
+    rng = random.Random(10)
+    seen = set()
+    for _ in range(4000):
+        a = [rng.randrange(40) for _ in range(rng.randint(1, 30))]
+        middle = edited(rng, a, rng.randint(0, 6), range(40))
+        b = edited(rng, middle, rng.randint(0, 6), range(40))
+        a, middle, b = (np.array(x, np.uint32) for x in (a, middle, b))
+        found = neardup.relation(a, b)
+        seen.add(found)
+        assert (found == neardup.LINKED) == neardup.linked(a, b)
+        assert found != neardup.FAR or not (neardup.linked(a, middle) and neardup.linked(middle, b))
+    assert seen == {neardup.FAR, neardup.NEAR, neardup.LINKED}
+
+
 def test_near_duplicates_of_none(spark):
     none = spark.createDataFrame([], "doc_id long, text string")
     assert neardup.near_duplicates(none).count() == 0 and neardup.first_of_each(none).count() == 0
