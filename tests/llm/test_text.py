@@ -32,6 +32,9 @@ ARTICLE = (
         ("<article>a<script>b", "a"),
         ("plain text", "plain text"),
         ('<div class="cookieNotice">x</div><p>y</p>', "y"),
+        ("<div class=post>story</div><section class=comments><article class=comment>c</article></section>", "story"),
+        ("<p>story</p><aside><article>teaser</article></aside>", "story"),
+        ('<div class="post has-sidebar">story</div><div class=sidebar>s</div>', "story"),
     ],
 )
 def test_main_text_of_one_page(spark, page, text):
