@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
+import string
 from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stallkeep.llm import ann, chat, idfile, langid, neardup, packing, pages, pieces, quality, topk
+from stallkeep.llm import ann, chat, idfile, langid, merkle, neardup, oracles, packing, pages, pieces, quality, topk, trie
 from stallkeep.llm.common import crc32_of, table, written
+from stallkeep.operators.joins import spread_join
 from stallkeep.session import scratch_path
 
 QUALITY_CUT = 0.3
@@ -92,6 +94,37 @@ def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", _held_out(F.col("doc_id"), 4, 2).alias("held_out"), "lang_pred", F.col("lang_score").alias("score"))
 
 
+def _grafted(placed: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Turns of the rebuilt conversations, and all conv_ids: the first h turns come from conv_id - conv_id % 20."""
+    conv = F.col("conv_id")
+    heads = placed.filter("place < 3").withColumnRenamed("conv_id", "base")
+    rebuilt = placed.select("conv_id").distinct().withColumns({"base": conv - conv % 20, "h": crc32_of(conv) % 4})
+    sizes = heads.groupBy("base").agg(F.count("*").alias("size"))
+    rebuilt = written(rebuilt.join(sizes, "base", "left").withColumn("taken", F.least("h", F.coalesce("size", F.lit(0)))), "rebuilt")
+    first = rebuilt.filter("taken > 0").join(heads, "base").filter("place < taken").select("conv_id", "place", "id", "words")
+    short = rebuilt.filter("taken < h").select("conv_id", (F.col("h") - F.col("taken")).alias("less"))
+    own = spread_join(placed.filter(F.col("place") >= crc32_of(conv) % 4), short, ["conv_id"], "left")
+    own = own.select("conv_id", (F.col("place") - F.coalesce("less", F.lit(0))).alias("place"), "id", "words")
+    return first.unionByName(own), rebuilt.select("conv_id")
+
+
+def op11_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    placed = written(trie.turns(table(spark, sf_dir, "conversations")), "turns")
+    return trie.prefix_trie(*_grafted(placed))
+
+
+def op12_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents")
+    text = F.col("text").cast("string")
+    fields = [F.col(c) for c in ("doc_id", "source", "lang", "n_chars")]
+    leaf = merkle.record_digest(*fields, text)
+    lowered = F.translate(text, string.ascii_uppercase, string.ascii_lowercase)
+    tampered = F.when(crc32_of(F.col("doc_id")) % 3 == 0, merkle.record_digest(*fields, lowered))
+    leaves = written(documents.select("doc_id", "lang", leaf.alias("leaf"), tampered.alias("tampered")), "leaves")
+    leaves = leaves.withColumn("claimed", F.coalesce("tampered", "leaf"))
+    return merkle.manifest(leaves, "lang", ["doc_id"], carried=["doc_id"], claimed="claimed")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_main_text": op1_main_text,
     "op2_topk": op2_topk,
@@ -103,6 +136,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_pieces": op8_pieces,
     "op9_near_dedup": op9_near_dedup,
     "op10_language": op10_language,
+    "op11_trie": op11_trie,
+    "op12_merkle": op12_merkle,
 }
 
 ORACLE: dict[str, str] = {
@@ -136,4 +171,6 @@ ORACLE: dict[str, str] = {
                    + length(regexp_replace(role, '<(\\*)\|', '<\\\1|', 'g'))
                    + length(regexp_replace(text, '<(\\*)\|', '<\\\1|', 'g')))::BIGINT AS formatted_chars
         FROM turns GROUP BY conv_id""",
+    "op11_trie": oracles.TRIE,
+    "op12_merkle": oracles.MERKLE,
 }

@@ -20,7 +20,7 @@ pytestmark = pytest.mark.skipif(not os.path.isdir(SF_DIR), reason="no driver tab
 
 def test_all_are_registered():
     assert set(QUERIES) | {"pipeline"} <= set(__spark_entry__.queries())
-    assert {int(name[2:].split("_")[0]) for name in QUERIES} == set(range(1, 11))
+    assert {int(name[2:].split("_")[0]) for name in QUERIES} == set(range(1, 14))
     assert set(ORACLE) <= set(__spark_entry__.oracle_sql())
 
 
