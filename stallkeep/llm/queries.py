@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stallkeep.llm import ann, chat, idfile, langid, merkle, neardup, oracles, packing, pages, pieces, quality, topk, trie
+from stallkeep.llm import ann, chat, idfile, langid, merkle, neardup, oracles, packing, pages, pieces, private, quality, topk, trie
 from stallkeep.llm.common import crc32_of, table, written
 from stallkeep.operators.joins import spread_join
 from stallkeep.session import scratch_path
@@ -125,6 +125,19 @@ def op12_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merkle.manifest(leaves, "lang", ["doc_id"], carried=["doc_id"], claimed="claimed")
 
 
+def op13_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents")
+    found = private.personal_data(documents, private.fit(documents))
+    names = F.array(*[F.lit(k) for k in private.KINDS])
+    base = F.filter("spans", lambda s: s["base"])
+
+    def joined(spans: Column) -> Column:
+        return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", F.get(names, s["kind"]), s["start"].cast("string"), s["end"].cast("string"))), ",")
+
+    counts = [F.size(F.filter(base, lambda s, k=k: s["kind"] == k)).cast("long").alias(f"n_{name}") for k, name in enumerate(private.KINDS)]
+    return found.select("doc_id", *counts, F.sha2(joined(base).cast("binary"), 256).alias("base_sha256"), joined(F.col("spans")).alias("spans"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_main_text": op1_main_text,
     "op2_topk": op2_topk,
@@ -138,6 +151,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_language": op10_language,
     "op11_trie": op11_trie,
     "op12_merkle": op12_merkle,
+    "op13_personal_data": op13_personal_data,
 }
 
 ORACLE: dict[str, str] = {
