@@ -1,64 +1,79 @@
-"""Exact medians per group, for groups of any size."""
+"""Exact medians per group, for groups of any size, by narrowing down to the middle."""
 
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from stallkeep.operators.keys import place_in_order
+from stallkeep.operators.joins import spread_join
+from stallkeep.session import scratch_path
+
+# Ranks that a sketch names are off by at most rows / ACCURACY; the bracket is twice as wide.
+ACCURACY = 10_000
+_REACH = 2 / ACCURACY
 
 
 def grouped_median(df: DataFrame, group: Sequence[str], values: Sequence[str]) -> DataFrame:
     """Interpolated median of each value column per group; NULLs are left out.
 
     Every group has a row, also the NULL group and groups without any value
-    (NULL medians). Equal values of a group become one weighted row before they
-    are moved, and the weighted rows are sorted across partitions, so neither a
-    large group nor a common value meets in one task.
+    (NULL medians). A first pass keeps one mergeable quantile sketch per group and
+    column, all columns at once, and so brackets the middle ranks. A second pass
+    counts what lies below a bracket and how often each value inside occurs, both
+    combined before they are moved; the middle is then picked among the values
+    inside, at most 6 * rows / ACCURACY of a group. Should a sketch have been off
+    by more than it promises, its groups are sorted out by ``_by_sorting``, so the
+    result is exact in any case.
     """
-    group = list(group)
-    medians = [_weighted_median(df, group, v) for v in values]
-    groups = df.groupBy(*group).agg(F.lit(1).alias("_group")).drop("_group")
-    return reduce(lambda left, right: _null_safe_left(left, right, group), medians, groups)
+    group, values = list(group), list(values)
+    rows = _written(df.select(F.struct(*[F.col(g) for g in group]).alias("_group"), *[F.col(v).cast("double").alias(f"_v{i}") for i, v in enumerate(values)]), "values")
+    sketches = []
+    for i in range(len(values)):
+        sketches += [
+            F.count(f"_v{i}").alias(f"_n{i}"),
+            F.percentile_approx(f"_v{i}", [0.5 - _REACH, 0.5 + _REACH], ACCURACY).alias(f"_b{i}"),
+        ]
+    brackets = _written(rows.groupBy("_group").agg(*sketches), "brackets")
+    inside = spread_join(rows, brackets, ["_group"], "inner")
+    columns = [
+        F.struct(F.lit(i).alias("c"), F.col(f"_n{i}").alias("n"), (F.col(f"_v{i}") < F.col(f"_b{i}")[0]).alias("below"), F.when(F.col(f"_v{i}") >= F.col(f"_b{i}")[0], F.col(f"_v{i}")).alias("v"))
+        for i in range(len(values))
+    ]
+    kept = [F.when(F.col(f"_v{i}") <= F.col(f"_b{i}")[1], c) for i, c in enumerate(columns)]
+    weighed = inside.select("_group", F.explode(F.array(*kept)).alias("x")).filter("x is not null").groupBy("_group", "x.c", "x.n", "x.below", "x.v").agg(F.count("*").alias("_weight"))
+    picked = _picked(weighed, F.col("n"))
+    medians = picked.groupBy("_group").agg(*[F.max(F.when(F.col("c") == i, F.col("median"))).alias(f"_m{i}") for i in range(len(values))])
+    found = _written(brackets.join(medians, "_group", "left"), "medians")
+    missed = found.filter(F.exists(F.array(*[(F.col(f"_n{i}") > 0) & F.col(f"_m{i}").isNull() for i in range(len(values))]), lambda x: x))
+    if not missed.isEmpty():
+        for i in range(len(values)):
+            again = _by_sorting(rows.join(missed.select("_group"), "_group", "left_semi"), f"_v{i}")
+            found = found.join(again, "_group", "left").withColumn(f"_m{i}", F.coalesce(f"_m{i}", "_again")).drop("_again")
+    return found.select(*[F.col(f"_group.{g}").alias(g) for g in group], *[F.col(f"_m{i}").alias(v) for i, v in enumerate(values)])
+
 
+def _written(df: DataFrame, name: str) -> DataFrame:
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
-def _null_safe_left(left: DataFrame, right: DataFrame, group: list[str]) -> DataFrame:
-    renamed = right.withColumnsRenamed({g: f"_{g}" for g in group})
-    same = reduce(lambda a, b: a & b, [F.col(g).eqNullSafe(F.col(f"_{g}")) for g in group])
-    return left.join(renamed, same, "left").drop(*[f"_{g}" for g in group])
 
+def _picked(weighed: DataFrame, total: Column) -> DataFrame:
+    """Median of each (group, column) of ``total`` values, NULL where a middle one is not among the rows.
 
-def _weighted_median(df: DataFrame, group: list[str], value: str) -> DataFrame:
-    number = F.col(value).cast("double")
-    weighed = df.select(*group, number.alias(value)).filter(F.col(value).isNotNull())
-    weighed = weighed.groupBy(*group, value).agg(F.count("*").alias("_weight"))
-    placed = place_in_order(weighed, [*group, value])
-    # A group fills one contiguous run in each partition it touches.
-    per_group = Window.partitionBy(*group)
-    runs = placed.groupBy(*group, "_part").agg(F.sum("_weight").alias("_run"))
-    runs = runs.withColumns(
-        {
-            "_before": F.sum("_run").over(per_group.orderBy("_part")) - F.col("_run"),
-            "_total": F.sum("_run").over(per_group),
-        }
-    )
-    lower, upper = F.floor((F.col("_total") - 1) / 2), F.floor(F.col("_total") / 2)
-    # Only the runs that hold a middle position are looked into.
-    middle = runs.filter((F.col("_before") <= upper) & (lower < F.col("_before") + F.col("_run")))
-    middle = middle.select(
-        *[F.col(g).alias(f"_{g}") for g in group],
-        F.col("_part").alias("_in"), "_before", lower.alias("_lower"), upper.alias("_upper"),
-    )
-    same = reduce(lambda a, b: a & b, [F.col(g).eqNullSafe(F.col(f"_{g}")) for g in group])
-    held = placed.join(middle, same & (F.col("_part") == F.col("_in")))
-    in_run = Window.partitionBy(*group, "_part").orderBy(value)
-    until = F.col("_before") + F.sum("_weight").over(in_run)
-    reached = held.withColumn("_until", until).withColumn("_from", F.col("_until") - F.col("_weight"))
+    Rows are (value, how often it occurs); what lies below all of them is one row.
+    """
+    until = F.sum("_weight").over(Window.partitionBy("_group", "c").orderBy(F.desc("below"), "v"))
+    placed = weighed.withColumn("_until", until).withColumn("_from", F.col("_until") - F.col("_weight"))
+    ends = {"_lower": F.floor((total - 1) / 2), "_upper": F.floor(total / 2)}
+    holds = [F.max(F.when(position.between(F.col("_from"), F.col("_until") - 1), F.col("v"))).alias(name) for name, position in ends.items()]
+    return placed.groupBy("_group", "c").agg(*holds).select("_group", "c", ((F.col("_lower") + F.col("_upper")) / 2).alias("median"))
 
-    def holds(position: str) -> F.Column:
-        return F.max(F.when(F.col(position).between(F.col("_from"), F.col("_until") - 1), F.col(value)))
 
-    return reached.groupBy(*group).agg(((holds("_lower") + holds("_upper")) / 2).alias(value))
+def _by_sorting(rows: DataFrame, value: str) -> DataFrame:
+    """Medians of one column by a sort of all values of a group; ``_again`` per group."""
+    weighed = rows.filter(F.col(value).isNotNull()).groupBy("_group", F.col(value).alias("v")).agg(F.count("*").alias("_weight"))
+    weighed = weighed.withColumns({"c": F.lit(0), "below": F.lit(False), "_total": F.sum("_weight").over(Window.partitionBy("_group"))})
+    return _picked(weighed, F.col("_total")).select("_group", F.col("median").alias("_again"))

@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from conftest import rows
+from stallkeep.operators import median
 from stallkeep.operators import quality as Q
 from stallkeep.operators.compare import differences, differing_rows
 from stallkeep.operators.joins import spread_join, strict_lookup
@@ -242,3 +243,19 @@ def test_completeness(spark):
     got = Q.completeness({"a": two, "b": two}, expected)
     assert [(r.DatasetName, r.ValidationStatus) for r in got.collect()] == [("a", "PASS"), ("b", "FAIL"), ("c", "FAIL")]
     assert Q.overall_status(got).first()[0] == "STAGING VALIDATION FAILED"
+
+
+def test_medians_of_large_groups_and_of_sketches_that_miss(spark, monkeypatch):
+    """Groups far larger than the bracket, with ties around the middle; then brackets that hold no middle."""
+    rng = random.Random(6)
+    data = {"hot": [rng.choice([rng.random(), 0.5, 7.0]) for _ in range(30_001)], "even": [rng.gauss(0, 1) for _ in range(20_000)], "ties": [1.0] * 9_999 + [2.0] * 10_001, "few": [3.0, None, 1.0], "none": [None], None: [4.0, 5.0]}
+    frame = spark.createDataFrame([(k, v, None if v is None else -v) for k, some in data.items() for v in some], "k string, a double, b double").repartition(5)
+
+    def middle(some):
+        some = sorted(v for v in some if v is not None)
+        return (some[(len(some) - 1) // 2] + some[len(some) // 2]) / 2 if some else None
+
+    wanted = sorted([(k, middle(some), None if middle(some) is None else -middle(some)) for k, some in data.items()], key=repr)
+    assert rows(grouped_median(frame, ["k"], ["a", "b"])) == wanted
+    monkeypatch.setattr(median, "_REACH", -0.3)  # the lower end of the bracket above its upper end
+    assert rows(grouped_median(frame, ["k"], ["a", "b"])) == wanted
