@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from stallkeep.operators.changes import UNCHANGED, change_counts, changes, digests
+from stallkeep.operators.compare import difference_measures, differences_of_stored
 from stallkeep.operators.history import advance_history, open_history, valid_at
 from stallkeep.operators.upsert import upsert_members
 from stallkeep.plans import dimensions
@@ -182,6 +183,17 @@ def _fact_rows(s, d) -> DataFrame:
     return _fact_loads(s, d)[0].table("FactOrderItem")
 
 
+def _stored_differences(s, d):
+    """Facts of the full load against those loaded by months, which are alike, and against altered payments."""
+    w, store = warehouse(s, d), _fact_loads(s, d)[0]
+    path, number = scratch_path(s, "altered"), F.col("PaymentSequential")
+    payments = store.table("FactPayment").filter(number != 4)
+    payments.withColumn("PaymentCount", F.when(number == 3, 2).otherwise(F.col("PaymentCount"))).write.parquet(path)
+    pairs = {n: (n, store.table(n)) for n in FACTS} | {"Altered": ("FactPayment", s.read.parquet(path))}
+    parts = [differences_of_stored(w[of], table, table.columns).select(F.lit(name).alias("Target"), *difference_measures()) for name, (of, table) in pairs.items()]
+    return reduce(DataFrame.unionByName, parts)
+
+
 QUERIES = {
     "inc_01_watermark_load": _loaded,
     "inc_01_load_report": _load_report,
@@ -193,6 +205,7 @@ QUERIES = {
     "inc_04_member_at_purchase": _lookup,
     "inc_05_replaced_months": _months,
     "inc_05_fact_order_item": _fact_rows,
+    "rec_02_stored_differences": _stored_differences,
 }
 
 _RECENT = f"o.order_purchase_timestamp >= TIMESTAMP '{WEEKS_BEFORE}' AND o.order_purchase_timestamp < TIMESTAMP '{CUT}'"
@@ -327,4 +340,10 @@ ORACLE = {
     "inc_05_fact_order_item": f"""SELECT OrderID, CAST(OrderItemID AS BIGINT) AS OrderItemID, ProductKey, SellerKey, CustomerKey, CustomerGeographyKey, PurchaseDateKey, ShippingLimitDateKey,
         OrderStatus, {moment('ShippingLimitTimestamp')} AS ShippingLimitTimestamp, CAST(PriceAmount AS DOUBLE) AS PriceAmount, CAST(FreightAmount AS DOUBLE) AS FreightAmount,
         CAST(OrderItemCount AS BIGINT) AS OrderItemCount FROM fact_item""",
+    "rec_02_stored_differences": " UNION ALL ".join(
+        f"SELECT '{n}' AS Target, count(*) AS ExpectedRows, count(*) AS ActualRows, 0 AS SourceToTargetDifferences, 0 AS TargetToSourceDifferences FROM {block}"
+        for n, (block, _) in _AMOUNTS.items()
+    )
+    + """ UNION ALL SELECT 'Altered', count(*), count(*) FILTER (PaymentSequential <> 4), count(*) FILTER (PaymentSequential IN (3, 4)),
+        count(*) FILTER (PaymentSequential = 3) FROM fact_payment""",
 }

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from conftest import rows
 from stallkeep.operators import median
 from stallkeep.operators import quality as Q
-from stallkeep.operators.compare import differences, differing_rows
+from stallkeep.operators.compare import _alike, bucket_digests, differences, differences_of_stored, differing_rows
 from stallkeep.operators.joins import spread_join, strict_lookup
 from stallkeep.operators.keys import number_rows, place_in_order, with_unknown_member
 from stallkeep.operators.median import grouped_median
@@ -245,6 +245,30 @@ def test_completeness(spark):
     assert Q.overall_status(got).first()[0] == "STAGING VALIDATION FAILED"
 
 
+def test_equal_tables_exchange_digests_only(spark):
+    """Duplicates, NULLs and types that differ count; rows of equal tables never meet."""
+    schema = "k string, n int, t string"
+    data = [(f"k{i % 90}", None if i % 7 == 0 else i % 50, "long text " * 20) for i in range(2000)] + [(None, None, None)] * 3
+    left = spark.createDataFrame(data, schema).repartition(3)
+    right = spark.createDataFrame(data[::-1], "k string, n long, t string").repartition(5)
+    d = differences_of_stored(left, right).first()
+    assert tuple(d) == (2003, 2003, 0, 0)
+    digests = bucket_digests(*_alike(left, right, left.columns), left.columns).collect()
+    assert not any(r._unequal for r in digests) and len(digests) <= 2003
+    # One copy fewer, one text altered, one neighbour swap: counts as EXCEPT gives them.
+    for altered, wanted in (
+        (data[:-1], (2003, 2002, 0, 0)),
+        ([*data[:-1], ("k0", 3, None)], (2003, 2003, 0, 1)),
+        ([(k, n, t) if k != "k3" else (k, n, "x") for k, n, t in data], None),
+        ([("k1", None, "a"), ("a", None, "k1")], None),
+        ([], None),
+    ):
+        other = spark.createDataFrame(altered, schema)
+        d = differences_of_stored(left, other).first()
+        plain = (2003, len(altered), left.subtract(other).count(), other.subtract(left).count())
+        assert tuple(d) == plain and (wanted is None or plain == wanted)
+
+
 def test_medians_of_large_groups_and_of_sketches_that_miss(spark, monkeypatch):
     """Groups far larger than the bracket, with ties around the middle; then brackets that hold no middle."""
     rng = random.Random(6)
