@@ -11,7 +11,7 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from stallkeep.operators.quality import union_all
+from stallkeep.operators.quality import completeness, union_all
 from stallkeep.queries.built import staged_store, staging, warehouse
 from stallkeep.queries.oracle import day, moment
 from stallkeep.queries.roles import driver_table
@@ -71,6 +71,13 @@ def _header_contract(s, d) -> DataFrame:
     )
 
 
+def _staging_completeness(s, d):
+    """Rows stored of each of the nine data sets against the records of its text file, and a data set nobody loaded."""
+    expected = [_scan(s, d, n).agg(F.count("*").alias("ExpectedRows")).select(F.lit(n).alias("DatasetName"), "ExpectedRows") for n in CONTRACTS]
+    unloaded = _scan(s, d, "sellers").agg(F.count("*").alias("ExpectedRows")).select(F.lit("returns").alias("DatasetName"), "ExpectedRows")
+    return completeness({n: staging(s, d)[n] for n in CONTRACTS}, union_all([*expected, unloaded]))
+
+
 # Every so many orders, the items of one are broken in the text: a field short, two too many, or an open quote.
 _BROKEN_EVERY = 29
 
@@ -155,6 +162,7 @@ QUERIES = {
     "ing_10_load": _loaded,
     "ing_11_loaded_row_counts": _row_counts,
     "ing_12_partitioned_sink": _sink,
+    "dq_32_staging_completeness": _staging_completeness,
 }
 
 _BLOCK = {
@@ -203,5 +211,9 @@ ORACLE = {
     "ing_11_loaded_row_counts": " UNION ALL ".join(
         f"SELECT '{n}' AS Dataset, count(*) AS SourceRows, count(*) AS LoadedRows FROM {n}" for n in ("orders", "customer", "lineitem", "events")
     ),
+    "dq_32_staging_completeness": " UNION ALL ".join(
+        f"SELECT '{n}' AS DatasetName, count(*) AS ActualRows, count(*) AS ExpectedRows, 'PASS' AS ValidationStatus FROM {b}" for n, b in _BLOCK.items()
+    )
+    + " UNION ALL SELECT 'returns', NULL, count(*), 'FAIL' FROM stg_sellers",
     "ing_12_partitioned_sink": "SELECT PurchaseDateKey // 100 AS PurchaseMonth, count(*) AS Payments, CAST(sum(PaymentAmount) AS DOUBLE) AS PaymentAmount FROM fact_payment GROUP BY 1",
 }

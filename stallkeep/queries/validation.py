@@ -187,6 +187,35 @@ def _order_profile(s, d):
     return compared.agg(*[m.alias(n) for n, m in measures.items()])
 
 
+# Profile measures of the other facts, and the same numbers in SQL over their blocks.
+PROFILES = {
+    "FactOrderItem": ("fact_item", {
+        "PriceAmount": "sum(PriceAmount)", "FreightAmount": "sum(FreightAmount)",
+        "ZeroFreightRows": "count(*) FILTER (FreightAmount = 0)", "ZeroPriceRows": "count(*) FILTER (PriceAmount = 0)",
+    }),
+    "FactPayment": ("fact_payment", {
+        "PaymentAmount": "sum(PaymentAmount)", "SequenceAnomalyRows": "sum(PaymentSequenceAnomalyFlag)", "UndefinedPaymentTypes": "sum(UndefinedPaymentTypeFlag)",
+        "ZeroInstallments": "sum(ZeroInstallmentFlag)", "ZeroPaymentValues": "sum(ZeroPaymentValueFlag)",
+    }),
+    "FactReview": ("fact_review", {
+        "ReviewScore": "sum(ReviewScore)", "DuplicateReviewIDRows": "sum(DuplicateReviewIDFlag)", "CreatedBeforePurchase": "sum(ReviewCreatedBeforePurchaseFlag)",
+        "CreatedBeforeDelivery": "count(*) FILTER (ReviewCreatedBeforeDeliveryFlag = 1)", "CreatedBeforeDeliveryNull": "count(*) FILTER (ReviewCreatedBeforeDeliveryFlag IS NULL)",
+        "AnsweredBeforePurchase": "sum(ReviewAnsweredBeforePurchaseFlag)", "AnsweredBeforeDelivery": "count(*) FILTER (ReviewAnsweredBeforeDeliveryFlag = 1)",
+        "AnsweredBeforeDeliveryNull": "count(*) FILTER (ReviewAnsweredBeforeDeliveryFlag IS NULL)", "AnsweredBeforeCreation": "sum(ReviewAnsweredBeforeCreationFlag)",
+    }),
+}
+
+
+def _fact_profiles(s, d):
+    """Expected and actual profile of items, payments and reviews, as their validators measure them."""
+    w = warehouse(s, d)
+    parts = []
+    for scope, (_, numbers) in PROFILES.items():
+        names = [f"{side}{n}" for n in numbers for side in ("Expected", "Actual")]
+        parts.append(validators.VALIDATORS[scope](w).filter(F.col("metric").isin(names)).select("scope", "metric", "value"))
+    return union_all(parts)
+
+
 def _money(s, d):
     w = warehouse(s, d)
     wide = "decimal(38,2)"
@@ -336,6 +365,7 @@ QUERIES = {
     "rec_09_childless_orders": _childless,
     "rec_10_tri_state_flags": _tri_state,
     "rec_11_order_profile": _order_profile,
+    "rec_11_fact_profiles": _fact_profiles,
     "rec_12_money_totals": _money,
     "rec_13_flag_consistency": _flag_consistency,
     "rec_14_profile_statuses": _profile_statuses,
@@ -625,5 +655,11 @@ ORACLE.update(
                 UndeliveredLateStatus="count(CASE WHEN DeliveredLateFlag IS NULL THEN 1 END)",
             ).items()
         ) + " FROM fact_order",
+        "rec_11_fact_profiles": " UNION ALL ".join(
+            f"SELECT '{scope}' AS scope, '{side}{n}' AS metric, CAST(coalesce({sql}, 0) AS DOUBLE) AS value FROM {block}"
+            for scope, (block, numbers) in PROFILES.items()
+            for n, sql in numbers.items()
+            for side in ("Expected", "Actual")
+        ),
     }
 )
