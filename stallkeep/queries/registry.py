@@ -6,12 +6,12 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from stallkeep.queries import audits, calendar, checks, conformance, increments, ingestion, kpis, star, validation
+from stallkeep.queries import audits, baselines, calendar, checks, conformance, increments, ingestion, kpis, star, validation
 from stallkeep.queries.oracle import with_blocks
 from stallkeep.queries.shape import portable
 from stallkeep.session import scratch_root
 
-MODULES = (ingestion, audits, checks, conformance, calendar, star, validation, increments, kpis)
+MODULES = (ingestion, audits, checks, conformance, calendar, star, validation, baselines, increments, kpis)
 
 
 def _run(query: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
