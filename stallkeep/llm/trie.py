@@ -53,7 +53,8 @@ def turns(conversations: DataFrame) -> DataFrame:
         F.unhex(F.substring(F.sha2(record.cast("binary"), 256), 1, 2 * WIDTH)).alias("id"),
         F.regexp_count(text, F.lit(r"[^\x20\x09-\x0D]+")).cast("long").alias("words"),
     )
-    return numbered_within(rows, "conv_id", ["turn", "id"], "place").drop("turn")
+    # Written first: the sort samples its input, and the texts are read once.
+    return numbered_within(written(rows, "turn-ids"), "conv_id", ["turn", "id"], "place").drop("turn")
 
 
 def prefix_trie(placed: DataFrame, conversations: DataFrame) -> DataFrame:
