@@ -123,8 +123,8 @@ class Index:
     settings: Settings
 
 
-_ROW = "group long, kind long, lists binary, ids binary, vectors binary, probes array<binary>"
-_FIELDS = pa.schema([("group", pa.int64()), ("kind", pa.int64()), *((n, pa.binary()) for n in ("lists", "ids", "vectors")), ("probes", pa.list_(pa.binary()))])
+_ROW = "group long, kind long, lists binary, ids binary, numbers binary, vectors binary, probes array<binary>"
+_FIELDS = pa.schema([("group", pa.int64()), ("kind", pa.int64()), *((n, pa.binary()) for n in ("lists", "ids", "numbers", "vectors")), ("probes", pa.list_(pa.binary()))])
 
 
 def build(vectors: DataFrame, settings: Settings = Settings()) -> Index | None:
@@ -132,7 +132,8 @@ def build(vectors: DataFrame, settings: Settings = Settings()) -> Index | None:
 
     Fitted on at most ``sample_rows`` vectors (those of least hash), every
     vector is posted. Null and zero vectors and those with null or non-finite
-    components take no part; lengths may differ, missing components are zero.
+    components take no part; lengths may differ, missing components are zero. Rows
+    repeated in full are candidates each, told apart by a number.
     """
     doubles = F.col("vector").cast("array<double>")
     clean = vectors.filter(sound(F.col("vector"), with_zero=False)).select(F.col("id").cast("long"), doubles.alias("vector"))
@@ -144,7 +145,7 @@ def build(vectors: DataFrame, settings: Settings = Settings()) -> Index | None:
     sample = clean.orderBy(F.xxhash64("id"), "id").limit(settings.sample_rows).select("vector").collect()
     centroids = Centroids(_raised(matrix([r[0] for r in sample], width), norm), settings)
     shared = vectors.sparkSession.sparkContext.broadcast(centroids)
-    fields = pa.schema([("list", pa.int32()), ("id", pa.int64()), ("vector", pa.list_(pa.float64()))])
+    fields = pa.schema([("list", pa.int32()), ("id", pa.int64()), ("vector", pa.list_(pa.float64())), ("number", pa.int64())])
 
     def post(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         lists = shared.value
@@ -154,13 +155,13 @@ def build(vectors: DataFrame, settings: Settings = Settings()) -> Index | None:
             order = np.argpartition(apart, copies - 1, axis=1)[:, :copies] if copies < apart.shape[1] else np.tile(np.arange(copies), (len(apart), 1))
             near = np.take_along_axis(apart, order, 1)
             row, column = np.nonzero(near <= settings.border * near.min(1, keepdims=True))
-            yield pa.RecordBatch.from_arrays([pa.array(order[row, column], pa.int32()), batch.column(0).take(pa.array(row)), batch.column(1).take(pa.array(row))], schema=fields)
+            yield pa.RecordBatch.from_arrays([pa.array(order[row, column], pa.int32()), *[batch.column(c).take(pa.array(row)) for c in range(3)]], schema=fields)
 
     groups = -(-size["rows"] * settings.copies // settings.group_rows)
-    posted = clean.mapInArrow(post, "list int, id long, vector array<double>")
+    posted = clean.withColumn("number", F.monotonically_increasing_id()).mapInArrow(post, "list int, id long, vector array<double>, number long")
     # The group is the place in the order of lists, whatever the number of partitions.
     placed = number_rows(posted, ["list", "id"], "place")
-    posted = placed.select("list", "id", "vector", F.floor((F.col("place") - 1) / settings.group_rows).alias("group"))
+    posted = placed.select("list", "id", "vector", "number", F.floor((F.col("place") - 1) / settings.group_rows).alias("group"))
     spans = posted.groupBy("list").agg(F.min("group"), F.max("group")).collect()  # a row per centroid at most
     return Index(centroids, norm, width, posted, {r[0]: (r[1], r[2]) for r in spans}, groups, settings)
 
@@ -198,31 +199,31 @@ def search(index: Index, queries: DataFrame, k: int) -> DataFrame:
                 for group, asking in at.items():
                     some = np.array(list(asking))
                     probes = [np.array(asking[i], dtype=np.int32).tobytes() for i in some.tolist()]
-                    yield batch_of(_FIELDS, zip((group, 1, None, ids[some].tobytes(), rows[some].tobytes(), probes), strict=True))
+                    yield batch_of(_FIELDS, zip((group, 1, None, ids[some].tobytes(), None, rows[some].tobytes(), probes), strict=True))
 
         return run
 
     def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, 2048):
-            group = batch.column(3).to_numpy()
+            group = batch.column(4).to_numpy()
             edges = [0, *(np.flatnonzero(np.diff(group)) + 1).tolist(), len(group)]
             rows = matrix(batch.column(2), width)
             for a, b in zip(edges[:-1], edges[1:], strict=True):
-                lists, ids = (batch.column(c).to_numpy()[a:b].tobytes() for c in (0, 1))
-                yield batch_of(_FIELDS, zip((int(group[a]), 0, lists, ids, rows[a:b].tobytes(), None), strict=True))
+                lists, ids, numbers = (batch.column(c).to_numpy()[a:b].tobytes() for c in (0, 1, 3))
+                yield batch_of(_FIELDS, zip((int(group[a]), 0, lists, ids, numbers, rows[a:b].tobytes(), None), strict=True))
 
-    hits = pa.schema([("query_id", pa.int64()), ("vec_id", pa.int64()), ("score", pa.float64())])
+    hits = pa.schema([("query_id", pa.int64()), ("vec_id", pa.int64()), ("number", pa.int64()), ("score", pa.float64())])
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         current, parts, held = None, [], None
         for batch in batches:
             for i in range(batch.num_rows):
-                group, kind, lists, ids, vectors, probes = (batch.column(c)[i].as_py() for c in range(6))
+                group, kind, lists, ids, numbers, vectors, probes = (batch.column(c)[i].as_py() for c in range(7))
                 if group != current:
                     current, parts, held = group, [], None
                 ids, vectors = np.frombuffer(ids, np.int64), np.frombuffer(vectors).reshape(-1, width)
                 if kind == 0:
-                    parts.append((np.frombuffer(lists, np.int32), ids, vectors))
+                    parts.append((np.frombuffer(lists, np.int32), ids, np.frombuffer(numbers, np.int64), vectors))
                     continue
                 if held is None:
                     held = [np.concatenate(x) for x in zip(*parts, strict=True)]
@@ -233,10 +234,10 @@ def search(index: Index, queries: DataFrame, k: int) -> DataFrame:
                     yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in zip(*found, strict=True)], schema=hits)
 
     def found(some: DataFrame, everywhere: bool) -> DataFrame:
-        both = index.postings.select("list", "id", "vector", "group").mapInArrow(gather, _ROW).unionByName(some.mapInArrow(ask(everywhere), _ROW))
+        both = index.postings.select("list", "id", "vector", "number", "group").mapInArrow(gather, _ROW).unionByName(some.mapInArrow(ask(everywhere), _ROW))
         met = both.repartition(index.groups, "group").sortWithinPartitions("group", "kind")
         # A vector may sit in lists of several groups.
-        return met.mapInArrow(scan, "query_id long, vec_id long, score double").distinct()
+        return met.mapInArrow(scan, "query_id long, vec_id long, number long, score double").distinct()
 
     near = written(best_per_query(found(clean, False), k), "nearest")
     full = near.groupBy("query_id").count().filter(F.col("count") >= k).select("query_id")
@@ -247,8 +248,8 @@ def search(index: Index, queries: DataFrame, k: int) -> DataFrame:
 
 
 def _nearest(held: list[np.ndarray], query_ids: np.ndarray, queries: np.ndarray, probes: list[np.ndarray], k: int, norm: float, copies: int) -> list[tuple[np.ndarray, ...]]:
-    """Query, vector and exact score of each query's k nearest in the lists it asks for here."""
-    lists, ids, vectors = held
+    """Query, vector, its number and exact score of each query's k nearest in the lists it asks for here."""
+    lists, ids, row_numbers, vectors = held
     numbers, starts = np.unique(lists, return_index=True)
     ends = np.append(starts[1:], len(lists))
     asked = np.array([np.isin(numbers, p) for p in probes])
@@ -264,13 +265,12 @@ def _nearest(held: list[np.ndarray], query_ids: np.ndarray, queries: np.ndarray,
         least = np.partition(rough[i], len(ids) - most)[len(ids) - most] - slack[i] if len(ids) > most else -np.inf
         some = np.flatnonzero((rough[i] >= least) & (rough[i] > -np.inf))
         exact = _products(vectors[some], queries[i])
-        order = np.lexsort((exact, ids[some]))  # copies of one row are alike in id and score
-        some, exact = some[order], exact[order]
-        fresh = np.concatenate(([True], (np.diff(ids[some]) != 0) | (np.diff(exact) != 0)))[: len(some)]
+        # One row posted to several lists counts once; repeated rows have numbers of their own.
+        _, fresh = np.unique(row_numbers[some], return_index=True)
         some, exact = some[fresh], exact[fresh]
         kept = best(exact, ids[some], k)
         if len(kept):
-            out.append((np.full(len(kept), query), ids[some][kept], exact[kept]))
+            out.append((np.full(len(kept), query), ids[some][kept], row_numbers[some][kept], exact[kept]))
     return out
 
 

@@ -1,7 +1,10 @@
 """Exact and approximate vector search against brute force."""
 
+from collections import Counter
+
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from stallkeep.llm import ann, topk
 
@@ -96,6 +99,26 @@ def test_ann_recall_and_scores(spark, points):
     assert index.postings.count() >= len(points) + 2
 
 
+def test_ann_repeated_rows_are_candidates_each(spark):
+    """A row repeated more often than k, alone and among others: every other candidate keeps its place."""
+    rng = np.random.default_rng(9)
+    points = [(i, rng.normal(size=6).tolist()) for i in range(40)] + [(77, rng.normal(size=6).tolist())] * 100
+    vectors = frame(spark, points)
+    for queries, k in (([0, 20], 20), ([0, 20], 120), ([77], 20)):
+        found = rows(ann.search(ann.build(vectors), vectors.filter(F.col("id").isin(queries)).dropDuplicates(["id"]), k))
+        wanted = []
+        for q in queries:
+            own = dict(points)[q]
+            ranked = sorted(((dot(own, v), i) for i, v in points if i != q), key=lambda x: (-x[0], x[1]))[:k]
+            wanted += [(q, n, i) for n, (_, i) in enumerate(ranked, 1)]
+        assert len(found) == len(wanted)
+        for q in queries:
+            got, best = (Counter(f[2] for f in some if f[0] == q) for some in (found, wanted))
+            assert q not in got and (got & best).total() >= 0.85 * best.total()
+            # Either no copy is near enough, or as many as there are places.
+            assert got[77] == best[77]
+
+
 def test_ann_of_few_and_none(spark):
     vectors = spark.createDataFrame([(1, [1.0], 0, ""), (2, [2.0], 0, "")], SCHEMA)
     assert rows(ann.search(ann.build(vectors), vectors, 20)) == [(1, 1, 2, 2.0), (2, 1, 1, 2.0)]
