@@ -34,7 +34,7 @@ def test_against_sql(spark, name):
     assert sorted(map(tuple, found.collect()), key=repr) == sorted(relation.fetchall(), key=repr)
 
 
-@pytest.mark.parametrize("name", ["op4_packing", "op5_id_file", "op8_pieces", "op9_near_dedup", "op1_main_text"])
+@pytest.mark.parametrize("name", ["op4_packing", "op5_id_file", "op8_pieces", "op9_near_dedup", "op1_main_text", "op13_personal_data"])
 def test_every_row_has_its_result(spark, name):
     source, key = ("pages", "page_id") if name == "op1_main_text" else ("documents", "doc_id")
     wanted = spark.read.parquet(f"{SF_DIR}/{source}.parquet").select(key).distinct()
