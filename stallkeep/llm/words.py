@@ -6,7 +6,7 @@ from collections.abc import Sequence
 
 import numpy as np
 
-_STEP = 0x9E3779B97F4A7C15  # odd, so that powers of it have inverses
+_STEP = 0x9E3779B97F4A7C15
 _U = np.uint64
 
 # Bytes of ASCII that are neither letters nor digits part words.
@@ -16,19 +16,15 @@ _PARTS = bytes(b if b >= 128 or chr(b).isalnum() else 32 for b in range(256))
 class Words:
     """64-bit hashes of lower-cased words, alike in every process.
 
-    A word is a run of letters, digits and characters beyond ASCII.
+    A word is a run of letters, digits and characters beyond ASCII. Its hash sums
+    a random factor for each byte times a random factor for its place, so that
+    regular words meet no more often than others.
     """
 
     def __init__(self, window: int = 1 << 20):
         self._code = np.random.default_rng(9).integers(1, 1 << 63, 256, dtype=_U)
-        self._grow(window)
-
-    def _grow(self, size: int) -> None:
-        steps = np.full(size, _STEP, _U)
-        steps[0] = 1
-        self._power = np.cumprod(steps, dtype=_U)
-        steps[1:] = pow(_STEP, -1, 1 << 64)
-        self._inverse = np.cumprod(steps, dtype=_U)
+        self._most = window
+        self._place = places(1 << 8)
 
     def hashes(self, texts: Sequence[str | None]) -> list[np.ndarray]:
         """One array of word hashes per text, in text order; a null text has none."""
@@ -37,11 +33,9 @@ class Words:
         size = 0
         for text in texts:
             raw = (text or "").lower().encode().translate(_PARTS) + b" "
-            if held and size + len(raw) > len(self._power):
+            if held and size + len(raw) > self._most:
                 out += self._window(held)
                 held, size = [], 0
-            if len(raw) > len(self._power):
-                self._grow(1 << len(raw).bit_length())
             held.append(raw)
             size += len(raw)
         return out + (self._window(held) if held else [])
@@ -51,11 +45,21 @@ class Words:
         word = data != 32
         change = np.flatnonzero(np.diff(word, prepend=False))
         starts, ends = change[::2], change[1::2]  # every text ends in a space
-        sums = np.concatenate(([_U(0)], np.cumsum(self._code[data] * self._power[: len(data)], dtype=_U)))
-        found = mixed((sums[ends] - sums[starts]) * self._inverse[starts] + (ends - starts).astype(_U))
+        sizes = ends - starts
+        if len(sizes) and sizes.max() > len(self._place):
+            self._place = places(1 << int(sizes.max()).bit_length())
+        total = np.cumsum(sizes)
+        at = np.arange(total[-1] if len(total) else 0) - np.repeat(total - sizes, sizes)
+        sums = np.concatenate(([_U(0)], np.cumsum(self._code[data[word]] * self._place[at], dtype=_U)))
+        found = mixed(sums[total] - sums[total - sizes] + sizes.astype(_U))
         return np.split(found, np.searchsorted(starts, np.cumsum([len(r) for r in raw])[:-1]))
 
 
+def places(size: int) -> np.ndarray:
+    """A random factor for each place in a word; a longer table begins with the shorter one."""
+    return mixed(np.arange(1, size + 1, dtype=_U) * _U(_STEP))
+
+
 def mixed(x: np.ndarray) -> np.ndarray:
     """A 64-bit finish that spreads every bit."""
     x = (x ^ (x >> _U(30))) * _U(0xBF58476D1CE4E5B9)

@@ -7,9 +7,10 @@ import zlib
 import numpy as np
 import pytest
 
-from stallkeep.llm import chat, idcoder, idfile, packing
-from stallkeep.llm.queries import BYTE_BPE
+from stallkeep.llm import chat, idcoder, idfile, packing, pieces
+from stallkeep.llm.queries import BYTE_BPE, PIECES
 from stallkeep.llm.tokens import ByteBpe
+from stallkeep.llm.words import Words
 
 DOCS = "doc_id long, text string, extra string, start long, sequence_id string"
 ODD = [None, "", " ", "a  b", "\n\nx", "tail \n\n", "a\n\nb\n\n\nc", "it's <|endoftext|> \x00", "漢字　é", "word " * 3000, "#" * 5000, "same", "same"]
@@ -33,6 +34,36 @@ def test_known_words_give_the_tokenizers_ids():
     assert encoder.encode(texts) == encoder.whole(texts)
 
 
+def thue_morse(size):
+    """Two words that every polynomial modulo a power of two takes for one."""
+    bits = [bin(k).count("1") & 1 for k in range(size)]
+    return "".join("ab"[b] for b in bits), "".join("ba"[b] for b in bits)
+
+
+def test_words_that_polynomial_hashes_confuse():
+    words = list(thue_morse(1024))
+    encoder = ByteBpe(BYTE_BPE)
+    found = encoder.encode(words)
+    assert found[0] != found[1] and found == encoder.whole(words)
+    segmenter = pieces.Segmenter(PIECES)
+    ids = [best[0][1] for best in segmenter.nbest(words, 1)]
+    assert [segmenter.lattice.model.decode(np.frombuffer(i, "<u4").tolist()) for i in ids] == words
+    one, other = Words().hashes(words)
+    assert one != other
+
+
+def test_words_of_one_hash_are_kept_apart():
+    class Poor(ByteBpe):
+        def _hashes(self, data, starts, sizes, at):
+            return (super()._hashes(data, starts, sizes, at) >> np.uint64(60)) | np.uint64(1)
+
+    rng = random.Random(5)
+    texts = [" ".join("".join(rng.choices("abc", k=rng.randint(1, 4))) for _ in range(rng.randint(0, 6))) for _ in range(400)]
+    for known in (20, 100_000):
+        encoder = Poor(BYTE_BPE, known_words=known)
+        assert [encoder.encode(texts[k : k + 50]) for k in range(0, 400, 50)] == [encoder.whole(texts[k : k + 50]) for k in range(0, 400, 50)]
+
+
 def test_pack_histogram_places_every_piece_once():
     rng = random.Random(2)
     for _ in range(50):
