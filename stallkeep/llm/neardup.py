@@ -1,10 +1,11 @@
 """Near-duplicate documents by Order MinHash and banded alignment.
 
-Exact copies collapse first. Every different text gives ``SKETCHES`` sketches:
-of its five-word runs, labelled by how often each occurred before, the two of
-least hash, in the order in which the text has them. Texts that share a sketch
-and may be of like length fall into one bucket, and every link between two texts
-of a bucket is found, by itself or as a chain of links. Buckets are settled in
+Every text gives ``SKETCHES`` sketches: of its runs of ``RUN`` words, labelled by
+how often each occurred before, the two of least hash, in the order in which the
+text has them. Sketches are taken in one pass that also hashes the text, so texts
+stay where they are; exact copies then collapse, and only texts that share a
+sketch with another are read again for alignment. Texts that share a sketch fall
+into one bucket, and every link between two texts of a bucket is found, by itself or as a chain of links. Buckets are settled in
 rounds: all texts of a bucket are held against its hubs, one of them in the first
 round and ``HUBS`` times as many in each later one; hubs and what is linked to one
 leave, and the rest goes on until every text was a hub or left. A text that
@@ -15,9 +16,12 @@ similarity of the words (1 - distance / longer length) of ``SIMILARITY`` or more
 found by aligning inside the band that this allows. Classes are the connected
 parts of the links.
 
-Two texts of shingle similarity J share one sketch with probability about J**2:
-with 24 sketches a link of J = 0.8 is missed with 2e-11, one of J = 0.6 with
-2e-5, one of J = 0.4 with 0.015.
+Two texts whose runs have similarity J share one sketch with probability about
+J**2. Edits scattered over a text break most runs: with a share e of the words
+replaced, J is about q / (2 - q), q = (1 - e)**RUN. At e = 0.2, the least that
+links, J is 0.34 for runs of three words and a link is missed with 0.02 (0.1 in
+five-word runs, where it would be missed with 0.6); at five-word shingle
+similarity 0.8 a miss is below 1e-14.
 """
 
 from __future__ import annotations
@@ -33,9 +37,10 @@ from pyspark.sql import functions as F
 
 from stallkeep.llm.common import batch_of, weighed, written
 from stallkeep.llm.words import Words, mixed, shingles
+from stallkeep.operators.joins import spread_join
 
-RUN = 5
-SKETCHES = 24
+RUN = 3
+SKETCHES = 32
 SIMILARITY = 0.8
 HUBS = 16
 FAR, NEAR, LINKED = 0, 1, 2
@@ -125,10 +130,13 @@ def relation(hub: np.ndarray, text: np.ndarray) -> int:
     (va, na), (vb, nb) = (np.unique(x, return_counts=True) for x in (hub, text))
     _, at_a, at_b = np.intersect1d(va, vb, assume_unique=True, return_indices=True)
     apart = max(len(hub), len(text)) - np.minimum(na[at_a], nb[at_b]).sum()
-    # The longest text that may be linked to both, and what it may be away from each.
-    most = min(len(hub), len(text)) / SIMILARITY
-    reach = (1 - SIMILARITY) * (max(most, len(hub)) + max(most, len(text)))
-    return NEAR if apart <= reach + 1e-6 else FAR
+    return NEAR if apart <= _reach(len(hub), len(text)) + 1e-6 else FAR
+
+
+def _reach(one: int, other: int) -> float:
+    """How far apart two texts of these lengths may be if a third is linked to both."""
+    most = min(one, other) / SIMILARITY  # the longest such text
+    return (1 - SIMILARITY) * (max(most, one) + max(most, other))
 
 
 def _increasing(values: np.ndarray) -> np.ndarray:
@@ -191,27 +199,50 @@ def _banded(a: np.ndarray, b: np.ndarray, most: int) -> int:
     return most + 1
 
 
-def _sketched(texts: DataFrame) -> DataFrame:
-    """Bucket keys of (node, text) rows, and the words of each text in little-endian 64-bit hashes."""
-    fields = pa.schema([("node", pa.int64()), ("buckets", pa.list_(pa.int64())), ("words", pa.binary())])
+TEXT = "struct<node:long,part:int,words:int>"  # names a text: its doc_id, which of that one's texts, its length in words
+
+
+def _signed(documents: DataFrame) -> DataFrame:
+    """doc_id, md5 of the text and sketches of every row; the texts stay behind."""
+    fields = pa.schema([("doc_id", pa.int64()), ("key", pa.binary()), ("words", pa.int32()), ("buckets", pa.list_(pa.int64()))])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        reader = Words()
+        for batch in weighed(batches, 2, 2_000_000):
+            words = reader.hashes(batch.column(2).to_pylist())
+            buckets = [order_minhash(w).view(np.int64) for w in words]
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array([len(w) for w in words], pa.int32()), pa.array(buckets, fields.types[3])], schema=fields)
+
+    return _texts(documents).mapInArrow(run, "doc_id long, key binary, words int, buckets array<long>")
+
+
+def _texts(documents: DataFrame) -> DataFrame:
+    text = F.col("text").cast("string")
+    return documents.select(F.col("doc_id").cast("long"), _key(text).alias("key"), text.alias("text"))
+
+
+def _words(documents: DataFrame, wanted: DataFrame) -> DataFrame:
+    """text and the words, in little-endian 32-bit hashes, of the wanted (doc_id, key, text)."""
+    held = spread_join(_texts(documents), wanted.withColumnRenamed("text", "name"), ["doc_id", "key"], "inner")
+    named = held.select(F.col("name").alias("text"), F.col("text").alias("raw"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         reader = Words()
         for batch in weighed(batches, 1, 2_000_000):
-            rows = []
-            for node, words in zip(batch.column(0).to_pylist(), reader.hashes(batch.column(1).to_pylist()), strict=True):
-                # Lengths whose ratio allows a link lie in the same class or the next.
-                band = int(np.log(max(1, len(words))) / -np.log(SIMILARITY))
-                found = order_minhash(words)
-                keys = np.concatenate([mixed(found + _U(band + k)) for k in (0, 1)]).view(np.int64)
-                rows.append((node, keys, (words >> _U(32)).astype("<u4").tobytes()))
-            yield batch_of(fields, zip(*rows, strict=True))
+            found = [(w >> _U(32)).astype("<u4").tobytes() for w in reader.hashes(batch.column(1).to_pylist())]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, pa.binary())], names=["text", "words"])
 
-    return texts.mapInArrow(run, "node long, buckets array<long>, words binary")
+    # Rows of a document may be repeated in full.
+    return named.mapInArrow(run, f"text {TEXT}, words binary").dropDuplicates(["text"])
 
 
 def _related(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     """The (a, b) pairs of texts that are NEAR or LINKED, with their relation."""
+    one, other = F.col("a.words"), F.col("b.words")
+    most = F.least(one, other) / SIMILARITY
+    reach = (1 - SIMILARITY) * (F.greatest(most, one) + F.greatest(most, other))
+    # Lengths alone tell that some are FAR.
+    pairs = pairs.filter(F.abs(one - other) <= reach + 1e-6)
     held = pairs.join(texts.toDF("a", "words_a"), "a").join(texts.toDF("b", "words_b"), "b")
 
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -221,26 +252,33 @@ def _related(pairs: DataFrame, texts: DataFrame) -> DataFrame:
             new = pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b"), found], names=["a", "b", "relation"])
             yield new.filter(pc.greater(found, FAR))
 
-    kind = "struct<node:long,part:long>"
-    return written(held.mapInArrow(verify, f"a {kind}, b {kind}, relation int"), "related")
+    return written(held.mapInArrow(verify, f"a {TEXT}, b {TEXT}, relation int"), "related")
 
 
 def _ordered(one: str, other: str) -> list[Column]:
     return [F.least(one, other).alias("a"), F.greatest(one, other).alias("b")]
 
 
-def _roots(sketched: DataFrame, known: DataFrame) -> DataFrame:
-    """node and root of the nodes that have a link, ``known`` links (a, b) among them."""
-    # A node has several texts if a doc_id has.
-    rows = sketched.select(F.struct("node", F.xxhash64("words").alias("part")).alias("text"), "words", "buckets")
-    texts = rows.select("text", "words")
-    members = rows.select("text", F.explode("buckets").alias("bucket"))
+def _roots(documents: DataFrame, sketched: DataFrame, known: DataFrame) -> DataFrame:
+    """node and root of the nodes that have a link, ``known`` links (a, b) among them.
+
+    sketched: text, key and buckets, one row for each different text of a node.
+    """
+    # Most sketches are one text's own; they are told by their hashes alone.
+    rows = sketched.select("text", F.explode("buckets").alias("bucket"))
+    shared = rows.select("bucket").groupBy("bucket").agg(F.count("*").alias("n")).filter("n > 1").select("bucket")
+    shared = written(shared, "shared")
+    members = written(spread_join(rows, shared, ["bucket"], "inner").select("bucket", "text"), "members")
+    involved = members.select("text").distinct()
+    wanted = written(sketched.select("text", "key").join(involved, "text").select(F.col("text.node").alias("doc_id"), "key", "text"), "wanted")
+    texts = written(_words(documents, wanted), "words")
     links, near, left = known.select("a", "b"), None, None
     hubs = 1
     while True:
-        # Of buckets with the same texts one stays.
-        chance = F.xxhash64("text", "bucket", F.lit(hubs))
+        # A text is a hub in all its buckets alike, so that near copies meet few hubs.
+        chance = F.pmod(F.xxhash64("text", F.lit(hubs)), F.lit(1 << 40))
         marks = [F.bit_xor(F.xxhash64("text", F.lit(k))).alias(f"m{k}") for k in (0, 1)]
+        # Of buckets with the same texts one stays.
         stats = members.groupBy("bucket").agg(F.count("*").alias("n"), *marks, F.min(F.struct(chance.alias("h"), "text")).alias("least"))
         stats = stats.filter("n > 1").groupBy("n", "m0", "m1").agg(F.min(F.struct("bucket", F.col("least.text").alias("least"))).alias("x"))
         members = written(members.join(stats.select("x.*", "n"), "bucket"), "members")
@@ -250,7 +288,7 @@ def _roots(sketched: DataFrame, known: DataFrame) -> DataFrame:
         if hubs == 1:
             held = members.select("bucket", F.col("least").alias("hub"), "text").filter("text != hub")
         else:
-            is_hub |= F.pmod(chance, F.col("n")) < hubs
+            is_hub |= chance < F.lit(float(hubs << 40)) / F.col("n")
             some = members.filter(is_hub).select("bucket", F.col("text").alias("hub"))
             held = written(members.select("bucket", "text").join(some, "bucket").filter("text != hub"), "held")
         related = _related(written(held.select(*_ordered("hub", "text")).distinct(), "candidates"), texts)
@@ -316,37 +354,47 @@ def near_duplicates(documents: DataFrame) -> DataFrame:
 def first_of_each(documents: DataFrame) -> DataFrame:
     """One row of documents for every class of near-duplicates: that of the least doc_id.
 
-    All columns stay. Of rows alike in doc_id and text one stays, of one doc_id
-    with several texts the text of least md5. Rows without a doc_id stay once per
-    text that no row with a doc_id is like.
+    All columns stay, whatever their names. Of rows alike in doc_id and text one
+    stays, of one doc_id with several texts the text of least md5. Rows without a
+    doc_id stay once per text that no row with a doc_id is like.
     """
     keyed, classes = _classes(documents)
-    heads = keyed.join(classes, "key").filter("doc_id <=> class_id")
-    group = F.when(F.col("class_id").isNull(), F.col("key")).otherwise(F.col("class_id").cast("string"))
-    heads = heads.groupBy(group.alias("g"), "doc_id").agg(F.min("key").alias("_key")).select(F.col("doc_id").alias("_doc"), "_key")
-    named = documents.withColumn("_key_of", _key(F.col("text")))
-    held = named.join(heads, (F.col("_key_of") == F.col("_key")) & F.col("doc_id").cast("long").eqNullSafe(F.col("_doc")))
-    once = Window.partitionBy("_key", "_doc").orderBy(F.xxhash64(*[F.col(f"`{c}`") for c in documents.columns]))
-    return held.withColumn("_n", F.row_number().over(once)).filter("_n = 1").select(*[F.col(f"`{c}`") for c in documents.columns])
+    heads = keyed.groupBy("doc_id", "key").agg(F.count("*").alias("copies")).join(classes, "key").filter("doc_id <=> class_id")
+    alone = F.when(F.col("class_id").isNull(), F.col("key"))
+    heads = heads.groupBy(alone.alias("alone"), "class_id").agg(F.min(F.struct("key", "copies")).alias("head"))
+    # A column without nulls, so that rows without a doc_id meet their head too.
+    heads = written(heads.select(_id(F.col("class_id")).alias("id"), "head.key", "head.copies"), "heads")
+    rows = documents.select(F.struct(*[F.col(f"`{c}`") for c in documents.columns]).alias("row"))
+    rows = rows.select(_id(F.col("row.doc_id").cast("long")).alias("id"), _key(F.col("row.text").cast("string")).alias("key"), "row")
+    single = spread_join(rows, heads.filter("copies = 1"), ["id", "key"], "inner").select("row")
+    # Only rows that repeat a document in full are moved to choose one.
+    again = spread_join(rows, heads.filter("copies > 1"), ["id", "key"], "inner")
+    first = again.groupBy("id", "key").agg(F.min_by("row", F.xxhash64("row")).alias("row"))
+    return single.unionByName(first.select("row")).select(*[F.col(f"row.`{c}`") for c in documents.columns])
+
+
+def _id(doc_id: Column) -> Column:
+    return F.coalesce(doc_id.cast("string"), F.lit(""))
 
 
 def _key(text: Column) -> Column:
-    return F.md5(F.coalesce(text.cast("string"), F.lit("")))
+    return F.unhex(F.md5(F.coalesce(text, F.lit(""))))
 
 
 def _classes(documents: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(doc_id, key) of every row, and the class of every key: a key stands for one text."""
-    texts = documents.select(F.col("doc_id").cast("long"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
-    keyed = texts.select("doc_id", _key(F.col("text")).alias("key"))
+    signed = written(_signed(documents), "signed")
+    keyed = signed.select("doc_id", "key")
     first = written(keyed.groupBy("key").agg(F.min("doc_id").alias("node")), "texts")
-    # The row with its least doc_id carries the text of a node on. The join is by
-    # doc_id as well, so that the texts of many copies do not meet in one task.
-    least = first.filter("node is not null").select("key", "node", F.col("node").alias("doc_id"))
-    named = texts.withColumn("key", _key(F.col("text"))).join(least, ["doc_id", "key"])
-    sketched = written(_sketched(named.select("node", "text")).dropDuplicates(["node", "words"]), "sketches")
+    # The row with its least doc_id stands for a text.
+    part = F.row_number().over(Window.partitionBy("doc_id").orderBy("key"))
+    least = first.filter("node is not null").select("key", F.col("node").alias("doc_id")).withColumn("part", part)
+    sketched = signed.join(least, ["doc_id", "key"]).dropDuplicates(["doc_id", "key"])
+    name = F.struct(F.col("doc_id").alias("node"), "part", "words").cast(TEXT)
+    sketched = written(sketched.select(name.alias("text"), "key", "buckets"), "sketches")
     # Rows of one doc_id with different texts are one document.
     again = keyed.join(first, "key").filter("doc_id != node").select(F.col("doc_id").alias("a"), F.col("node").alias("b"))
     heads = first.filter("node is not null").select("node").distinct()
     clash = again.join(heads, again["a"] == heads["node"], "left_semi")
-    roots = _roots(sketched, clash)
+    roots = _roots(documents, sketched, clash)
     return keyed, first.join(roots, "node", "left").select("key", F.coalesce("root", "node").alias("class_id"))

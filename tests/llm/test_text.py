@@ -178,7 +178,8 @@ def test_near_duplicates_against_brute_force(spark):
     docs = [(k, " ".join(t)) for k, t in enumerate(texts)]
     docs += [(900 + k, docs[200][1]) for k in range(100)] + [(2000, None), (2001, ""), (2002, "!"), (2003, "?"), (2004, "!"), (None, docs[0][1]), (None, "nothing like it")]
     docs += [(3000, "first text of a repeated id"), (3000, "another text which is far from it"), (5, docs[5][1])]
-    frame = spark.createDataFrame([(d, t, 1, "k") for d, t in docs], "doc_id long, text string, node int, key string")
+    clashing = ["node", "key", "_key", "_doc", "_key_of", "_n", "row", "id", "h", "copies", "a.b"]
+    frame = spark.createDataFrame([(d, t, *clashing) for d, t in docs], ["doc_id", "text", *clashing])
     words = Words().hashes([t for _, t in docs])
     root = {d: d for d, _ in docs if d is not None}
 
@@ -200,9 +201,41 @@ def test_near_duplicates_against_brute_force(spark):
     kept = neardup.first_of_each(frame)
     assert kept.columns == frame.columns
     left = [r.doc_id for r in kept.collect()]
+    assert all(tuple(r)[2:] == tuple(clashing) for r in kept.collect())
     assert sorted(left, key=str) == sorted([d for d in root if find(d) == d] + [None], key=str)
 
 
+def replaced(rng, words, count):
+    """words with others, found nowhere else, at ``count`` scattered places."""
+    words = list(words)
+    for at in rng.sample(range(len(words)), count):
+        words[at] = f"new{rng.randrange(1 << 40)}"
+    return words
+
+
+@pytest.mark.parametrize("similarity, least", [(0.8, 0.95), (0.82, 0.97), (0.85, 0.99), (0.9, 0.999)])
+def test_recall_of_scattered_edits(similarity, least):
+    rng = random.Random(12)
+    found = 0
+    for _ in range(400):
+        text = [f"w{rng.randrange(20000)}" for _ in range(200)]
+        one, other = Words().hashes([" ".join(text), " ".join(replaced(rng, text, round(200 * (1 - similarity))))])
+        assert neardup.linked(one, other)
+        found += bool(set(neardup.order_minhash(one).tolist()) & set(neardup.order_minhash(other).tolist()))
+    assert found >= least * 400, found
+
+
+def test_scattered_edits_and_confusing_words(spark):
+    rng = random.Random(13)
+    texts = [[f"w{rng.randrange(20000)}" for _ in range(200)] for _ in range(60)]
+    rows = [(k, " ".join(t)) for k, t in enumerate(texts)] + [(100 + k, " ".join(replaced(rng, t, 36))) for k, t in enumerate(texts)]
+    bits = [bin(k).count("1") & 1 for k in range(2048)]
+    rows += [(500 + k, "".join(pair[b] for b in bits)) for k, pair in enumerate(("ab", "ba"))]
+    found = dict(map(tuple, neardup.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()))
+    assert sum(found[100 + k] == k for k in range(60)) >= 57
+    assert found[500] == 500 and found[501] == 501
+
+
 def test_near_duplicates_in_large_buckets_of_unlike_texts(spark):
     # Most texts share a passage and are unlike; pairs among them are alike at just above 0.8.
     rng = random.Random(9)
