@@ -28,6 +28,7 @@ from __future__ import annotations
 
 from bisect import bisect_left
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -44,6 +45,7 @@ SKETCHES = 32
 SIMILARITY = 0.8
 HUBS = 16
 FAR, NEAR, LINKED = 0, 1, 2
+FOLDS = 1024  # classes of words in a quick bound, a power of two
 
 _U = np.uint64
 _SEEDS = np.random.default_rng(24).integers(1, 1 << 63, SKETCHES, dtype=_U) | _U(1)
@@ -133,6 +135,23 @@ def relation(hub: np.ndarray, text: np.ndarray) -> int:
     return NEAR if apart <= _reach(len(hub), len(text)) + 1e-6 else FAR
 
 
+def _folded(raw: bytes) -> tuple[np.ndarray, np.ndarray]:
+    """The words of a text and how many fall into each of FOLDS classes of words."""
+    words = np.frombuffer(raw, "<u4")
+    return words, np.bincount(words & np.uint32(FOLDS - 1), minlength=FOLDS).astype(np.int32)
+
+
+def _quick_relation(one: tuple[np.ndarray, np.ndarray], other: tuple[np.ndarray, np.ndarray]) -> int:
+    """``relation``, where classes of words do not already tell that the texts are FAR.
+
+    Texts have at least as much in common by classes as by words, so what they
+    are apart by classes bounds what they are apart by words from below.
+    """
+    (a, x), (b, y) = one, other
+    apart = max(len(a), len(b)) - int(np.minimum(x, y).sum())
+    return FAR if apart > _reach(len(a), len(b)) + 1e-6 else relation(a, b)
+
+
 def _reach(one: int, other: int) -> float:
     """How far apart two texts of these lengths may be if a third is linked to both."""
     most = min(one, other) / SIMILARITY  # the longest such text
@@ -243,12 +262,16 @@ def _related(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     reach = (1 - SIMILARITY) * (F.greatest(most, one) + F.greatest(most, other))
     # Lengths alone tell that some are FAR.
     pairs = pairs.filter(F.abs(one - other) <= reach + 1e-6)
-    held = pairs.join(texts.toDF("a", "words_a"), "a").join(texts.toDF("b", "words_b"), "b")
+    # Pairs are few bytes and much work, so they are dealt out by number, not by size.
+    pairs = pairs.repartition(int(pairs.sparkSession.conf.get("spark.sql.shuffle.partitions")), "a", "b")
+    held = spread_join(pairs, texts.toDF("a", "words_a"), ["a"], "inner")
+    held = spread_join(held, texts.toDF("b", "words_b"), ["b"], "inner", hot_from=pairs)
 
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = lru_cache(maxsize=2_000)(_folded)
         for batch in batches:
-            words = ([np.frombuffer(w, "<u4") for w in batch.column(c).to_pylist()] for c in ("words_a", "words_b"))
-            found = pa.array([relation(x, y) for x, y in zip(*words, strict=True)], pa.int32())
+            words = (batch.column(c).to_pylist() for c in ("words_a", "words_b"))
+            found = pa.array([_quick_relation(known(x), known(y)) for x, y in zip(*words, strict=True)], pa.int32())
             new = pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b"), found], names=["a", "b", "relation"])
             yield new.filter(pc.greater(found, FAR))
 

@@ -274,6 +274,7 @@ def test_relation_far_leaves_no_text_between():
         b = edited(rng, middle, rng.randint(0, 6), range(40))
         a, middle, b = (np.array(x, np.uint32) for x in (a, middle, b))
         found = neardup.relation(a, b)
+        assert neardup._quick_relation(neardup._folded(a.tobytes()), neardup._folded(b.tobytes())) == found
         seen.add(found)
         assert (found == neardup.LINKED) == neardup.linked(a, b)
         assert found != neardup.FAR or not (neardup.linked(a, middle) and neardup.linked(middle, b))
