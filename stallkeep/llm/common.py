@@ -29,6 +29,14 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def free_name(df: DataFrame, name: str) -> str:
+    """``name``, after as many underscores as it takes to be none of df's columns."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name = "_" + name
+    return name
+
+
 def crc32_of(column: Column) -> Column:
     """crc32 of a number written as text."""
     return F.crc32(column.cast("string").cast("binary"))

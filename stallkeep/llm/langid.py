@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from stallkeep.llm.common import batch_of, weighed, written
+from stallkeep.llm.common import batch_of, free_name, weighed, written
 from stallkeep.llm.words import mixed
 
 UNKNOWN = "und"
@@ -163,16 +163,21 @@ def fit(documents: DataFrame, settings: Settings = Settings(), sample_documents:
     return Model(languages, masks, np.minimum(np.array(fill) ** settings.hashes, 0.99), settings)
 
 
-def identified(documents: DataFrame, model: Model) -> DataFrame:
-    """All columns of documents, ``lang_pred`` and ``lang_score``; texts are read whole."""
+def identified(documents: DataFrame, model: Model, added: tuple[str, str] = ("lang_pred", "lang_score")) -> DataFrame:
+    """All columns of documents and the two ``added``, language and score; texts are read whole.
+
+    Names that documents has already are refused.
+    """
     names = documents.columns
-    at = names.index("text")
+    if any(free_name(documents, name) != name for name in added):
+        raise ValueError(f"documents has a column among {', '.join(added)}")
+    at = [n.lower() for n in names].index("text")
     shared = documents.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in weighed(batches, at, 1_000_000):
             lang, score = shared.value.predict(batch.column(at).to_pylist())
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(lang, pa.string()), pa.array(score)], names=[*names, "lang_pred", "lang_score"])
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(lang, pa.string()), pa.array(score)], names=[*names, *added])
 
-    schema = T.StructType([*documents.schema.fields, T.StructField("lang_pred", T.StringType()), T.StructField("lang_score", T.DoubleType())])
+    schema = T.StructType([*documents.schema.fields, T.StructField(added[0], T.StringType()), T.StructField(added[1], T.DoubleType())])
     return documents.mapInArrow(run, schema)

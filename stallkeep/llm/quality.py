@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from stallkeep.llm.common import weighed
+from stallkeep.llm.common import free_name, weighed
 
 FEATURES = (
     "log_bytes", "letters", "capitals", "digits", "marks", "spaces", "word_length", "distinct_words",
@@ -227,16 +227,21 @@ def fit(documents: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS,
     return boost(values, rows.column("label").to_numpy().astype(np.float64), settings)
 
 
-def scored(documents: DataFrame, model: Model) -> DataFrame:
-    """All columns of documents and ``quality_score``, the probability of label 1; the text is scored whole."""
+def scored(documents: DataFrame, model: Model, name: str = "quality_score") -> DataFrame:
+    """All columns of documents and ``name``, the probability of label 1; the text is scored whole.
+
+    A name that documents has already is refused.
+    """
     names = documents.columns
-    at = names.index("text")
+    if free_name(documents, name) != name:
+        raise ValueError(f"documents has a column {name}")
+    at = [n.lower() for n in names].index("text")
     shared = documents.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in weighed(batches, at, 2_000_000):
             score = shared.value.score(_table(batch.column(at).to_pylist()))
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(score)], names=[*names, "quality_score"])
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(score)], names=[*names, name])
 
-    schema = T.StructType([*documents.schema.fields, T.StructField("quality_score", T.DoubleType())])
+    schema = T.StructType([*documents.schema.fields, T.StructField(name, T.DoubleType())])
     return documents.mapInArrow(run, schema)

@@ -6,6 +6,7 @@ import numpy as np
 import pytest
 
 from stallkeep.llm import langid, neardup, pages, pieces, quality
+from stallkeep.llm.common import free_name
 from stallkeep.llm.queries import PIECES
 from stallkeep.llm.words import Words
 
@@ -92,6 +93,10 @@ def test_quality_learns_and_scores_everything(spark):
     assert {round(r.quality_score, 3) for r in quality.scored(docs, one).collect()} == {0.999}
     assert {r.quality_score for r in quality.scored(docs, none).collect()} == {0.5}
     assert quality.scored(docs.limit(0), model).count() == 0
+    clashing = docs.withColumnsRenamed({"score": "quality_score", "text": "Text"})
+    with pytest.raises(ValueError):
+        quality.scored(clashing, model)
+    assert quality.scored(clashing, model, free_name(clashing, "quality_score")).count() == docs.count()
 
 
 def test_pairs_find_what_single_features_miss():
@@ -122,6 +127,9 @@ def test_language_of_odd_and_plain_texts(spark):
     empty = langid.fit(frame.limit(0))
     assert empty.predict(["any", None])[0] == ["und", "und"]
     assert langid.identified(frame.limit(0).drop("lang_score"), model).count() == 0
+    with pytest.raises(ValueError):
+        langid.identified(frame, model)
+    assert langid.identified(frame, model, ("lang_pred", free_name(frame, "lang_score"))).count() == frame.count()
 
 
 def test_bloom_false_positives_are_taken_off():
