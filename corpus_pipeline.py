@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stallkeep.llm import langid, neardup, packing, quality
-from stallkeep.llm.common import table, written
+from stallkeep.llm.common import free_name, table, written
 from stallkeep.llm.queries import BYTE_BPE, QUALITY_CUT, language_model, quality_model
 
 # A text of at least this many characters is refused if less than this share of
@@ -17,15 +17,17 @@ LANGUAGE_CUT = 0.2
 
 def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose quality score reaches the cut."""
-    scored = quality.scored(docs, quality_model(spark, sf_dir))
-    return scored.filter(F.col("quality_score") >= QUALITY_CUT).select(*_columns(docs))
+    score = free_name(docs, "quality_score")
+    scored = quality.scored(docs, quality_model(spark, sf_dir), score)
+    return scored.filter(F.col(score) >= QUALITY_CUT).select(*_columns(docs))
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents in a known language: with letters, and not foreign to every language learnt."""
-    found = langid.identified(docs, language_model(spark, sf_dir))
-    foreign = (F.length("text") >= LANGUAGE_CHARS) & (F.col("lang_score") < LANGUAGE_CUT)
-    return found.filter((F.col("lang_pred") != langid.UNKNOWN) & ~foreign).select(*_columns(docs))
+    lang, score = free_name(docs, "lang_pred"), free_name(docs, "lang_score")
+    found = langid.identified(docs, language_model(spark, sf_dir), (lang, score))
+    foreign = (F.length("text") >= LANGUAGE_CHARS) & (F.col(score) < LANGUAGE_CUT)
+    return found.filter((F.col(lang) != langid.UNKNOWN) & ~foreign).select(*_columns(docs))
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
