@@ -88,7 +88,8 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
     if not _MARK.search(text):
         return out
     for m in _IP.finditer(text):
-        if m[2] is not None and all(len(p.lstrip("0")) < 4 and int(p) <= 255 for p in m.groups()):
+        # Zeros in front count nothing, and int refuses thousands of digits.
+        if m[2] is not None and all(len(p) < 4 and int(p or "0") <= 255 for p in (g.lstrip("0") for g in m.groups())):
             out.append((IP, m.start(), m.end()))
     for m in _CARD.finditer(text):
         if m.end() - m.start() >= 13:

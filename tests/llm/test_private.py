@@ -1,5 +1,6 @@
 """Personal data: rules against plain patterns, the field against full enumeration, further mentions."""
 
+import hashlib
 import itertools
 import random
 import re
@@ -7,7 +8,7 @@ import re
 import numpy as np
 import pytest
 
-from stallkeep.llm import private
+from stallkeep.llm import private, queries
 from stallkeep.llm.private import CARD, EMAIL, IP, PHONE
 
 PLAIN = {
@@ -145,3 +146,25 @@ def test_empty_tables_and_models(spark):
     assert private.personal_data(empty, model).collect() == []
     plain = spark.createDataFrame([(1, "call +49 170 1234567 or 0170 1234567")], "doc_id long, text string")
     assert [(s.kind, s.start, s.end) for s in private.personal_data(plain, model).first().spans] == [(PHONE, 5, 20)]
+
+
+def test_query_counts_every_kind_apart(spark, tmp_path):
+    texts = {
+        1: "a@b.c and d@e.fg",
+        2: "1.2.3.4 x 5.6.7.8 y 9.9.9.9 z 256.1.1.1",
+        3: "4111 1111 1111 1111",
+        4: "+1 805 555 2417, +49 30 1234567; a@b.c",
+        5: None,
+        6: "0" * 5000 + "1.2.3.4 and 1.2.3." + "0" * 5000 + "256",
+        7: "+49 30 1234567 a@b.c 4111-1111-1111-1111 1.2.3.4 a@b.c",
+    }
+    spark.createDataFrame(list(texts.items()), "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    rows = {r.doc_id: r for r in queries.op13_personal_data(spark, str(tmp_path)).collect()}
+    for doc_id, text in texts.items():
+        # Zeros in front, which plain patterns cannot turn into a number, keep their places.
+        spans = plain_spans(text or "") if doc_id != 6 else [(IP, 0, 5007)]
+        kinds = [k for k, _, _ in spans]
+        row = rows[doc_id]
+        assert (row.n_email, row.n_ip, row.n_card, row.n_phone) == tuple(kinds.count(k) for k in (EMAIL, IP, CARD, PHONE))
+        joined = ",".join(f"{private.KINDS[k]}:{a}:{b}" for k, a, b in spans)
+        assert row.base_sha256 == hashlib.sha256(joined.encode()).hexdigest()
