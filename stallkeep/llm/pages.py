@@ -7,7 +7,9 @@ also where other pages repeat them. For everything outside a marked article
 the pages of a host are laid end to end as one stream of tokens, and a suffix
 array finds the runs of at least ``RUN`` tokens that different pages share.
 They are the host's boilerplate: on pages that mark no article, blocks mostly
-covered by such runs go, and of the others the unique runs stay.
+covered by such runs go, and of the others the unique runs stay. Large hosts
+are sorted in chunks; runs that pages of different chunks share are found by
+their hashes over the whole host.
 """
 
 from __future__ import annotations
@@ -16,6 +18,8 @@ import html
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import lru_cache
+from hashlib import blake2b
 
 import numpy as np
 import pyarrow as pa
@@ -23,6 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from stallkeep.llm.common import batch_of, weighed, written
+from stallkeep.llm.words import shingles
 from stallkeep.operators.joins import spread_join
 
 RUN = 8  # tokens of a shared run, a power of two
@@ -125,12 +130,27 @@ def blocks(page: str | None) -> list[Block]:
     return out
 
 
-def shared_runs(pages: list[list[str]], run: int = RUN) -> list[np.ndarray]:
+@lru_cache(maxsize=1 << 16)
+def _token_key(token: str) -> tuple[int, int]:
+    raw = blake2b(token.encode(), digest_size=16).digest()
+    return int.from_bytes(raw[:8], "little"), int.from_bytes(raw[8:], "little")
+
+
+def run_keys(tokens: list[str], run: int = RUN) -> np.ndarray:
+    """The 128-bit hashes, as two columns of 64 bits, of all runs of ``run`` tokens."""
+    if len(tokens) < run:
+        return np.zeros((0, 2), np.int64)
+    keys = np.array([_token_key(t) for t in tokens], np.uint64)
+    return np.stack([shingles(keys[:, k], run) for k in range(2)], axis=1).view(np.int64)
+
+
+def shared_runs(pages: list[list[str]], run: int = RUN, known: set[tuple[int, int]] = frozenset()) -> list[np.ndarray]:
     """Per page, which tokens lie in a run of at least ``run`` that another page has too.
 
     The suffixes of all pages are sorted by doubling, as far as ``run`` tokens;
     neighbours in that order that agree so far share a run. Pages that are equal
-    count as one.
+    count as one. Runs whose ``run_keys`` are ``known`` are shared with pages
+    beyond these.
     """
     sizes = [len(p) for p in pages]
     edges = np.cumsum([0, *sizes])
@@ -158,6 +178,11 @@ def shared_runs(pages: list[list[str]], run: int = RUN) -> list[np.ndarray]:
     delta = np.zeros(len(rank) + 1, np.int64)
     np.add.at(delta, hits, 1)
     np.add.at(delta, hits + run, -1)
+    if known:
+        for page, edge in zip(pages, edges, strict=False):
+            also = edge + np.array([k for k, key in enumerate(run_keys(page, run).tolist()) if tuple(key) in known], np.int64)
+            np.add.at(delta, also, 1)
+            np.add.at(delta, also + run, -1)
     return np.split(np.cumsum(delta[:-1]) > 0, edges[1:-1])
 
 
@@ -181,6 +206,36 @@ def _unique_runs(found: list[Block], covered: np.ndarray, run: int = RUN) -> str
     return " ".join(kept)
 
 
+def _tokens(found: list[Block]) -> list[str]:
+    return [w for b in found for w in b.text.split(" ")]
+
+
+def _across(pages: DataFrame) -> DataFrame:
+    """host, chunk, key0 and key1 of the runs that one page of a chunk has, and pages of other chunks.
+
+    Columns host, chunk and html are read. Pages that are equal count as one. Runs
+    are counted by their hashes, combined before they are moved; the texts stay
+    where they are and are parsed once more.
+    """
+    fields = pa.schema([("host", pa.string()), *((n, pa.int64()) for n in ("chunk", "key0", "key1", "page"))])
+
+    def runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in weighed(batches, 2, 1_000_000):
+            for host, chunk, page in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                tokens = _tokens([b for b in blocks(page) if not b.in_article])
+                keys = np.unique(run_keys(tokens), axis=0)
+                if len(keys):
+                    own = int.from_bytes(blake2b(" ".join(tokens).encode(), digest_size=8).digest(), "little", signed=True)
+                    n = len(keys)
+                    yield batch_of(fields, ([host] * n, np.full(n, chunk), keys[:, 0], keys[:, 1], np.full(n, own)))
+
+    found = pages.select("host", "chunk", "html").mapInArrow(runs, "host string, chunk long, key0 long, key1 long, page long")
+    found = found.groupBy("host", "chunk", "key0", "key1").agg(F.min("page").alias("low"), F.max("page").alias("high"))
+    alone = F.when(F.col("low") == F.col("high"), F.col("chunk"))
+    whole = found.groupBy("host", "key0", "key1").agg(F.min("low").alias("low"), F.max("high").alias("high"), F.collect_list(alone).alias("chunks"))
+    return whole.filter("low != high").select("host", F.explode("chunks").alias("chunk"), "key0", "key1")
+
+
 def main_text(pages: DataFrame, chunk_pages: int = CHUNK_PAGES) -> DataFrame:
     """page_id, url, text, n_chars (code points) and shared_tokens of every page.
 
@@ -188,7 +243,8 @@ def main_text(pages: DataFrame, chunk_pages: int = CHUNK_PAGES) -> DataFrame:
     text; rows of a repeated page_id are pages each. Pages without a host in
     their url form one host. The pages of a host above ``chunk_pages`` are dealt
     to chunks by a hash of page_id and url, each with its own array, so a host of
-    any size is many groups: a run must then recur within a chunk.
+    any size is many groups; what a page shares with pages of other chunks alone
+    is told to its chunk (``_across``), so the result does not depend on chunks.
     ``shared_tokens`` counts the page's tokens outside its article that lie in
     shared runs.
     """
@@ -211,14 +267,17 @@ def main_text(pages: DataFrame, chunk_pages: int = CHUNK_PAGES) -> DataFrame:
             yield batch_of(fields, zip(*rows, strict=True))
 
     parsed = read.select("page_id", "url", "html", "host").mapInArrow(parse, "page_id long, url string, host string, article string, outside array<string>, never array<boolean>")
-    dealt = spread_join(parsed, large, ["host"], "left").withColumn("chunk", F.coalesce(F.pmod(F.xxhash64("page_id", "url"), F.col("chunks")), F.lit(0)))
+    chunk = F.pmod(F.xxhash64("page_id", "url"), F.col("chunks"))
+    dealt = spread_join(parsed, large, ["host"], "left").withColumn("chunk", F.coalesce(chunk, F.lit(0)))
+    told = _across(spread_join(read, large, ["host"], "inner").select("host", chunk.alias("chunk"), "html"))
 
-    def decide(some: pa.Table) -> pa.Table:
+    def decide(some: pa.Table, told: pa.Table) -> pa.Table:
         article, outside, never = (some.column(c).to_pylist() for c in ("article", "outside", "never"))
         found = [[Block(t, False, n) for t, n in zip(texts, flags, strict=True)] for texts, flags in zip(outside, never, strict=True)]
-        covered = shared_runs([[w for b in page for w in b.text.split(" ")] for page in found])
+        known = set(zip(told.column("key0").to_pylist(), told.column("key1").to_pylist(), strict=True))
+        covered = shared_runs([_tokens(page) for page in found], known=known)
         texts = [a if a is not None else _unique_runs(f, c) for a, f, c in zip(article, found, covered, strict=True)]
         new = {"text": pa.array(texts, pa.string()), "n_chars": pa.array([len(t) for t in texts], pa.int64()), "shared_tokens": pa.array([int(c.sum()) for c in covered], pa.int64())}
         return pa.table({"page_id": some.column("page_id"), "url": some.column("url")} | new)
 
-    return dealt.groupBy("host", "chunk").applyInArrow(decide, "page_id long, url string, text string, n_chars long, shared_tokens long")
+    return dealt.groupBy("host", "chunk").cogroup(told.groupBy("host", "chunk")).applyInArrow(decide, "page_id long, url string, text string, n_chars long, shared_tokens long")

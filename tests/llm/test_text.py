@@ -57,6 +57,19 @@ def test_unmarked_pages_lose_what_their_host_repeats(spark):
     assert all(texts[200 + k] == frame for k in range(3))  # equal pages count as one
 
 
+@pytest.mark.parametrize("chunk_pages", [1, 3, 20, 2_000])
+def test_unmarked_pages_lose_what_pages_of_other_chunks_repeat(spark, chunk_pages):
+    notice = " ".join(f"Notice{k}," for k in range(9))
+    rows = [(k, f"https://big.org/{k}", f"<p>{notice if k % 10 == 0 else ''}</p><p>page {k} says what no other page of the {k} says</p>") for k in range(40)]
+    rows += [(100 + k, "https://big.org/copy", "<p>" + " ".join(f"w{i}" for i in range(12)) + "</p>") for k in range(4)]  # equal pages count as one
+    rows += [(200, "https://small.org/1", f"<p>{notice}</p>")]
+    found = {r.page_id: r for r in pages.main_text(spark.createDataFrame(rows, "page_id long, url string, html string"), chunk_pages).collect()}
+    assert all(found[k].text == f"page {k} says what no other page of the {k} says" for k in range(40))
+    assert all(found[k].shared_tokens == (9 if k % 10 == 0 else 0) for k in range(40))
+    assert all(found[100 + k].text == " ".join(f"w{i}" for i in range(12)) and not found[100 + k].shared_tokens for k in range(4))
+    assert found[200].text == notice
+
+
 def test_shared_runs_against_brute_force():
     rng = random.Random(1)
     for _ in range(150):
