@@ -6,7 +6,9 @@ context name the id that followed them last; learnt hit rates of both, by how
 often they were right in a row, are mixed with the order-0 distribution of the
 segment into one interval, which a carry-less 64-bit range coder with 32-bit
 words takes. Blocks are independent, so one numpy step handles one id of every
-block; encoder and decoder share the model.
+block. The decoder steps through the model (``_Model``); the encoder knows all
+ids, so it sorts what the tables would have held by context (``_foreseen``) and
+steps through rates and intervals only. Both come to the same numbers.
 
 Segment, little endian: magic, number of ids, of blocks, length of the
 order-0 table, crc32 of that table; the table (zlib: ids as differences, then
@@ -33,10 +35,16 @@ _ORDER0 = 18  # bits of the order-0 total
 _TOTAL = 12 + _ORDER0  # bits of the whole distribution
 _CERTAIN, _RARE = 4032, 64  # of 4096: bounds of a rate, so that no interval is empty
 _NONE = 0xFFFF  # an id that no text has
+_STEPS = 32  # steps of the encoder whose intervals are computed together
+_LANES = 64  # blocks whose contexts are sorted together
 _U = np.uint64
 _LOW32 = _U(0xFFFFFFFF)
 
 
+def _slots(last: np.ndarray, context: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    return (last * 40503 >> 7) & _MASK, (context + last * 2654435761 >> 15) & _MASK
+
+
 class _Model:
     """Order-1 and order-2 predictions of n blocks side by side.
 
@@ -44,58 +52,50 @@ class _Model:
     how often in a row it was right (0 to 3); NONE where nothing was seen.
     """
 
-    def __init__(self, n: int, frequency: np.ndarray):
-        self.frequency = frequency.astype(np.int64)
-        self.before = np.concatenate(([0], np.cumsum(self.frequency)))[:-1]
+    def __init__(self, n: int):
         self.tables = [np.full(n << _SLOTS, _NONE, np.int32) for _ in range(2)]
         self.rates = [np.full(4 * n, p, np.int32) for p in (1024, 2048)]
         self.base = np.arange(n, dtype=np.int64) << _SLOTS
         self.lane4 = np.arange(n, dtype=np.int32) * 4
-        self.last = np.zeros(n, np.int64)
-        self.context = np.zeros(n, np.int64)
+        self.last, self.context = np.zeros(n, np.uint32), np.zeros(n, np.uint32)
 
     def predict(self, n: int) -> None:
         last, base, lane4 = self.last[:n], self.base[:n], self.lane4[:n]
-        self.at1 = base + ((last * 40503 >> 7) & _MASK)
-        self.at2 = base + ((self.context[:n] + last * 2654435761 >> 15) & _MASK)
+        slot1, slot2 = _slots(last, self.context[:n])
+        self.at1, self.at2 = base + slot1, base + slot2
         self.entry1, self.entry2 = self.tables[0].take(self.at1), self.tables[1].take(self.at2)
-        self.rate1, self.rate2 = lane4 + (self.entry1 >> 16), lane4 + (self.entry2 >> 16)
+        self.times1, self.times2 = self.entry1 >> 16, self.entry2 >> 16
+        self.rate1, self.rate2 = lane4 + self.times1, lane4 + self.times2
         self.id1, self.id2 = self.entry1 & 0xFFFF, self.entry2 & 0xFFFF
         self.old1, self.weight2 = self.rates[0].take(self.rate1), self.rates[1].take(self.rate2)
         weight1 = (4096 - self.weight2) * self.old1 >> 12
         weight1 *= self.id1 != self.id2
         self.weight1, self.both = weight1, weight1 + self.weight2
 
-    def interval(self, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Start and width out of 2**(12 + order-0 bits)."""
-        self.right1, self.right2 = self.id1 == ids, self.id2 == ids
-        rest = 4096 - self.both.astype(np.int64)
-        literal = self.before.take(ids)
-        literal *= rest
-        literal += self.both.astype(np.int64) << _ORDER0
-        rest *= self.frequency.take(ids)
-        shift = 1 << _ORDER0
-        start = np.where(self.right2, 0, np.where(self.right1, self.weight2 * shift, literal))
-        width = np.where(self.right2, self.weight2 * shift, np.where(self.right1, self.weight1 * shift, rest))
-        return start.view(_U), width.view(_U)
-
     def update(self, ids: np.ndarray, n: int) -> None:
-        """After ``interval``. The order-1 rate is that of the ids which order 2 misses."""
-        moved = self.right1 * (_CERTAIN - _RARE)
+        """The order-1 rate is that of the ids which order 2 misses."""
+        right1, right2 = self.id1 == ids, self.id2 == ids
+        moved = right1 * np.int32(_CERTAIN - _RARE)
         moved += _RARE
         moved -= self.old1
         moved >>= 4
-        moved *= ~self.right2
-        self.rates[0][self.rate1] = self.old1 + moved
-        moved = self.right2 * (_CERTAIN - _RARE)
+        moved *= ~right2
+        moved += self.old1
+        self.rates[0][self.rate1] = moved
+        moved = right2 * np.int32(_CERTAIN - _RARE)
         moved += _RARE
         moved -= self.weight2
         moved >>= 4
-        self.rates[1][self.rate2] = self.weight2 + moved
-        first = ids + 65536
-        self.tables[0][self.at1] = np.where(self.right1, np.minimum(self.entry1 + 65536, self.id1 + 3 * 65536), first)
-        self.tables[1][self.at2] = np.where(self.right2, np.minimum(self.entry2 + 65536, self.id2 + 3 * 65536), first)
-        self.context[:n] = self.last[:n] * 40503
+        moved += self.weight2
+        self.rates[1][self.rate2] = moved
+        first = ids + np.int32(65536)
+        for table, at, times, right in ((self.tables[0], self.at1, self.times1, right1), (self.tables[1], self.at2, self.times2, right2)):
+            more = np.minimum(times, 2)
+            more *= right
+            more <<= 16
+            more += first
+            table[at] = more
+        np.multiply(self.last[:n], np.uint32(40503), out=self.context[:n])
         self.last[:n] = ids
 
 
@@ -135,23 +135,53 @@ def _encode_blocks(ids: np.ndarray, n: int, present: np.ndarray, scaled: np.ndar
         return np.zeros((0, 0), np.uint32), np.zeros(0, np.int64)
     frequency = np.zeros(int(present[-1]) + 1, np.int64)
     frequency[present] = scaled
-    model, steps = _Model(n, frequency), _by_step(ids, n)
+    before = np.concatenate(([0], np.cumsum(frequency)))[:-1]
+    steps = _by_step(ids, n)
+    seen = _foreseen(steps)
+    rates1, rates2 = (np.full(4 * n, p, np.int32) for p in (1024, 2048))
+    lane4 = np.arange(n, dtype=np.int32) * 4
     short = len(ids) - (n - 1) * BLOCK
     low, span = np.zeros(n, _U), np.full(n, 0xFFFFFFFFFFFFFFFF, _U)
     out, used = np.zeros((n, BLOCK + 8), np.uint32), np.zeros(n, np.int64)  # a word an id at most
-    for step in range(min(BLOCK, len(ids))):
-        live = n if step < short else n - 1
-        now = steps[step, :live].astype(np.int32)
-        model.predict(live)
-        start, width = model.interval(now)
-        each = span[:live] >> _U(_TOTAL)
-        low[:live] += each * start
-        span[:live] = each * width
-        model.update(now, live)
-        at, moved = _narrowed(low[:live], span[:live])
-        to = used[at]
-        out[at, to] = moved >> _U(32)
-        used[at] = to + 1
+    last = min(BLOCK, len(ids))
+    edges = sorted({*range(0, last, _STEPS), short, last})
+    for a, b in zip(edges[:-1], edges[1:], strict=True):
+        live = n if a < short else n - 1
+        some = seen[a:b, :live].astype(np.int32)
+        at1, at2 = lane4[:live] + (some & 3), lane4[:live] + (some >> 2 & 3)
+        right1, right2 = (some & 16).astype(bool), (some & 32).astype(bool)
+        goal1, goal2 = (r * np.int32(_CERTAIN - _RARE) + np.int32(_RARE) for r in (right1, right2))
+        missed = (~right2).astype(np.int32)
+        old1, weight2 = np.empty(some.shape, np.int32), np.empty(some.shape, np.int32)
+        for k in range(b - a):
+            one, two, moved = old1[k], weight2[k], goal1[k]
+            rates1.take(at1[k], out=one, mode="clip")
+            rates2.take(at2[k], out=two, mode="clip")
+            moved -= one
+            moved >>= 4
+            moved *= missed[k]
+            moved += one
+            rates1[at1[k]] = moved
+            moved = goal2[k]
+            moved -= two
+            moved >>= 4
+            moved += two
+            rates2[at2[k]] = moved
+        weight1 = ((4096 - weight2) * old1 >> 12) * (some >> 6)
+        both = (weight1 + weight2).astype(np.int64)
+        now = steps[a:b, :live]
+        rest = 4096 - both
+        shift = 1 << _ORDER0
+        start = np.where(right2, 0, np.where(right1, weight2.astype(np.int64) * shift, before.take(now) * rest + (both << _ORDER0))).view(_U)
+        width = np.where(right2, weight2.astype(np.int64) * shift, np.where(right1, weight1.astype(np.int64) * shift, frequency.take(now) * rest)).view(_U)
+        for k in range(b - a):
+            each = span[:live] >> _U(_TOTAL)
+            low[:live] += each * start[k]
+            np.multiply(each, width[k], out=span[:live])
+            at, moved = _narrowed(low[:live], span[:live])
+            to = used[at]
+            out[at, to] = moved >> _U(32)
+            used[at] = to + 1
     for _ in range(2):
         out[np.arange(n), used] = low >> _U(32)
         used += 1
@@ -159,6 +189,44 @@ def _encode_blocks(ids: np.ndarray, n: int, present: np.ndarray, scaled: np.ndar
     return out, used
 
 
+def _foreseen(steps: np.ndarray) -> np.ndarray:
+    """What the model's tables say before each id, for ids by step and block.
+
+    Bits 0 and 1: how often in a row the order-1 entry was right; 2 and 3: the
+    same of order 2; 4 and 5: whether they are right; 6: whether they differ. An
+    entry is the id at the last place with the same slot.
+    """
+    out = np.empty(steps.shape, np.uint8)
+    for lane in range(0, steps.shape[1], _LANES):
+        ids = np.ascontiguousarray(steps[:, lane : lane + _LANES].T)
+        # 32 bits hold all bits of the slots.
+        last, older = np.zeros(ids.shape, np.uint32), np.zeros(ids.shape, np.uint32)
+        last[:, 1:], older[:, 2:] = ids[:, :-1], ids[:, :-2]
+        rows = np.arange(len(ids))[:, None] * ids.shape[1]
+        both = []
+        for k, slots in enumerate(_slots(last, older * np.uint32(40503))):
+            slots = slots.astype(np.uint16)
+            order = np.argsort(slots, axis=1, kind="stable")
+            order += rows
+            slot, value = slots.take(order), ids.take(order)
+            known, right = np.zeros(ids.shape, bool), np.zeros(ids.shape, bool)
+            known[:, 1:] = slot[:, 1:] == slot[:, :-1]
+            right[:, 1:] = known[:, 1:] & (value[:, 1:] == value[:, :-1])
+            times = known.astype(np.uint8)
+            times[:, 1:] += known[:, 1:] & right[:, :-1]
+            times[:, 2:] += known[:, 2:] & right[:, 1:-1] & right[:, :-2]
+            entry = np.full(ids.shape, _NONE, np.uint32)
+            np.copyto(entry[:, 1:], value[:, :-1], where=known[:, 1:])
+            entry |= (times << 2 * k | right.view(np.uint8) << 4 + k).astype(np.uint32) << 16
+            back = np.empty(ids.shape, np.uint32)
+            back.reshape(-1)[order] = entry
+            both.append(back)
+        one, two = both
+        differ = (one & 0xFFFF) != (two & 0xFFFF)
+        out[:, lane : lane + _LANES] = ((one | two) >> 16).astype(np.uint8).T | differ.T.view(np.uint8) << 6
+    return out
+
+
 def _narrowed(low: np.ndarray, span: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Widen spans below 32 bits by a word, after which they are wide again.
 
@@ -208,7 +276,8 @@ def _decode_blocks(words: np.ndarray, lengths: np.ndarray, present: np.ndarray,
     frequency = np.zeros(int(present[-1]) + 1, np.int64)
     frequency[present] = scaled
     slots = np.repeat(present.astype(np.uint16), scaled)
-    model = _Model(n, frequency)
+    before = np.concatenate(([0], np.cumsum(frequency)))[:-1]
+    model = _Model(n)
     low, span, code = np.zeros(n, _U), np.full(n, 0xFFFFFFFFFFFFFFFF, _U), np.zeros(n, _U)
     for k in range(2):
         code = (code << _U(32)) | words[:, k]
@@ -219,14 +288,23 @@ def _decode_blocks(words: np.ndarray, lengths: np.ndarray, present: np.ndarray,
         model.predict(live)
         each = span[:live] >> _U(_TOTAL)
         value = np.minimum((code[:live] - low[:live]) // each, _U((1 << _TOTAL) - 1)).view(np.int64)
-        event = value >> _ORDER0
-        now = np.where(event < model.weight2, model.id2, model.id1)
+        event = (value >> _ORDER0).astype(np.int32)
+        second = event < model.weight2
+        now = np.where(second, model.id2, model.id1)
+        start = np.where(second, 0, model.weight2).astype(np.int64)
+        width = np.where(second, model.weight2, model.weight1).astype(np.int64)
+        start <<= _ORDER0
+        width <<= _ORDER0
         literal = np.flatnonzero(event >= model.both)
         both = model.both[literal].astype(np.int64)
-        now[literal] = slots[(value[literal] - (both << _ORDER0)) // (4096 - both)]
-        start, width = model.interval(now)
-        low[:live] += each * start
-        span[:live] = each * width
+        rest = 4096 - both
+        both <<= _ORDER0
+        ids = slots[(value[literal] - both) // rest]
+        now[literal] = ids
+        start[literal] = before.take(ids) * rest + both
+        width[literal] = frequency.take(ids) * rest
+        low[:live] += each * start.view(_U)
+        np.multiply(each, width.view(_U), out=span[:live])
         model.update(now, live)
         out[step, :live] = now
         at, _ = _narrowed(low[:live], span[:live])

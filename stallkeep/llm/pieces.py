@@ -149,12 +149,12 @@ class Segmenter(WordTable):
         """One segmenter for all tasks that a Python worker runs."""
         return Segmenter(model)
 
-    def _ids_of(self, words: list[str]) -> tuple[list[bytes], np.ndarray]:
+    def _ids_of(self, words: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         ids, values = [], np.zeros((len(words), 2))
         for k, word in enumerate(words):
             found, *values[k] = self.lattice.best(word.replace(" ", _SPACE))
             ids.append(array("I", found).tobytes())
-        return ids, values
+        return np.frombuffer(b"".join(ids), "<u4"), np.array([len(i) // 4 for i in ids]), values
 
     def nbest(self, texts: Sequence[str | None], n: int) -> list[list[tuple[float, bytes]]]:
         """Per text its n best: score and ids as little-endian unsigned 32-bit bytes, best first."""

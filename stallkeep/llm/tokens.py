@@ -84,18 +84,22 @@ class ByteBpe(WordTable):
             out[i] = found
         return out
 
-    def _ids_of(self, words: list[str]) -> tuple[list[bytes], None]:
+    def _ids_of(self, words: list[str]) -> tuple[np.ndarray, np.ndarray, None]:
         """Ids of single words, from texts of many lines: a line end between two words is an id of its own."""
-        out: list[bytes] = []
+        ids, lengths = [], []
         for at in range(0, len(words), 20_000):
             some = words[at : at + 20_000]
-            if any(not w.strip() for w in some):
-                out += self.whole(some)
-                continue
-            ids = np.frombuffer(self.whole(["\n".join(some)])[0], "<u4")
-            parts = np.split(ids, np.flatnonzero(ids == self._line_end))
-            out += [p[min(i, 1) :].tobytes() for i, p in enumerate(parts)] if len(parts) == len(some) else self.whole(some)
-        return out, None
+            if all(w.strip() for w in some):
+                found = np.frombuffer(self.whole(["\n".join(some)])[0], "<u4")
+                cuts = np.flatnonzero(found == self._line_end)
+                if len(cuts) + 1 == len(some):
+                    ids.append(np.delete(found, cuts))
+                    lengths.append(np.diff(cuts, prepend=-1, append=len(found)) - 1)
+                    continue
+            parts = self.whole(some)
+            ids.append(np.frombuffer(b"".join(parts), "<u4"))
+            lengths.append(np.array([len(p) // 4 for p in parts]))
+        return np.concatenate(ids), np.concatenate(lengths), None
 
 
 def _uneven(data: np.ndarray, edges: np.ndarray) -> np.ndarray:

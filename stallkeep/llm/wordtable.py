@@ -12,8 +12,8 @@ WINDOW = 1 << 20  # bytes hashed together
 class WordTable:
     """Ids of words, cut out of a window of bytes by array operations.
 
-    A subclass says in ``_ids_of`` what the ids of new words are, as
-    little-endian unsigned 32-bit bytes below 65,536 each, with ``values`` numbers
+    A subclass says in ``_ids_of`` what the ids of new words are, one after
+    another, below 65,536 each, how many each word has, and ``values`` numbers
     beside them. A 64-bit hash finds a word's slot, and its bytes, which the table
     keeps, are compared there; a word whose hash another word holds goes by a
     second hash, and so on. A full table is emptied.
@@ -28,7 +28,7 @@ class WordTable:
         self._code = rng.integers(1, 1 << 63, 256, dtype=np.uint64)
         self._factor = places(1 << 8)
 
-    def _ids_of(self, words: list[str]) -> tuple[list[bytes], np.ndarray | None]:
+    def _ids_of(self, words: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray | None]:
         raise NotImplementedError
 
     def _hashes(self, data: np.ndarray, starts: np.ndarray, sizes: np.ndarray, at: np.ndarray) -> np.ndarray:
@@ -112,8 +112,7 @@ class WordTable:
                 return slots.astype(np.int64)
             slots[left] = (slots[left] + np.uint64(1)) & mask
 
-    def _add(self, keys: np.ndarray, raw: list[bytes], ids: list[bytes], values: np.ndarray | None) -> None:
-        lengths = np.array([len(i) // 4 for i in ids])
+    def _add(self, keys: np.ndarray, raw: list[bytes], ids: np.ndarray, lengths: np.ndarray, values: np.ndarray | None) -> None:
         sizes = np.array([len(r) for r in raw])
         places = self._stored + np.cumsum(lengths) - lengths
         begins = self._filled + np.cumsum(sizes) - sizes
@@ -122,7 +121,7 @@ class WordTable:
             self._store = np.concatenate((self._store, np.zeros_like(self._store)))
         while self._filled > len(self._bytes):
             self._bytes = np.concatenate((self._bytes, np.zeros_like(self._bytes)))
-        self._store[places[0] : self._stored] = np.frombuffer(b"".join(ids), "<u4")
+        self._store[places[0] : self._stored] = ids
         self._bytes[begins[0] : self._filled] = np.frombuffer(b"".join(raw), np.uint8)
         left = np.arange(len(keys))
         while len(left):  # of the words that end at one free slot, one takes it

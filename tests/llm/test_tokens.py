@@ -121,6 +121,28 @@ def test_coder_refuses_damage_and_large_ids():
         idcoder.encode(np.array([65_535]))
 
 
+def test_encoder_foresees_what_the_tables_hold():
+    rng = np.random.default_rng(3)
+    steps = np.stack([rng.integers(0, top, 700) for top in (2, 5, 300, 65_535) * 20], axis=1).astype(np.uint16)
+    seen = idcoder._foreseen(steps)
+    for lane in range(steps.shape[1]):
+        tables, last, older = ({}, {}), 0, 0
+        for step, now in enumerate(steps[:, lane].tolist()):
+            at = (last * 40503 >> 7) % 1024, (older * 40503 + last * 2654435761 >> 15) % 1024
+            (one, times1), (two, times2) = (t.get(k, (0xFFFF, 0)) for t, k in zip(tables, at, strict=True))
+            assert seen[step, lane] == times1 | times2 << 2 | (one == now) << 4 | (two == now) << 5 | (one != two) << 6
+            for table, k, held, times in zip(tables, at, (one, two), (times1, times2), strict=True):
+                table[k] = (now, min(times + 1, 3) if held == now else 1)
+            last, older = now, last
+
+
+def test_segments_keep_their_bytes():
+    ids = np.random.default_rng(7).geometric(0.01, 20_000)
+    segment = idcoder.encode(ids)
+    assert (len(segment), zlib.crc32(segment)) == (21_410, 1_225_326_795)  # as coded before the encoder sorted its contexts
+    assert (idcoder.decode(segment) == ids).all()
+
+
 def test_coder_learns():
     ids = np.tile(np.random.default_rng(3).integers(0, 50_000, 100), 80)
     assert len(idcoder.encode(ids)) < len(ids) / 2
