@@ -25,6 +25,7 @@ from stallkeep.llm.words import mixed
 UNKNOWN = "und"
 N = 4  # bytes of an n-gram
 SAMPLE_DOCUMENTS = 40_000
+HELD = 500_000  # characters, and rows of counts, that a task works on at once
 
 _LETTER = re.compile(r"[^\W\d_]")
 _BLANK = bytes(b if b >= 128 or chr(b).isalpha() else 32 for b in range(256))
@@ -91,6 +92,36 @@ class Model:
         return names, np.where(lettered, rates[np.arange(len(texts)), first], 0.0)
 
 
+def counted_ngrams(batches: Iterator[pa.RecordBatch], number: dict[str, int]) -> Iterator[pa.RecordBatch]:
+    """gram, lang, documents and times, summed over as many rows (text, lang) as ``HELD`` allows."""
+    fields = pa.schema([("gram", pa.int64()), ("lang", pa.int32()), ("documents", pa.int64()), ("times", pa.int64())])
+    held: list[np.ndarray] = []
+
+    def summed() -> np.ndarray:
+        """Rows of (gram and language, documents, times), equal keys added."""
+        rows = np.concatenate(held)
+        keys, at = np.unique(rows[:, 0], return_inverse=True)
+        return np.column_stack((keys, np.bincount(at, rows[:, 1]).astype(np.int64), np.bincount(at, rows[:, 2]).astype(np.int64)))
+
+    def given(rows: np.ndarray) -> pa.RecordBatch:
+        return batch_of(fields, (rows[:, 0] & 0xFFFFFFFF, (rows[:, 0] >> 32).astype(np.int32), rows[:, 1], rows[:, 2]))
+
+    for batch in weighed(batches, 0, HELD):
+        grams, edges = ngrams(batch.column(0).to_pylist())
+        lang = np.array([number[x] for x in batch.column(1).to_pylist()], dtype=np.int64)
+        owner = np.repeat(np.arange(len(lang)), np.diff(edges))
+        one, times = np.unique(grams.astype(np.int64) | owner << 32, return_counts=True)
+        keys = (one & 0xFFFFFFFF) | lang[one >> 32] << 32
+        held.append(np.column_stack((keys, np.ones(len(keys), np.int64), times)))
+        if sum(map(len, held)) > HELD:
+            held = [summed()]
+            if len(held[0]) > HELD // 2:
+                yield given(held[0])
+                held = []
+    if held:
+        yield given(summed())
+
+
 def fit(documents: DataFrame, settings: Settings = Settings(), sample_documents: int = SAMPLE_DOCUMENTS) -> Model:
     """Filters from documents (text, lang); rows with a null text or lang are left out.
 
@@ -114,32 +145,9 @@ def fit(documents: DataFrame, settings: Settings = Settings(), sample_documents:
     chance = F.pmod(F.xxhash64("text"), F.lit(1 << 30)) / F.lit(float(1 << 30))
     sample = usable.filter(chance < F.element_at(keep, F.col("lang")))
     number = {lang: k for k, lang in enumerate(languages)}
-    fields = pa.schema([("gram", pa.int64()), ("lang", pa.int32()), ("documents", pa.int64()), ("times", pa.int64())])
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[np.ndarray] = []
-
-        def summed() -> np.ndarray:
-            """Rows of (gram and language, documents, times), equal keys added."""
-            rows = np.concatenate(held)
-            keys, at = np.unique(rows[:, 0], return_inverse=True)
-            return np.column_stack((keys, np.bincount(at, rows[:, 1]).astype(np.int64), np.bincount(at, rows[:, 2]).astype(np.int64)))
-
-        for batch in weighed(batches, 0, 2_000_000):
-            grams, edges = ngrams(batch.column(0).to_pylist())
-            lang = np.array([number[x] for x in batch.column(1).to_pylist()], dtype=np.int64)
-            owner = np.repeat(np.arange(len(lang)), np.diff(edges))
-            one, times = np.unique(grams.astype(np.int64) | owner << 32, return_counts=True)
-            keys = (one & 0xFFFFFFFF) | lang[one >> 32] << 32
-            held.append(np.column_stack((keys, np.ones(len(keys), np.int64), times)))
-            if sum(map(len, held)) > 2_000_000:
-                held = [summed()]
-                if len(held[0]) > 1_000_000:
-                    yield pa.RecordBatch.from_arrays([pa.array(x) for x in (held[0][:, 0] & 0xFFFFFFFF, (held[0][:, 0] >> 32).astype(np.int32), held[0][:, 1], held[0][:, 2])], schema=fields)
-                    held = []
-        if held:
-            rows = summed()
-            yield pa.RecordBatch.from_arrays([pa.array(x) for x in (rows[:, 0] & 0xFFFFFFFF, (rows[:, 0] >> 32).astype(np.int32), rows[:, 1], rows[:, 2])], schema=fields)
+        return counted_ngrams(batches, number)
 
     counted = sample.mapInArrow(count, "gram long, lang int, documents long, times long")
     counted = written(counted.groupBy("gram", "lang").agg(F.sum("documents").alias("documents"), F.sum("times").alias("times")), "ngrams")

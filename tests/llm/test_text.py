@@ -1,8 +1,10 @@
 """Main text, quality, language, near-duplicates and pieces."""
 
 import random
+import tracemalloc
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from stallkeep.llm import langid, neardup, pages, pieces, quality
@@ -177,6 +179,18 @@ def edited(rng, words, edits, alphabet):
     return words
 
 
+def test_ngrams_are_counted_in_little_memory():
+    rng = random.Random(16)
+    texts = ["".join(rng.choice("abcdefghijklmnopqrstuvwxyz ") for _ in range(2000)) for _ in range(2000)]
+    batches = [pa.RecordBatch.from_arrays([pa.array(texts[k : k + 500]), pa.array(["x", "y"] * 250)], names=["text", "lang"]) for k in range(0, 2000, 500)]
+    tracemalloc.start()
+    total = sum(sum(b.column("times").to_pylist()) for b in langid.counted_ngrams(iter(batches), {"x": 0, "y": 1}))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert total == len(langid.ngrams(texts)[0])
+    assert peak < 150e6, peak
+
+
 def test_linked_is_the_edit_similarity():
     rng = random.Random(6)
     for _ in range(1500):
