@@ -5,13 +5,14 @@ how often each occurred before, the two of least hash, in the order in which the
 text has them. Sketches are taken in one pass that also hashes the text, so texts
 stay where they are; exact copies then collapse, and only texts that share a
 sketch with another are read again for alignment. Texts that share a sketch fall
-into one bucket, and every link between two texts of a bucket is found, by itself or as a chain of links. Buckets are settled in
-rounds: all texts of a bucket are held against its hubs, one of them in the first
-round and ``HUBS`` times as many in each later one; hubs and what is linked to one
-leave, and the rest goes on until every text was a hub or left. A text that
-stays may still be like one that left with a hub, but only if its own distance
-to that hub is small enough; such texts are held against what left with it once
-the rounds are over, unless both are in one class by then. A link is an edit
+into one bucket, and every link between two texts of a bucket is found, by itself or as a chain of links. First all texts of a bucket
+are held against one of them, its hub. Buckets whose texts are in one class by
+then, as those of near copies are, need no more pairs. Texts of the others are
+paired by an index that loses no link: texts linked to each other have so many
+pairs of neighbouring words in common that they share one of the rarest few of
+each (``rarest_pairs``), and only texts of different classes that do so are held
+against each other. A passage that many unlike texts share is not among the
+rarest few of a text, unless most of the text is that passage. A link is an edit
 similarity of the words (1 - distance / longer length) of ``SIMILARITY`` or more,
 found by aligning inside the band that this allows. Classes are the connected
 parts of the links.
@@ -43,7 +44,8 @@ from stallkeep.operators.joins import spread_join
 RUN = 3
 SKETCHES = 32
 SIMILARITY = 0.8
-HUBS = 16
+SAMPLE_TEXTS = 20_000  # that tell which pairs of words are frequent
+FREQUENT = 1 << 17  # pairs of words that are ordered by how frequent they are
 FAR, NEAR, LINKED = 0, 1, 2
 FOLDS = 1024  # classes of words in a quick bound, a power of two
 
@@ -56,12 +58,7 @@ def order_minhash(words: np.ndarray) -> np.ndarray:
     runs = shingles(words, RUN)
     if not len(runs):
         return runs
-    order = np.argsort(runs, kind="stable")
-    ranked = runs[order]
-    first = np.flatnonzero(np.concatenate(([True], ranked[1:] != ranked[:-1])))
-    label = np.empty(len(runs), _U)
-    label[order] = np.arange(len(runs)) - np.repeat(first, np.diff(np.append(first, len(runs))))
-    labelled = mixed(runs + label * _U(0x9E3779B97F4A7C15))
+    labelled = _labelled(runs)
     values = labelled[None, :] * _SEEDS[:, None]
     values ^= values >> _U(32)
     values *= _U(0xD6E8FEB86659FD93)
@@ -73,6 +70,44 @@ def order_minhash(words: np.ndarray) -> np.ndarray:
     return mixed(labelled[before] * _U(3) + mixed(labelled[after]) + _SEEDS)
 
 
+def _labelled(runs: np.ndarray) -> np.ndarray:
+    """Hashes of the runs, each with how often it occurred before."""
+    order = np.argsort(runs, kind="stable")
+    ranked = runs[order]
+    first = np.flatnonzero(np.concatenate(([True], ranked[1:] != ranked[:-1])))
+    label = np.empty(len(runs), _U)
+    label[order] = np.arange(len(runs)) - np.repeat(first, np.diff(np.append(first, len(runs))))
+    return mixed(runs + label * _U(0x9E3779B97F4A7C15))
+
+
+def rarest_pairs(words: np.ndarray, frequent: tuple[np.ndarray, np.ndarray]) -> np.ndarray:
+    """The rarest of a text's pairs of neighbouring words, so many that any two linked texts share one.
+
+    ``frequent``: hashes of frequent pairs, ascending, and the place of each (from
+    1) from the least frequent on. What it holds decides how few texts share a
+    pair; that linked texts share one holds under any order. An edit breaks at most two pairs, so of a text of m
+    words at least m - 1 - 2 * distance are in the other text too; by the least
+    that this can be, two linked texts share a pair among the first of both.
+    """
+    pairs = word_pairs(words)
+    if not len(pairs):
+        return pairs
+    # Five words more are three common pairs more.
+    common = max(1, min(m - 1 - 2 * int((1 - SIMILARITY) * m + 1e-9) for m in range(len(words), len(words) + 5)))
+    by_hash, place = frequent
+    rank = np.zeros(len(pairs), np.int64)
+    if len(by_hash):
+        at = np.minimum(np.searchsorted(by_hash, pairs), len(by_hash) - 1)
+        rank = np.where(by_hash[at] == pairs, place[at], 0)
+    return pairs[np.lexsort((pairs, rank))[: len(pairs) - common + 1]]
+
+
+def word_pairs(words: np.ndarray) -> np.ndarray:
+    """Hashes of all pairs of neighbouring words, each with how often it occurred before; a single word is one."""
+    runs = shingles(words.astype(_U), 2)
+    return _labelled(runs) if len(runs) else runs
+
+
 def edit_similarity(a: np.ndarray, b: np.ndarray, least: float = SIMILARITY) -> float:
     """1 - edit distance / longer length if that reaches ``least``, else some value below it.
 
@@ -255,13 +290,11 @@ def _words(documents: DataFrame, wanted: DataFrame) -> DataFrame:
     return named.mapInArrow(run, f"text {TEXT}, words binary").dropDuplicates(["text"])
 
 
-def _related(pairs: DataFrame, texts: DataFrame) -> DataFrame:
-    """The (a, b) pairs of texts that are NEAR or LINKED, with their relation."""
+def _linked(pairs: DataFrame, texts: DataFrame) -> DataFrame:
+    """The nodes (a, b) of those (a, b) pairs of texts that are linked."""
     one, other = F.col("a.words"), F.col("b.words")
-    most = F.least(one, other) / SIMILARITY
-    reach = (1 - SIMILARITY) * (F.greatest(most, one) + F.greatest(most, other))
-    # Lengths alone tell that some are FAR.
-    pairs = pairs.filter(F.abs(one - other) <= reach + 1e-6)
+    # Lengths alone tell that some are not.
+    pairs = pairs.filter(F.abs(one - other) <= (1 - SIMILARITY) * F.greatest(one, other) + 1e-6)
     # Pairs are few bytes and much work, so they are dealt out by number, not by size.
     pairs = pairs.repartition(int(pairs.sparkSession.conf.get("spark.sql.shuffle.partitions")), "a", "b")
     held = spread_join(pairs, texts.toDF("a", "words_a"), ["a"], "inner")
@@ -271,11 +304,11 @@ def _related(pairs: DataFrame, texts: DataFrame) -> DataFrame:
         known = lru_cache(maxsize=2_000)(_folded)
         for batch in batches:
             words = (batch.column(c).to_pylist() for c in ("words_a", "words_b"))
-            found = pa.array([_quick_relation(known(x), known(y)) for x, y in zip(*words, strict=True)], pa.int32())
-            new = pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b"), found], names=["a", "b", "relation"])
-            yield new.filter(pc.greater(found, FAR))
+            found = pa.array([_quick_relation(known(x), known(y)) == LINKED for x, y in zip(*words, strict=True)], pa.bool_())
+            nodes = [pc.struct_field(batch.column(c), "node") for c in "ab"]
+            yield pa.RecordBatch.from_arrays(nodes, names=["a", "b"]).filter(found)
 
-    return written(held.mapInArrow(verify, f"a {TEXT}, b {TEXT}, relation int"), "related")
+    return written(held.mapInArrow(verify, "a long, b long"), "links")
 
 
 def _ordered(one: str, other: str) -> list[Column]:
@@ -295,47 +328,76 @@ def _roots(documents: DataFrame, sketched: DataFrame, known: DataFrame) -> DataF
     involved = members.select("text").distinct()
     wanted = written(sketched.select("text", "key").join(involved, "text").select(F.col("text.node").alias("doc_id"), "key", "text"), "wanted")
     texts = written(_words(documents, wanted), "words")
-    links, near, left = known.select("a", "b"), None, None
-    hubs = 1
-    while True:
-        # A text is a hub in all its buckets alike, so that near copies meet few hubs.
-        chance = F.pmod(F.xxhash64("text", F.lit(hubs)), F.lit(1 << 40))
-        marks = [F.bit_xor(F.xxhash64("text", F.lit(k))).alias(f"m{k}") for k in (0, 1)]
-        # Of buckets with the same texts one stays.
-        stats = members.groupBy("bucket").agg(F.count("*").alias("n"), *marks, F.min(F.struct(chance.alias("h"), "text")).alias("least"))
-        stats = stats.filter("n > 1").groupBy("n", "m0", "m1").agg(F.min(F.struct("bucket", F.col("least.text").alias("least"))).alias("x"))
-        members = written(members.join(stats.select("x.*", "n"), "bucket"), "members")
-        if members.isEmpty():
-            break
-        is_hub = F.col("text") == F.col("least")
-        if hubs == 1:
-            held = members.select("bucket", F.col("least").alias("hub"), "text").filter("text != hub")
-        else:
-            is_hub |= chance < F.lit(float(hubs << 40)) / F.col("n")
-            some = members.filter(is_hub).select("bucket", F.col("text").alias("hub"))
-            held = written(members.select("bucket", "text").join(some, "bucket").filter("text != hub"), "held")
-        related = _related(written(held.select(*_ordered("hub", "text")).distinct(), "candidates"), texts)
-        settled = written(held.select("*", *_ordered("hub", "text")).join(related, ["a", "b"]).select("bucket", "hub", "text", "relation"), "settled")
-        links = links.unionByName(related.filter(F.col("relation") == LINKED).select("a.node", "b.node").toDF("a", "b"))
-        gone = settled.filter(F.col("relation") == LINKED).select("bucket", "hub", "text")
-        close = settled.filter(F.col("relation") == NEAR).select("bucket", "hub", "text").join(gone.select("bucket", "hub").distinct(), ["bucket", "hub"], "left_semi")
-        near, left = (x if y is None else y.unionByName(x) for x, y in ((close, near), (gone, left)))
-        members = members.filter(~is_hub).select("bucket", "text").join(gone.select("bucket", "text"), ["bucket", "text"], "left_anti")
-        hubs *= HUBS
+    # Of buckets with the same texts one stays. A text is a hub in all its buckets alike, so that near copies meet few hubs.
+    chance = F.xxhash64("text", F.lit(1))
+    marks = [F.bit_xor(F.xxhash64("text", F.lit(k))).alias(f"m{k}") for k in (0, 1)]
+    stats = members.groupBy("bucket").agg(F.count("*").alias("n"), *marks, F.min(F.struct(chance.alias("h"), "text")).alias("least"))
+    stats = stats.groupBy("n", "m0", "m1").agg(F.min(F.struct("bucket", F.col("least.text").alias("hub"))).alias("x"))
+    members = written(members.join(stats.select("x.*"), "bucket"), "members")
+    pairs = members.filter("text != hub").select(*_ordered("hub", "text")).distinct()
+    links = known.select("a", "b").unionByName(_linked(written(pairs, "candidates"), texts))
     roots = connected(links.distinct())
-    if near is None:
+    # Texts of buckets that are not in one class yet.
+    of_text = members.select("bucket", "text", F.col("text.node").alias("node")).join(roots, "node", "left").select("bucket", "text", F.coalesce("root", "node").alias("root"))
+    of_text = written(of_text, "rooted")
+    mixed_buckets = of_text.groupBy("bucket").agg(F.min("root").alias("one"), F.max("root").alias("other")).filter("one != other").select("bucket")
+    unsettled = written(of_text.join(mixed_buckets, "bucket").groupBy("text", "root").agg(F.collect_set("bucket").alias("buckets")), "unsettled")
+    if unsettled.isEmpty():
         return roots
-    of_hub, of_text = (roots.select(F.col("node").alias(f"{c}_node"), F.col("root").alias(f"{c}_root")) for c in ("hub", "text"))
-    fringe = near.withColumns({"hub_node": F.col("hub.node"), "text_node": F.col("text.node")}).join(of_hub, "hub_node").join(of_text, "text_node", "left")
-    fringe = written(fringe.filter("text_root is null or text_root != hub_root").select("bucket", "hub", "text"), "fringe")
-    if fringe.isEmpty():
-        return roots
-    pairs = fringe.join(left.withColumnRenamed("text", "other"), ["bucket", "hub"]).filter("text != other")
-    related = _related(written(pairs.select(*_ordered("text", "other")).distinct(), "candidates"), texts)
-    more = related.filter(F.col("relation") == LINKED).select("a.node", "b.node").toDF("a", "b")
+    more = _linked(written(_paired(unsettled, texts), "candidates"), texts)
     return connected(roots.toDF("a", "b").unionByName(more))
 
 
+def _paired(unsettled: DataFrame, texts: DataFrame) -> DataFrame:
+    """Pairs (a, b) of unsettled (text, root, buckets) of one bucket and different roots, among them all that are linked."""
+    held = written(texts.join(unsettled.select("text", "root"), "text"), "unsettled-words")
+    frequent = held.sparkSession.sparkContext.broadcast(_frequent_pairs(held))
+
+    def post(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = [rarest_pairs(np.frombuffer(w.as_buffer(), "<u4"), frequent.value) for w in batch.column("words")]
+            sizes = [len(x) for x in found]
+            columns = [batch.column(c).take(pa.array(np.repeat(np.arange(len(found)), sizes))) for c in ("text", "root")]
+            for part in (np.concatenate([np.zeros(0, _U), *found]).view(np.int64), np.concatenate([np.zeros(0, np.int32), *(np.arange(n, dtype=np.int32) for n in sizes)])):
+                columns.append(pa.array(part))
+            yield pa.RecordBatch.from_arrays(columns, names=["text", "root", "pair", "place"])
+
+    posted = written(held.mapInArrow(post, f"text {TEXT}, root long, pair long, place int"), "postings")
+    # Most pairs are one class's own.
+    shared = posted.groupBy("pair").agg(F.min("root").alias("one"), F.max("root").alias("other")).filter("one != other").select("pair")
+    some = spread_join(posted, written(shared, "shared-pairs"), ["pair"], "inner")
+    some = some.groupBy("text", "root").agg(F.sort_array(F.collect_list(F.struct("place", "pair")))["pair"].alias("pairs"))
+    some = some.join(unsettled.select("text", "buckets"), "text").select("text", "root", "buckets", "pairs", F.posexplode("pairs").alias("at", "pair"))
+    # Two texts that share the pair before this one too have met there.
+    some = written(some.withColumn("before", F.when(F.col("at") > 0, F.col("pairs")[F.col("at") - 1])).drop("pairs", "at"), "shared-postings")
+    one, other = (some.select("pair", *[F.col(c).alias(f"{c}_{k}") for c in ("text", "root", "buckets", "before")]) for k in "ab")
+    words = [F.col(f"text_{k}.words") for k in "ab"]
+    alike = F.abs(words[0] - words[1]) <= (1 - SIMILARITY) * F.greatest(*words) + 1e-6
+    first = F.expr("text_a < text_b and root_a != root_b") & F.expr("coalesce(before_a != before_b, true)") & alike & F.arrays_overlap("buckets_a", "buckets_b")
+    met = one.join(other, (one["pair"] == other["pair"]) & first)
+    return met.select(F.col("text_a").alias("a"), F.col("text_b").alias("b")).distinct()
+
+
+def _frequent_pairs(held: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """The most frequent pairs of neighbouring words in about SAMPLE_TEXTS texts, as ``rarest_pairs`` takes them."""
+    share = min(1.0, SAMPLE_TEXTS / max(1, held.count()))
+    chance = F.pmod(F.xxhash64("text", F.lit(2)), F.lit(1 << 30)) / F.lit(float(1 << 30))
+    sample = held.filter(chance < share).select("words")
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = [word_pairs(np.frombuffer(w.as_buffer(), "<u4")) for w in batch.column(0)]
+            if found:
+                pairs, times = np.unique(np.concatenate(found), return_counts=True)
+                yield pa.RecordBatch.from_arrays([pa.array(pairs.view(np.int64)), pa.array(times)], names=["pair", "times"])
+
+    counted = sample.mapInArrow(count, "pair long, times long").groupBy("pair").agg(F.sum("times").alias("times")).filter("times > 1")
+    top = counted.orderBy(F.desc("times"), "pair").limit(FREQUENT).toArrow()
+    pairs = top.column("pair").to_numpy().view(_U)
+    order = np.argsort(pairs)
+    return pairs[order], (len(pairs) - np.arange(len(pairs)))[order]
+
+
 def connected(links: DataFrame) -> DataFrame:
     """node and least node of its connected part, for every node that has a link.
 

@@ -300,6 +300,34 @@ def test_near_duplicates_in_large_buckets_of_unlike_texts(spark):
     assert len(alike) >= 50 and recalled >= 0.95 * len(alike), (recalled, len(alike))
 
 
+def test_linked_texts_share_one_of_their_rarest_pairs():
+    rng = random.Random(14)
+    order = np.unique(np.concatenate([neardup.word_pairs(np.array([a, b], np.uint32)) for a in range(30) for b in range(30)]))
+    shared = 0
+    for _ in range(4000):
+        a = [rng.randrange(rng.choice([3, 30])) for _ in range(rng.randint(1, 40))]
+        b = edited(rng, a, rng.randint(0, 8), range(30))
+        x, y = np.array(a, np.uint32), np.array(b, np.uint32)
+        if b and neardup.linked(x, y):
+            some = np.sort(rng.sample(order.tolist(), rng.choice([0, 400, len(order)]))).astype(np.uint64)
+            frequent = some, np.random.default_rng(rng.randrange(9)).permutation(len(some)) + 1
+            assert set(neardup.rarest_pairs(x, frequent).tolist()) & set(neardup.rarest_pairs(y, frequent).tolist())
+            shared += 1
+    assert shared > 500
+
+
+def test_texts_with_a_passage_in_common_are_not_all_paired(spark, monkeypatch):
+    rng = random.Random(15)
+    passage = [f"p{k}" for k in range(40)]
+    texts = [passage + [f"w{rng.randrange(30000)}" for _ in range(60)] for _ in range(300)]
+    frame = spark.createDataFrame([(k, " ".join(t)) for k, t in enumerate(texts)], "doc_id long, text string")
+    held, linked = [], neardup._linked
+    monkeypatch.setattr(neardup, "_linked", lambda pairs, words: held.append(pairs.count()) or linked(pairs, words))
+    found = dict(map(tuple, neardup.near_duplicates(frame).collect()))
+    assert found == {k: k for k in range(300)}
+    assert held and sum(held) < 6000, held  # of 44,850
+
+
 def test_relation_far_leaves_no_text_between():
     rng = random.Random(10)
     seen = set()
