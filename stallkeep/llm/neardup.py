@@ -7,12 +7,13 @@ stay where they are; exact copies then collapse, and only texts that share a
 sketch with another are read again for alignment. Texts that share a sketch fall
 into one bucket, and every link between two texts of a bucket is found, by itself or as a chain of links. First all texts of a bucket
 are held against one of them, its hub. Buckets whose texts are in one class by
-then, as those of near copies are, need no more pairs. Texts of the others are
-paired by an index that loses no link: texts linked to each other have so many
-pairs of neighbouring words in common that they share one of the rarest few of
-each (``rarest_pairs``), and only texts of different classes that do so are held
-against each other. A passage that many unlike texts share is not among the
-rarest few of a text, unless most of the text is that passage. A link is an edit
+then, as those of near copies are, need no more pairs. Of the others, buckets of
+``FEW`` texts or less are paired in full. Texts of larger ones are paired by an
+index that loses no link: texts linked to each other have four fifths of their
+words in common, so they share one of the rarest fifth of each (``rarest_words``),
+and only texts of different classes that do so are held against each other. A
+passage that many unlike texts share is not among the rarest fifth of a text,
+unless about four fifths of the text are that passage. A link is an edit
 similarity of the words (1 - distance / longer length) of ``SIMILARITY`` or more,
 found by aligning inside the band that this allows. Classes are the connected
 parts of the links.
@@ -44,8 +45,10 @@ from stallkeep.operators.joins import spread_join
 RUN = 3
 SKETCHES = 32
 SIMILARITY = 0.8
-SAMPLE_TEXTS = 20_000  # that tell which pairs of words are frequent
-FREQUENT = 1 << 17  # pairs of words that are ordered by how frequent they are
+SAMPLE_TEXTS = 20_000  # that tell which words are frequent
+FREQUENT = 1 << 17  # words that are ordered by how frequent they are
+FEW = 8  # texts of a bucket that is paired in full
+BEFORE = 16  # shared words that tell whether two texts have met before; what they miss is met twice
 FAR, NEAR, LINKED = 0, 1, 2
 FOLDS = 1024  # classes of words in a quick bound, a power of two
 
@@ -94,12 +97,32 @@ def rarest_pairs(words: np.ndarray, frequent: tuple[np.ndarray, np.ndarray]) ->
         return pairs
     # Five words more are three common pairs more.
     common = max(1, min(m - 1 - 2 * int((1 - SIMILARITY) * m + 1e-9) for m in range(len(words), len(words) + 5)))
+    return _rarest(pairs, frequent, len(pairs) - common + 1)
+
+
+def rarest_words(words: np.ndarray, frequent: tuple[np.ndarray, np.ndarray]) -> np.ndarray:
+    """The rarest of a text's words, rarest first, so many that any two linked texts share one.
+
+    ``frequent`` as for ``rarest_pairs``, of words. An edit takes at most one word,
+    so linked texts have all words of the longer one in common but for the
+    distance that links them. The first word in common stands so far ahead in both
+    that the others find room behind it.
+    """
+    return _rarest(labelled_words(words), frequent, int((1 - SIMILARITY) * len(words) + 1e-9) + 1)
+
+
+def _rarest(found: np.ndarray, frequent: tuple[np.ndarray, np.ndarray], count: int) -> np.ndarray:
     by_hash, place = frequent
-    rank = np.zeros(len(pairs), np.int64)
+    rank = np.zeros(len(found), np.int64)
     if len(by_hash):
-        at = np.minimum(np.searchsorted(by_hash, pairs), len(by_hash) - 1)
-        rank = np.where(by_hash[at] == pairs, place[at], 0)
-    return pairs[np.lexsort((pairs, rank))[: len(pairs) - common + 1]]
+        at = np.minimum(np.searchsorted(by_hash, found), len(by_hash) - 1)
+        rank = np.where(by_hash[at] == found, place[at], 0)
+    return found[np.lexsort((found, rank))[:count]]
+
+
+def labelled_words(words: np.ndarray) -> np.ndarray:
+    """Hashes of all words, each with how often it occurred before."""
+    return _labelled(words.astype(_U)) if len(words) else words.astype(_U)
 
 
 def word_pairs(words: np.ndarray) -> np.ndarray:
@@ -187,6 +210,13 @@ def _quick_relation(one: tuple[np.ndarray, np.ndarray], other: tuple[np.ndarray,
     return FAR if apart > _reach(len(a), len(b)) + 1e-6 else relation(a, b)
 
 
+def _quick_linked(one: tuple[np.ndarray, np.ndarray], other: tuple[np.ndarray, np.ndarray]) -> bool:
+    """``linked``, where classes of words do not already tell that the texts are too far apart."""
+    (a, x), (b, y) = one, other
+    longer = max(len(a), len(b))
+    return longer - int(np.minimum(x, y).sum()) <= int((1 - SIMILARITY) * longer + 1e-9) and linked(a, b)
+
+
 def _reach(one: int, other: int) -> float:
     """How far apart two texts of these lengths may be if a third is linked to both."""
     most = min(one, other) / SIMILARITY  # the longest such text
@@ -229,28 +259,43 @@ def _banded(a: np.ndarray, b: np.ndarray, most: int) -> int:
     common = np.minimum(np.bincount(codes[: len(a)], minlength=len(values)), np.bincount(codes[len(a) :], minlength=len(values))).sum()
     if max(len(a), len(b)) - common > most:
         return most + 1
-    # Furthest rows reached on each diagonal with d edits; equal words are passed in whole.
-    a, b = codes[: len(a)], codes[len(a) :]
-    goal, width = len(b) - len(a), 2 * most + 3
-    reach = np.full(width, -2, np.int64)
-    diagonals = np.arange(width) - most - 1
-    for d in range(most + 1):
-        if d:
-            wider = np.full(width, -2, np.int64)
-            wider[1:-1] = np.maximum(np.maximum(reach[1:-1] + 1, reach[2:] + 1), reach[:-2])
-            reach = np.minimum(wider, np.minimum(len(a), len(b) - diagonals))
-            reach[(np.abs(diagonals) > d) | (diagonals > len(b)) | (diagonals < -len(a))] = -2
+    one, other = codes[: len(a)].tolist(), codes[len(a) :].tolist()
+    return _band(one, other, most) if len(a) >= len(b) else _band(other, one, most)
+
+
+def _band(a: list[int], b: list[int], most: int) -> int:
+    """``_banded`` of a and no longer b by a band of diagonals whose differences are the bits of a number.
+
+    Hyyro's form of the bit-parallel alignment: a column's rows, ``most`` to each
+    side of the diagonal, take one step together. The distance is followed down
+    the lowest diagonal of the band, where it never falls, then along the last row.
+    """
+    most, least = min(most, len(a)), most
+    if len(a) - len(b) > most:
+        return least + 1
+    full = (1 << (2 * most + 1)) - 1
+    rows: dict[int, int] = {}
+    bit = 1 << most  # rows stand shifted by the band's upper half
+    for word in a:
+        rows[word] = rows.get(word, 0) | bit
+        bit <<= 1
+    up, down, distance = full ^ ((1 << most) - 1), 0, most
+    turn, last = len(a) - most, 1 << (2 * most)
+    for column, word in enumerate(b):
+        same = (rows.get(word, 0) >> column) & full
+        level = (((same & up) + up) ^ up) | same | down
+        right_up, right_down = down | (full & ~(level | up)), level & up
+        if column < turn:
+            distance += not level & last
         else:
-            reach[most + 1] = 0
-        live = np.flatnonzero((reach >= 0) & (reach + diagonals >= 0))
-        while len(live):
-            i, j = reach[live], reach[live] + diagonals[live]
-            live, i, j = (x[(i < len(a)) & (j < len(b))] for x in (live, i, j))
-            live = live[a[i] == b[j]]
-            reach[live] += 1
-        if reach[goal + most + 1] >= len(a):
-            return d
-    return most + 1
+            last >>= 1
+            distance += bool(right_up & last) - bool(right_down & last)
+        # Along the last row each column takes back one at most.
+        if distance > least + len(b) - max(turn, column + 1):
+            return least + 1
+        level = (level & full) >> 1
+        up, down = right_down | (full & ~(level | right_up)), level & right_up
+    return distance if distance <= least else least + 1
 
 
 TEXT = "struct<node:long,part:int,words:int>"  # names a text: its doc_id, which of that one's texts, its length in words
@@ -301,10 +346,10 @@ def _linked(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     held = spread_join(held, texts.toDF("b", "words_b"), ["b"], "inner", hot_from=pairs)
 
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = lru_cache(maxsize=2_000)(_folded)
+        known = lru_cache(maxsize=500)(_folded)
         for batch in batches:
             words = (batch.column(c).to_pylist() for c in ("words_a", "words_b"))
-            found = pa.array([_quick_relation(known(x), known(y)) == LINKED for x, y in zip(*words, strict=True)], pa.bool_())
+            found = pa.array([_quick_linked(known(x), known(y)) for x, y in zip(*words, strict=True)], pa.bool_())
             nodes = [pc.struct_field(batch.column(c), "node") for c in "ab"]
             yield pa.RecordBatch.from_arrays(nodes, names=["a", "b"]).filter(found)
 
@@ -340,8 +385,8 @@ def _roots(documents: DataFrame, sketched: DataFrame, known: DataFrame) -> DataF
     # Texts of buckets that are not in one class yet.
     of_text = members.select("bucket", "text", F.col("text.node").alias("node")).join(roots, "node", "left").select("bucket", "text", F.coalesce("root", "node").alias("root"))
     of_text = written(of_text, "rooted")
-    mixed_buckets = of_text.groupBy("bucket").agg(F.min("root").alias("one"), F.max("root").alias("other")).filter("one != other").select("bucket")
-    unsettled = written(of_text.join(mixed_buckets, "bucket").groupBy("text", "root").agg(F.collect_set("bucket").alias("buckets")), "unsettled")
+    mixed_buckets = of_text.groupBy("bucket").agg(F.count("*").alias("n"), F.min("root").alias("one"), F.max("root").alias("other")).filter("one != other").select("bucket", "n")
+    unsettled = written(of_text.join(mixed_buckets, "bucket"), "unsettled")
     if unsettled.isEmpty():
         return roots
     more = _linked(written(_paired(unsettled, texts), "candidates"), texts)
@@ -349,53 +394,65 @@ def _roots(documents: DataFrame, sketched: DataFrame, known: DataFrame) -> DataF
 
 
 def _paired(unsettled: DataFrame, texts: DataFrame) -> DataFrame:
-    """Pairs (a, b) of unsettled (text, root, buckets) of one bucket and different roots, among them all that are linked."""
-    held = written(texts.join(unsettled.select("text", "root"), "text"), "unsettled-words")
-    frequent = held.sparkSession.sparkContext.broadcast(_frequent_pairs(held))
+    """Pairs (a, b) of texts of one bucket and different roots, among them all that are linked.
+
+    unsettled: bucket, text, root and n, the texts of the bucket.
+    """
+    words = [F.col(f"text_{k}.words") for k in "ab"]
+    longer = F.greatest(*words)
+    most = F.floor((1 - SIMILARITY) * longer + 1e-9)
+    differ = F.expr("text_a < text_b and root_a != root_b")
+    pair = [F.col("text_a").alias("a"), F.col("text_b").alias("b")]
+    one, other = (unsettled.filter(F.col("n") <= FEW).select("bucket", *[F.col(c).alias(f"{c}_{k}") for c in ("text", "root")]) for k in "ab")
+    near = one.join(other, (one["bucket"] == other["bucket"]) & differ & (F.abs(words[0] - words[1]) <= most)).select(*pair)
+    large = written(unsettled.filter(F.col("n") > FEW).groupBy("text", "root").agg(F.collect_set("bucket").alias("buckets")), "large-buckets")
+    if large.isEmpty():
+        return near.distinct()
+    held = written(texts.join(large.select("text", "root"), "text"), "unsettled-words")
+    frequent = held.sparkSession.sparkContext.broadcast(_frequent_words(held))
 
     def post(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            found = [rarest_pairs(np.frombuffer(w.as_buffer(), "<u4"), frequent.value) for w in batch.column("words")]
+        for batch in weighed(batches, 1, 2_000_000):
+            found = [rarest_words(np.frombuffer(w.as_buffer(), "<u4"), frequent.value) for w in batch.column("words")]
             sizes = [len(x) for x in found]
             columns = [batch.column(c).take(pa.array(np.repeat(np.arange(len(found)), sizes))) for c in ("text", "root")]
             for part in (np.concatenate([np.zeros(0, _U), *found]).view(np.int64), np.concatenate([np.zeros(0, np.int32), *(np.arange(n, dtype=np.int32) for n in sizes)])):
                 columns.append(pa.array(part))
-            yield pa.RecordBatch.from_arrays(columns, names=["text", "root", "pair", "place"])
-
-    posted = written(held.mapInArrow(post, f"text {TEXT}, root long, pair long, place int"), "postings")
-    # Most pairs are one class's own.
-    shared = posted.groupBy("pair").agg(F.min("root").alias("one"), F.max("root").alias("other")).filter("one != other").select("pair")
-    some = spread_join(posted, written(shared, "shared-pairs"), ["pair"], "inner")
-    some = some.groupBy("text", "root").agg(F.sort_array(F.collect_list(F.struct("place", "pair")))["pair"].alias("pairs"))
-    some = some.join(unsettled.select("text", "buckets"), "text").select("text", "root", "buckets", "pairs", F.posexplode("pairs").alias("at", "pair"))
-    # Two texts that share the pair before this one too have met there.
-    some = written(some.withColumn("before", F.when(F.col("at") > 0, F.col("pairs")[F.col("at") - 1])).drop("pairs", "at"), "shared-postings")
-    one, other = (some.select("pair", *[F.col(c).alias(f"{c}_{k}") for c in ("text", "root", "buckets", "before")]) for k in "ab")
-    words = [F.col(f"text_{k}.words") for k in "ab"]
-    alike = F.abs(words[0] - words[1]) <= (1 - SIMILARITY) * F.greatest(*words) + 1e-6
-    first = F.expr("text_a < text_b and root_a != root_b") & F.expr("coalesce(before_a != before_b, true)") & alike & F.arrays_overlap("buckets_a", "buckets_b")
-    met = one.join(other, (one["pair"] == other["pair"]) & first)
-    return met.select(F.col("text_a").alias("a"), F.col("text_b").alias("b")).distinct()
-
-
-def _frequent_pairs(held: DataFrame) -> tuple[np.ndarray, np.ndarray]:
-    """The most frequent pairs of neighbouring words in about SAMPLE_TEXTS texts, as ``rarest_pairs`` takes them."""
+            yield pa.RecordBatch.from_arrays(columns, names=["text", "root", "word", "place"])
+
+    posted = written(held.select("text", "words", "root").mapInArrow(post, f"text {TEXT}, root long, word long, place int"), "postings")
+    # Most of these words are one class's own.
+    shared = posted.groupBy("word").agg(F.min("root").alias("one"), F.max("root").alias("other")).filter("one != other").select("word")
+    some = spread_join(posted, written(shared, "shared-words"), ["word"], "inner")
+    some = some.groupBy("text", "root").agg(F.sort_array(F.collect_list(F.struct("place", "word"))).alias("words"))
+    some = some.join(large.select("text", "buckets"), "text").select("text", "root", "buckets", F.col("words.word").alias("words"), F.posexplode("words").alias("at", "x"))
+    before = F.slice("words", F.greatest(F.col("at") - BEFORE, F.lit(0)) + 1, F.least("at", F.lit(BEFORE)))
+    some = written(some.select("text", "root", "buckets", "x.word", "x.place", before.alias("before")), "shared-postings")
+    one, other = (some.select("word", *[F.col(c).alias(f"{c}_{k}") for c in ("text", "root", "buckets", "place", "before")]) for k in "ab")
+    # Behind the first word in common both texts have room for the others; later ones in common are told by those before.
+    room = [F.col(f"place_{k}") <= w - longer + most for k, w in zip("ab", words, strict=True)]
+    first = differ & room[0] & room[1] & ~F.arrays_overlap("before_a", "before_b") & F.arrays_overlap("buckets_a", "buckets_b")
+    met = one.join(other, (one["word"] == other["word"]) & first).select(*pair)
+    return near.unionByName(met).distinct()
+
+
+def _frequent_words(held: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """The most frequent words in about SAMPLE_TEXTS texts, as ``rarest_words`` takes them."""
     share = min(1.0, SAMPLE_TEXTS / max(1, held.count()))
     chance = F.pmod(F.xxhash64("text", F.lit(2)), F.lit(1 << 30)) / F.lit(float(1 << 30))
     sample = held.filter(chance < share).select("words")
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            found = [word_pairs(np.frombuffer(w.as_buffer(), "<u4")) for w in batch.column(0)]
-            if found:
-                pairs, times = np.unique(np.concatenate(found), return_counts=True)
-                yield pa.RecordBatch.from_arrays([pa.array(pairs.view(np.int64)), pa.array(times)], names=["pair", "times"])
-
-    counted = sample.mapInArrow(count, "pair long, times long").groupBy("pair").agg(F.sum("times").alias("times")).filter("times > 1")
-    top = counted.orderBy(F.desc("times"), "pair").limit(FREQUENT).toArrow()
-    pairs = top.column("pair").to_numpy().view(_U)
-    order = np.argsort(pairs)
-    return pairs[order], (len(pairs) - np.arange(len(pairs)))[order]
+        for batch in weighed(batches, 0, 4_000_000):
+            found = [labelled_words(np.frombuffer(w.as_buffer(), "<u4")) for w in batch.column(0)]
+            words, times = np.unique(np.concatenate(found), return_counts=True)
+            yield pa.RecordBatch.from_arrays([pa.array(words.view(np.int64)), pa.array(times)], names=["word", "times"])
+
+    counted = sample.mapInArrow(count, "word long, times long").groupBy("word").agg(F.sum("times").alias("times")).filter("times > 1")
+    top = counted.orderBy(F.desc("times"), "word").limit(FREQUENT).toArrow()
+    words = top.column("word").to_numpy().view(_U)
+    order = np.argsort(words)
+    return words[order], (len(words) - np.arange(len(words)))[order]
 
 
 def connected(links: DataFrame) -> DataFrame:

@@ -328,6 +328,48 @@ def test_texts_with_a_passage_in_common_are_not_all_paired(spark, monkeypatch):
     assert held and sum(held) < 6000, held  # of 44,850
 
 
+def test_texts_that_are_mostly_one_passage_are_not_all_paired(spark, monkeypatch):
+    rng = random.Random(16)
+    passage = [f"p{k}" for k in range(72)]
+    texts = [passage + [f"w{rng.randrange(30000)}" for _ in range(28)] for _ in range(200)]
+    frame = spark.createDataFrame([(k, " ".join(t)) for k, t in enumerate(texts)], "doc_id long, text string")
+    held, linked = [], neardup._linked
+    monkeypatch.setattr(neardup, "_linked", lambda pairs, words: held.append(pairs.count()) or linked(pairs, words))
+    found = dict(map(tuple, neardup.near_duplicates(frame).collect()))
+    assert found == {k: k for k in range(200)}
+    assert held and sum(held) < 4000, held  # of 19,900
+
+
+def test_linked_texts_share_one_of_their_rarest_words_with_room_behind_it():
+    rng = random.Random(17)
+    shared = 0
+    for _ in range(4000):
+        a = [rng.randrange(rng.choice([3, 30])) for _ in range(rng.randint(1, 40))]
+        b = edited(rng, a, rng.randint(0, 8), range(30))
+        x, y = np.array(a, np.uint32), np.array(b, np.uint32)
+        if b and neardup.linked(x, y):
+            words = np.unique(np.concatenate([neardup.labelled_words(x), neardup.labelled_words(y)]))
+            some = np.sort(rng.sample(words.tolist(), rng.randint(0, len(words)))).astype(np.uint64)
+            frequent = some, np.random.default_rng(rng.randrange(9)).permutation(len(some)) + 1
+            one, other = (neardup.rarest_words(w, frequent).tolist() for w in (x, y))
+            longer = max(len(a), len(b))
+            first = next(w for w in one if w in other)
+            need = longer - int((1 - neardup.SIMILARITY) * longer + 1e-9)
+            assert one.index(first) <= len(a) - need and other.index(first) <= len(b) - need
+            shared += 1
+    assert shared > 500
+
+
+def test_alignment_in_the_band_is_the_edit_distance():
+    rng = random.Random(18)
+    for _ in range(3000):
+        a = [rng.randrange(rng.choice([2, 8])) for _ in range(rng.randint(1, 25))]
+        b = edited(rng, a, rng.randint(0, 12), range(8)) or [0]
+        most, exact = rng.randint(0, 25), distance(a, b)
+        found = neardup._banded(np.array(a, np.uint32), np.array(b, np.uint32), most)
+        assert found == exact if exact <= most else found > most
+
+
 def test_relation_far_leaves_no_text_between():
     rng = random.Random(10)
     seen = set()
