@@ -21,7 +21,7 @@ class Words:
     regular words meet no more often than others.
     """
 
-    def __init__(self, window: int = 1 << 20):
+    def __init__(self, window: int = 1 << 18):
         self._code = np.random.default_rng(9).integers(1, 1 << 63, 256, dtype=_U)
         self._most = window
         self._place = places(1 << 8)

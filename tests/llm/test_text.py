@@ -370,6 +370,17 @@ def test_alignment_in_the_band_is_the_edit_distance():
         assert found == exact if exact <= most else found > most
 
 
+def test_words_are_hashed_in_little_memory():
+    texts = [" ".join(f"word{k * j % 977}" for k in range(300)) for j in range(1200)]
+    reader = Words()
+    reader.hashes(texts[:1])
+    tracemalloc.start()
+    found = reader.hashes(texts)
+    held, peak = tracemalloc.get_traced_memory()
+    tracemalloc.stop()
+    assert len(found) == 1200 and peak - held < 15_000_000, (held, peak)
+
+
 def test_relation_far_leaves_no_text_between():
     rng = random.Random(10)
     seen = set()
