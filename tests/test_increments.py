@@ -3,13 +3,14 @@
 import random
 import tempfile
 from datetime import datetime, timedelta
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
 
 import fixtures
 from conftest import rows
-from stallkeep.operators.changes import change_counts, changes, digests
+from stallkeep.operators.changes import UNCHANGED, change_counts, changed_rows, changes, digests, require_unique
 from stallkeep.operators.compare import differences
 from stallkeep.operators.history import advance_history, open_history, valid_at
 from stallkeep.operators.rules import ValidationError
@@ -17,6 +18,7 @@ from stallkeep.operators.upsert import upsert_members
 from stallkeep.plans import incremental
 from stallkeep.plans.incremental import load_touched_facts
 from stallkeep.plans.refresh import FACTS, STAGING, Refresh
+from stallkeep.session import scratch_path
 from stallkeep.sources import CONTRACTS, ContractError, Store
 from stallkeep.sources.increment import LEDGER, digest_table, load_increment, marks
 
@@ -237,6 +239,34 @@ def test_only_touched_months_are_loaded_anew(spark, store, shop):
     assert set(store.parts("FactOrder")) == {"201703", "201801"} and store.table("FactOrder").count() == 4
 
 
+def test_changed_rows_are_those_of_changes(spark):
+    old = spark.createDataFrame([("a", 1, "x"), ("b", 1, None), (None, 1, "x"), ("d", 1, "x"), ("e", 1, "")], "k string, n int, v string")
+    new = spark.createDataFrame([("a", 1, "x"), ("b", 1, ""), (None, 1, "y"), ("f", 1, "x"), ("e", 1, "")], "k string, n int, v string")
+    key = ["k", "n"]
+    before, now = digests(old, key), digests(new, key)
+    wanted = rows(changes(before, now, key).filter(F.col("Change") != UNCHANGED))
+    assert len(wanted) == 4 and rows(changed_rows(before, now, key)) == wanted
+    assert rows(changed_rows(before, before, key)) == [] and len(rows(changed_rows(before.limit(0), now, key))) == 5
+    require_unique(now, key)
+    for twice in ("a", None):
+        again = now.unionByName(now.filter(F.col("k").eqNullSafe(F.lit(twice))))
+        for fails in (lambda: changed_rows(before, again, key).count(), lambda: changed_rows(again, now, key).count(), lambda: require_unique(again, key)):
+            with pytest.raises(Exception, match="repeated key"):
+                fails()
+
+
+def test_a_load_keeps_one_copy_of_the_digests(spark, store, shop):
+    """Digests are written where they are published, and gone if there is nothing to publish."""
+    shared = Path(scratch_path(spark, "x")).parent
+    there = set(shared.iterdir()) if shared.is_dir() else set()
+    load_touched_facts(store, shop)
+    load_touched_facts(store, shop)
+    left = [p.name for p in shared.iterdir() if p not in there]
+    assert not [n for n in left if n.startswith(("digests-", "touched-orders", "orders-", "review-ids"))]
+    for name in incremental.SOURCES:
+        assert len(list(Path(store.root).glob(f"runs/*/FactInput.{name}"))) == 1
+
+
 def test_rows_that_are_not_confirmed_stay_invisible(spark, store, shop, monkeypatch):
     load_touched_facts(store, shop)
     manifest = store._entries()
