@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from stallkeep.operators.joins import spread_join
-from stallkeep.session import scratch_path
+from stallkeep.session import release, write_scratch
 
 # Ranks that a sketch names are off by at most rows / ACCURACY; the bracket is twice as wide.
 ACCURACY = 10_000
@@ -28,14 +28,14 @@ def grouped_median(df: DataFrame, group: Sequence[str], values: Sequence[str]) -
     result is exact in any case.
     """
     group, values = list(group), list(values)
-    rows = _written(df.select(F.struct(*[F.col(g) for g in group]).alias("_group"), *[F.col(v).cast("double").alias(f"_v{i}") for i, v in enumerate(values)]), "values")
+    rows, rows_path = write_scratch(df.select(F.struct(*[F.col(g) for g in group]).alias("_group"), *[F.col(v).cast("double").alias(f"_v{i}") for i, v in enumerate(values)]), "values")
     sketches = []
     for i in range(len(values)):
         sketches += [
             F.count(f"_v{i}").alias(f"_n{i}"),
             F.percentile_approx(f"_v{i}", [0.5 - _REACH, 0.5 + _REACH], ACCURACY).alias(f"_b{i}"),
         ]
-    brackets = _written(rows.groupBy("_group").agg(*sketches), "brackets")
+    brackets, brackets_path = write_scratch(rows.groupBy("_group").agg(*sketches), "brackets")
     inside = spread_join(rows, brackets, ["_group"], "inner")
     columns = [
         F.struct(F.lit(i).alias("c"), F.col(f"_n{i}").alias("n"), (F.col(f"_v{i}") < F.col(f"_b{i}")[0]).alias("below"), F.when(F.col(f"_v{i}") >= F.col(f"_b{i}")[0], F.col(f"_v{i}")).alias("v"))
@@ -45,21 +45,17 @@ def grouped_median(df: DataFrame, group: Sequence[str], values: Sequence[str]) -
     weighed = inside.select("_group", F.explode(F.array(*kept)).alias("x")).filter("x is not null").groupBy("_group", "x.c", "x.n", "x.below", "x.v").agg(F.count("*").alias("_weight"))
     picked = _picked(weighed, F.col("n"))
     medians = picked.groupBy("_group").agg(*[F.max(F.when(F.col("c") == i, F.col("median"))).alias(f"_m{i}") for i in range(len(values))])
-    found = _written(brackets.join(medians, "_group", "left"), "medians")
+    found, _ = write_scratch(brackets.join(medians, "_group", "left"), "medians")
     missed = found.filter(F.exists(F.array(*[(F.col(f"_n{i}") > 0) & F.col(f"_m{i}").isNull() for i in range(len(values))]), lambda x: x))
-    if not missed.isEmpty():
+    if missed.isEmpty():
+        release(df.sparkSession, rows_path, brackets_path)
+    else:
         for i in range(len(values)):
             again = _by_sorting(rows.join(missed.select("_group"), "_group", "left_semi"), f"_v{i}")
             found = found.join(again, "_group", "left").withColumn(f"_m{i}", F.coalesce(f"_m{i}", "_again")).drop("_again")
     return found.select(*[F.col(f"_group.{g}").alias(g) for g in group], *[F.col(f"_m{i}").alias(v) for i, v in enumerate(values)])
 
 
-def _written(df: DataFrame, name: str) -> DataFrame:
-    path = scratch_path(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
 def _picked(weighed: DataFrame, total: Column) -> DataFrame:
     """Median of each (group, column) of ``total`` values, NULL where a middle one is not among the rows.
 

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from stallkeep.sources.store import Store
 from stallkeep.operators.rules import ValidationError
+from stallkeep.session import release
 from stallkeep.plans import category, customer, dates, dimensions, facts, gates, geography, validators
 
 STAGING = (
@@ -94,29 +95,31 @@ class Refresh:
 
     def load_facts(self) -> None:
         t = self.tables
-        self._write(
-            "FactOrder", facts.fact_order(t["orders"], t["customers"], t["DimCustomer"], t["DimGeography"]), by_month=True
-        )
-        orders = t["FactOrder"]
-        self._both(
-            lambda: self._write(
-                "FactOrderItem",
-                facts.fact_order_item(t["order_items"], orders, t["DimProduct"], t["DimSeller"]),
-                by_month=True,
-            ),
-            lambda: self._write("FactPayment", facts.fact_payment(t["payments"], orders), by_month=True),
-            lambda: self._write("FactReview", facts.fact_review(t["reviews"], orders), by_month=True),
-        )
+        # One after another, each fills the cluster: only one fact's shuffles are on disk at a time.
+        loads = {
+            "FactOrder": lambda: facts.fact_order(t["orders"], t["customers"], t["DimCustomer"], t["DimGeography"]),
+            "FactOrderItem": lambda: facts.fact_order_item(t["order_items"], t["FactOrder"], t["DimProduct"], t["DimSeller"]),
+            "FactPayment": lambda: facts.fact_payment(t["payments"], t["FactOrder"]),
+            "FactReview": lambda: facts.fact_review(t["reviews"], t["FactOrder"]),
+        }
+        for name in FACTS:
+            self._write(name, loads[name](), by_month=True)
+            release(self.store.spark)
 
     def build(self) -> Mapping[str, DataFrame]:
-        """Everything up to the fact gate, unpublished."""
-        self.build_dates()
-        self.conform()
-        self.preflight()
-        self.load_dimensions()
-        gates.pass_gate(self.tables, "DimensionGate")
-        self.load_facts()
-        gates.pass_gate(self.tables, "FactGate")
+        """Everything up to the fact gate, unpublished; the disk of a step is free before the next."""
+        steps = [
+            self.build_dates,
+            self.conform,
+            self.preflight,
+            self.load_dimensions,
+            lambda: gates.pass_gate(self.tables, "DimensionGate"),
+            self.load_facts,
+            lambda: gates.pass_gate(self.tables, "FactGate"),
+        ]
+        for step in steps:
+            step()
+            release(self.store.spark)
         return self.tables
 
     def publish(self) -> None:

@@ -12,8 +12,8 @@ from concurrent.futures import ThreadPoolExecutor
 from pyspark.sql import DataFrame, SparkSession
 
 from stallkeep.plans.refresh import STAGING, Refresh
-from stallkeep.queries.roles import role
-from stallkeep.session import scratch_path
+from stallkeep.queries.roles import order_lines, role
+from stallkeep.session import release, scratch_path, write_scratch
 from stallkeep.sources.store import Store
 
 _staged: dict[tuple[str, str], Store] = {}
@@ -33,10 +33,14 @@ def staged_store(spark: SparkSession, sf_dir: str) -> Store:
         if key not in _staged:
             store = Store(spark, scratch_path(spark, "warehouse"))
             run = store.new_run()
+            # Three roles read the order lines: they are grouped once.
+            lines, lines_path = write_scratch(order_lines(spark, sf_dir), "order-lines")
+            release(spark)
             with ThreadPoolExecutor(max_workers=4) as pool:
-                writes = [pool.submit(store.write, run, name, role(spark, sf_dir, name)) for name in STAGING]
+                writes = [pool.submit(store.write, run, name, role(spark, sf_dir, name, lines)) for name in STAGING]
                 for done in writes:
                     done.result()
+            release(spark, lines_path)
             store.publish(run, STAGING)
             _staged[key] = store
         return _staged[key]

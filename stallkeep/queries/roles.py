@@ -63,7 +63,7 @@ def _days(n: Column) -> Column:
     return F.make_dt_interval(n.cast("int"))
 
 
-def _lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+def order_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """lineitem brought to one row per (order, line): the natural key of the items role."""
     lines = driver_table(spark, sf_dir, "lineitem")
     return lines.groupBy("l_orderkey", "l_linenumber").agg(
@@ -122,8 +122,8 @@ FROM orders LEFT JOIN (SELECT l_orderkey, min(l_shipdate) AS lo, max(l_shipdate)
 """
 
 
-def order_items(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _lines(spark, sf_dir).select(
+def order_items(spark: SparkSession, sf_dir: str, lines: DataFrame) -> DataFrame:
+    return lines.select(
         _id("l_orderkey").alias("order_id"),
         F.col("l_linenumber").alias("order_item_id"),
         _id("pk").alias("product_id"),
@@ -142,12 +142,12 @@ FROM stg_lines
 """
 
 
-def payments(spark: SparkSession, sf_dir: str) -> DataFrame:
+def payments(spark: SparkSession, sf_dir: str, lines: DataFrame) -> DataFrame:
     pk = F.col("pk")
     freight = F.when(pk % 97 == 0, F.lit(0)).otherwise(F.col("qty")).cast("decimal(18,2)")
     extra = F.when(pk % 10 < 3, pk % 300).otherwise(0).cast("decimal(10,2)") * F.lit("0.01").cast("decimal(3,2)")
     value = F.when(pk % 89 == 0, F.lit(0)).otherwise(F.col("price") + freight + extra)
-    return _lines(spark, sf_dir).select(
+    return lines.select(
         _id("l_orderkey").alias("order_id"),
         F.col("l_linenumber").alias("payment_sequential"),
         _pick(PAYMENT_TYPES, pk % 5).alias("payment_type"),
@@ -167,10 +167,10 @@ FROM stg_lines
 """
 
 
-def reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
+def reviews(spark: SparkSession, sf_dir: str, lines: DataFrame) -> DataFrame:
     key, line = F.col("l_orderkey"), F.col("l_linenumber")
     purchases = driver_table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("l_orderkey"), "o_orderdate")
-    reviewed = _lines(spark, sf_dir).join(purchases, "l_orderkey")
+    reviewed = lines.join(purchases, "l_orderkey")
     shared = (F.when(key % 9 == 1, key - 1).otherwise(key) * 10 + line).cast("string")
     created = F.col("o_orderdate") + _days(key % 60 - 3)
     return reviewed.select(
@@ -343,6 +343,12 @@ BUILDERS = {
 }
 
 
-def role(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """The role view itself, lazily over the driver's tables."""
+# Roles whose rows are order lines.
+OF_LINES = ("order_items", "payments", "reviews")
+
+
+def role(spark: SparkSession, sf_dir: str, name: str, lines: DataFrame | None = None) -> DataFrame:
+    """The role view itself, lazily over the driver's tables and, if they are at hand, the ``order_lines``."""
+    if name in OF_LINES:
+        return BUILDERS[name](spark, sf_dir, order_lines(spark, sf_dir) if lines is None else lines)
     return BUILDERS[name](spark, sf_dir)
