@@ -10,10 +10,11 @@ from pyspark.sql import functions as F
 from conftest import rows
 from stallkeep.operators import median
 from stallkeep.operators import quality as Q
-from stallkeep.operators.compare import _alike, bucket_digests, differences, differences_of_stored, differing_rows
+from stallkeep.operators.compare import _alike, bucket_digests, compare_rows, differences, differences_of_stored, differing_rows
 from stallkeep.operators.joins import spread_join, strict_lookup
 from stallkeep.operators.keys import number_rows, place_in_order, with_unknown_member
 from stallkeep.operators.median import grouped_median
+from stallkeep.operators.quality import one_by_one
 from stallkeep.operators.rules import Rule, ValidationError, enforce, evaluate_rules, long_metrics
 from stallkeep.operators.vote import most_frequent_label, rank_candidates, resolve_by_vote
 from stallkeep.session import release, scratch_path, write_scratch
@@ -318,3 +319,21 @@ def test_medians_leave_no_copy_of_their_values(spark):
     medians = grouped_median(spark.createDataFrame([("a", 1.0), ("a", 4.0), ("b", None)], "g string, v double"), ["g"], ["v"])
     assert rows(medians) == [("a", 2.5), ("b", None)]
     assert not [p.name for p in _scratch(spark).glob("*") if p not in there and p.name.startswith(("values", "brackets"))]
+
+
+def test_rows_told_apart_by_hashes_are_those_of_all_columns(spark):
+    left = spark.createDataFrame([("a", "x", 1), ("a", "x", 1), ("a", None, 1), (None, "a", 2), ("b", "", 3)], "k string, t string, n int")
+    right = spark.createDataFrame([("a", "x", 1), ("a", "", 1), ("a", None, 1), (None, "a", 2), ("b", None, 3)], "k string, t string, n long")
+    whole, kept = compare_rows(left, right), compare_rows(left, right, keep=["n"])
+    assert kept.columns == ["n", "_one", "_two", "_expected_rows", "_actual_rows"]
+    assert rows(kept, "n", "_expected_rows", "_actual_rows") == rows(whole, "n", "_expected_rows", "_actual_rows")
+    assert tuple(differences(left, right).first()) == (5, 5, 1, 2)
+    # Texts that only tell rows apart are not moved.
+    plan = compare_rows(left, right, keep=["n"])._jdf.queryExecution().executedPlan().toString()
+    assert all(" t#" not in line for line in plan.splitlines() if "hashpartitioning" in line)
+
+
+def test_small_results_are_computed_one_by_one(spark):
+    parts = (spark.range(n).agg(F.count("*").alias("n")) for n in (3, 5))
+    together = one_by_one(parts)
+    assert rows(together) == [(3,), (5,)] and "Exchange" not in together._jdf.queryExecution().executedPlan().toString()
